@@ -578,10 +578,12 @@ def exact_integers(spark, folder):
     text = F.concat(
         F.lit(" "), F.col("o_custkey").cast("string"), F.lit("."), F.lpad(F.col("o_orderkey") % 4, 2, "0")
     )
+    narrow = exact_integer(F.col("o_orderkey") * 10, T.LongType(), T.ShortType())
     return read(spark, folder, "orders").select(
-        "o_orderkey", exact_integer(text, T.LongType()).alias("whole"),
-        exact_integer(F.col("o_orderkey") * 10, T.ShortType()).cast("bigint").alias("narrow"),
-    )
+        "o_orderkey",
+        exact_integer(text, T.StringType(), T.LongType()).alias("whole"),
+        narrow.cast("bigint").alias("narrow"),
+    )
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -44,11 +44,18 @@ def convert_values(
     return df.select(*projected)
 
 
-def exact_integer(value: Column, data_type: T.DataType) -> Column:
-    """The value as a whole number of the given type, else null.
+def exact_integer(value: Column, source: T.DataType, target: T.DataType) -> Column:
+    """The value as a whole number of the target type, else null.
 
     Blanks around text and zeros after the decimal point do not matter; fractions and
     numbers out of range give null.
     """
-    number = F.trim(value.cast("string")).try_cast("decimal(38,10)")
-    return F.when(number == F.floor(number), number.try_cast(data_type))
+    if isinstance(source, T.IntegralType):
+        return value.try_cast(target)
+    if isinstance(source, (T.FractionalType, T.DecimalType)):
+        return F.when(value == F.floor(value), value.try_cast(target))
+    text = F.trim(value.cast("string"))
+    number = text.try_cast("decimal(38,18)")
+    # The cast rounds from the 19th decimal on, so the digits themselves are looked at too.
+    fraction = text.rlike(r"\.[0-9]*[1-9][0-9]*$")
+    return F.when((number == F.floor(number)) & ~fraction, number.try_cast(target))

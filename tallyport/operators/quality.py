@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tallyport.functions.canon import split_columns
 from tallyport.functions.convert import exact_integer
-from tallyport.functions.text import collapsed, literal_hits, whole_value_matches
+from tallyport.functions.text import pattern_tests, whole_value_matches
 from tallyport.functions.types import BLOCKED, REVIEW, TypeChoice
 from tallyport.specs import Rule
 
@@ -60,12 +60,12 @@ def run_rules(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
 # --- type fit ----------------------------------------------------------------------
 
 
-def misfit(value: Column, target: T.DataType, max_length: int | None = None) -> Column:
-    """True where a value is lost or changed by the target type."""
+def misfit(value: Column, source: T.DataType, target: T.DataType, max_length: int | None = None) -> Column:
+    """True where a value of the source type is lost or changed by the target type."""
     if isinstance(target, T.StringType):
         return F.length(value.cast("string")) > max_length if max_length is not None else F.lit(False)
     if isinstance(target, T.IntegralType):
-        return value.isNotNull() & exact_integer(value, target).isNull()
+        return value.isNotNull() & exact_integer(value, source, target).isNull()
     fitted = value.try_cast(target)
     lost = value.isNotNull() & fitted.isNull()
     if isinstance(target, T.DecimalType):
@@ -75,27 +75,23 @@ def misfit(value: Column, target: T.DataType, max_length: int | None = None) ->
     return lost
 
 
-def type_rules(choices: Mapping[str, TypeChoice], columns: Mapping[str, Column] | None = None) -> list[Rule]:
-    """One rule per column for the type chosen for it.  ``columns`` gives the value to
-    test where it is not the column of that name."""
+def type_fit(
+    df: DataFrame, table: str, choices: Mapping[str, TypeChoice], columns: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """Rows that the type chosen for each column cannot hold.  ``columns`` gives the value
+    to test where it is not the column of that name."""
+    values = df.select(*[(columns or {}).get(name, F.col(name)).alias(name) for name in choices])
     rules = []
     for name, choice in choices.items():
-        value = (columns or {}).get(name, F.col(name))
+        value = F.col(name)
         if choice.risk == BLOCKED:
             rules.append(Rule(BLOCKED_TYPE, "BLOCKER", name, value.isNotNull(), True, choice.note))
             continue
         severity = "HIGH" if choice.risk == REVIEW and isinstance(choice.type, T.StringType) else "MEDIUM"
         what = choice.type.simpleString() if choice.max_length is None else f"varchar({choice.max_length})"
-        rules.append(
-            Rule(RISKY_TYPE, severity, name, misfit(value, choice.type, choice.max_length), False, what)
-        )
-    return rules
-
-
-def type_fit(
-    df: DataFrame, table: str, choices: Mapping[str, TypeChoice], columns: Mapping[str, Column] | None = None
-) -> DataFrame:
-    return run_rules(df, table, type_rules(choices, columns))
+        bad = misfit(value, values.schema[name].dataType, choice.type, choice.max_length)
+        rules.append(Rule(RISKY_TYPE, severity, name, bad, False, what))
+    return run_rules(values, table, rules)
 
 
 # --- large values ------------------------------------------------------------------
@@ -203,24 +199,25 @@ def pattern_flags(
 ) -> DataFrame:
     """Per row the names of the patterns found, after lower-casing and collapsing white
     space, and NEEDS_REVIEW where there is any."""
+    tests = pattern_tests(F.col("_lower"), patterns)
+    found = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in tests.items()]))
     return (
-        df.select(*keys, literal_hits(collapsed(F.col(text)), patterns).alias("_hits"))
+        df.select(*keys, F.lower(text).alias("_lower"))
+        .select(*keys, found.alias("_hits"))
         .select(
             *keys,
-            F.coalesce(F.size("_hits"), F.lit(0)).cast("bigint").alias("hit_count"),
-            F.coalesce(F.array_join("_hits", ", "), F.lit("")).alias("hits"),
+            F.size("_hits").cast("bigint").alias("hit_count"),
+            F.array_join("_hits", ", ").alias("hits"),
+            F.when(F.size("_hits") > 0, "NEEDS_REVIEW").otherwise("READY").alias("status"),
         )
-        .withColumn("status", F.when(F.col("hit_count") > 0, "NEEDS_REVIEW").otherwise("READY"))
     )
 
 
 def pattern_findings(df: DataFrame, table: str, text: str, patterns: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rows per pattern, as findings; one scan, and the text is normalised once per row."""
-    found = df.select(literal_hits(collapsed(F.col(text)), patterns).alias("_hits"))
-    rules = [
-        Rule(TEXT_PATTERN, "HIGH", text, F.array_contains("_hits", name), False, name) for name in patterns
-    ]
-    return run_rules(found, table, rules)
+    """Rows per pattern, as findings; one scan, and each text is lower-cased once."""
+    tests = pattern_tests(F.col("_lower"), patterns)
+    rules = [Rule(TEXT_PATTERN, "HIGH", text, test, False, name) for name, test in tests.items()]
+    return run_rules(df.select(F.lower(text).alias("_lower")), table, rules)
 
 
 def whole_value_findings(
