@@ -285,6 +285,16 @@ def row_diff_keyed(spark, folder):
     return compare.row_diff_keyed(read(spark, folder, "orders"), altered_orders(spark, folder), ["o_orderkey"])
 
 
+def row_diff_drill_down(spark, folder):
+    return compare.row_diff_drill_down(
+        read(spark, folder, "orders"),
+        altered_orders(spark, folder),
+        "o_orderkey",
+        25,
+        scales=ORDERS.scales,
+    )
+
+
 def row_diff_multiset(spark, folder):
     return compare.row_diff_multiset(
         read(spark, folder, "orders"), altered_orders(spark, folder), ["o_orderkey", "o_totalprice"]
@@ -612,6 +622,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_rows": sample_rows,
     "sample_diff": sample_diff,
     "row_diff_keyed": row_diff_keyed,
+    "row_diff_drill_down": row_diff_drill_down,
     "row_diff_multiset": row_diff_multiset,
     "duplicate_keys": duplicate_keys,
     "duplicate_groups": duplicate_groups,

@@ -300,9 +300,8 @@ def twins() -> dict[str, str]:
         "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, "
         "l_tax, l_returnflag, l_linestatus, l_shipdate"
     )
-    order_hash = _hash(_ORDER_COLUMNS)
     document_hits, page_hits = _hits("text"), _hits("html")
-    return {
+    sql = {
         "scan_projected": "select o_orderkey, o_custkey, o_totalprice from orders",
         "scan_chunk": """
 with bounds as (select min(o_orderkey) as low, (max(o_orderkey) - min(o_orderkey) + 1) // 4 as q from orders)
@@ -673,3 +672,5 @@ select o_orderkey, case when o_orderkey % 4 = 0 then o_custkey end as whole,
        case when o_orderkey * 10 between -32768 and 32767 then o_orderkey * 10 end as narrow
 from orders""",
     }
+    sql["row_diff_drill_down"] = sql["row_diff_keyed"]
+    return sql

@@ -55,7 +55,11 @@ def exact_integer(value: Column, source: T.DataType, target: T.DataType) -> Colu
     if isinstance(source, (T.FractionalType, T.DecimalType)):
         return F.when(value == F.floor(value), value.try_cast(target))
     text = F.trim(value.cast("string"))
+    # Plain digits are cast as they are; only other forms, such as exponents, take the
+    # slow way over decimals.
     number = text.try_cast("decimal(38,18)")
-    # The cast rounds from the 19th decimal on, so the digits themselves are looked at too.
-    fraction = text.rlike(r"\.[0-9]*[1-9][0-9]*$")
-    return F.when((number == F.floor(number)) & ~fraction, number.try_cast(target))
+    return (
+        F.when(text.rlike(r"^[+-]?[0-9]+(\.0*)?$"), F.substring_index(text, ".", 1).try_cast(target))
+        .when(text.rlike(r"\.[0-9]*[1-9][0-9]*$"), None)
+        .when(number == F.floor(number), number.try_cast(target))
+    )

@@ -29,6 +29,9 @@ BLOCK = 10_000
 # per file, some 20 MB at the limit); beyond it the offsets are joined.
 BROADCAST_FILES = 100_000
 
+# Lists of at most this many chunk numbers (8 bytes each) are broadcast.
+BROADCAST_CHUNKS = 100_000
+
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the position in its low bits
 
 
@@ -166,6 +169,13 @@ def number_rows(
     ``stable_input`` says that recomputing ``df`` gives the same rows in the same order,
     as a file scan with filters and projections does; other inputs are written first.
     """
+    return _numbered(df, order_by, partitions, stable_input).drop("_total")
+
+
+def _numbered(
+    df: DataFrame, order_by: Sequence[str], partitions: int | None, stable_input: bool
+) -> DataFrame:
+    """Rows with ``row_no`` and the number of all rows, ``_total``."""
     source = df if stable_input else settle(df)
     partitions = partitions or default_partitions(df.sparkSession)
     order = [F.col(c).asc_nulls_first() for c in order_by]
@@ -183,7 +193,11 @@ def number_rows(
     starts = (
         placed.groupBy(part.alias("_part"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+        .select(
+            "_part",
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
+            F.sum("_rows").over(Window.partitionBy()).alias("_total"),
+        )
     )
     return (
         placed.withColumn("_part", part)
@@ -208,16 +222,18 @@ def plan_row_numbers(
     numbering the table anew.
     """
     check_size(size)
-    numbered = number_rows(df.select(*keys), keys, partitions, stable_input)
+    row, total = F.col("row_no"), F.col("_total")
+    edges = _numbered(df.select(*keys), keys, partitions, stable_input).where(
+        (row % size == 1) | (row % size == 0) | (row == total) | F.lit(size == 1)
+    )
     key = F.struct(*keys)
     return (
-        numbered.groupBy((whole_div(F.col("row_no") - 1, size) + 1).alias("chunk_no"))
+        edges.groupBy((whole_div(row - 1, size) + 1).alias("chunk_no"))
         .agg(
             F.min("row_no").alias("first_row"),
             F.max("row_no").alias("last_row"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.min(key).alias("first_key"),
-            F.max(key).alias("last_key"),
+            F.min_by(key, row).alias("first_key"),
+            F.max_by(key, row).alias("last_key"),
         )
         .select(
             F.lit(table).alias("table_name"),
@@ -229,7 +245,7 @@ def plan_row_numbers(
             "first_key",
             "last_key",
             F.lit(ROW_NUMBER).alias("strategy"),
-            "row_count",
+            (F.col("last_row") - F.col("first_row") + 1).alias("row_count"),
         )
     )
 

@@ -8,17 +8,15 @@ shuffle, and no join has to bring a frequent key into one task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.functions.canon import (
-    bytes_as_text,
-    digest_aggregates,
-    row_fingerprint,
-    split_columns,
-)
-from tallyport.operators.chunks import chunk_id, range_number
+from tallyport.functions.canon import digest_aggregates, row_fingerprint, split_columns
+from tallyport.operators.chunks import BROADCAST_CHUNKS, chunk_id, range_number
+from tallyport.runtime import settle
 from tallyport.sources.tables import path_exists
 
 PASS, WARNING, FAIL = "PASS", "WARNING", "FAIL"
@@ -170,34 +168,45 @@ def checksum_by_chunk(
     """
     columns = columns or split_columns(source.schema)[0]
     low = source.agg(F.min(key)).scalar()
-    united = None
-    for is_source, df in ((True, source), (False, target)):
-        number = F.when(F.col(key) < low, F.lit(0)).otherwise(range_number(df, key, size, low))
-        one = df.select(
-            number.cast("bigint").alias("chunk_no"),
+    return _side_digests(source, target, key, size, columns, scales, low).select(
+        F.lit(table).alias("table_name"),
+        chunk_id(table, F.col("chunk_no")).alias("chunk_id"),
+        *[f"{side}_{name}" for side in _SIDES for name in _DIGEST],
+        verdict(_sides_agree()).alias("status"),
+    )
+
+
+_SIDES = ("source", "target")
+_DIGEST = ("rows", "xor", "sum")
+
+
+def _side_chunk(df: DataFrame, key: str, size: int, low: Column) -> Column:
+    number = F.when(F.col(key) < low, F.lit(0)).otherwise(range_number(df, key, size, low))
+    return number.cast("bigint")
+
+
+def _side_digests(source, target, key, size, columns, scales, low) -> DataFrame:
+    """Digests of both sides per chunk number, from one aggregation over both."""
+    hashed = [
+        df.select(
+            _side_chunk(df, key, size, low).alias("chunk_no"),
             row_fingerprint(df, columns, scales).alias("_hash"),
-            F.lit(is_source).alias("_source"),
+            F.lit(side).alias("_side"),
         )
-        united = one if united is None else united.unionByName(one)
-    aggregates = []
-    for side, test in (("source", F.col("_source")), ("target", ~F.col("_source"))):
+        for side, df in zip(_SIDES, (source, target), strict=True)
+    ]
+    aggregates = [
+        aggregate.alias(f"{side}_{name}")
+        for side in _SIDES
         for aggregate, name in zip(
-            digest_aggregates(F.col("_hash"), test), ("rows", "xor", "sum"), strict=True
-        ):
-            aggregates.append(aggregate.alias(f"{side}_{name}"))
-    same = F.lit(True)
-    for name in ("rows", "xor", "sum"):
-        same = same & (F.col(f"source_{name}") == F.col(f"target_{name}"))
-    return (
-        united.groupBy("chunk_no")
-        .agg(*aggregates)
-        .select(
-            F.lit(table).alias("table_name"),
-            chunk_id(table, F.col("chunk_no")).alias("chunk_id"),
-            *[f"{side}_{name}" for side in ("source", "target") for name in ("rows", "xor", "sum")],
-            verdict(same).alias("status"),
+            digest_aggregates(F.col("_hash"), F.col("_side") == side), _DIGEST, strict=True
         )
-    )
+    ]
+    return hashed[0].unionByName(hashed[1]).groupBy("chunk_no").agg(*aggregates)
+
+
+def _sides_agree() -> Column:
+    return reduce(and_, [F.col(f"source_{name}") == F.col(f"target_{name}") for name in _DIGEST])
 
 
 # --- stored fingerprints -----------------------------------------------------------
@@ -256,13 +265,20 @@ def fingerprint_drift(baseline: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, keys: Sequence[str] = (), size: int = 100) -> DataFrame:
-    """The first ``size`` rows by key, else by all comparable columns; bytes as text.
+    """The first ``size`` rows by key, else by all comparable columns.
 
     Rows equal in the key are ordered by the other columns, so both sides pick alike.
+    With a single key the key column is read first, and its ``size``-th value then bounds
+    the scan of the whole rows.
     """
     scalar, _ = split_columns(df.schema)
+    rows = df.select(*scalar)
+    if len(keys) == 1:
+        key = F.col(keys[0])
+        last = df.select(key.alias("_key")).orderBy(F.col("_key").asc_nulls_first()).limit(size)
+        rows = rows.where((key <= last.agg(F.max("_key")).scalar()) | key.isNull())
     order = [*keys, *[c for c in scalar if c not in keys]]
-    return df.select(*scalar).orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(size)
+    return rows.orderBy(*[F.col(c).asc_nulls_first() for c in order]).limit(size)
 
 
 def sample_result(
@@ -376,11 +392,32 @@ def row_diff_keyed(
     )
 
 
-def readable_bytes(df: DataFrame) -> DataFrame:
-    """Binary columns shown as UTF-8 text, for reports and samples."""
-    return df.select(
-        *[
-            bytes_as_text(F.col(name)).alias(name) if kind == "binary" else F.col(name)
-            for name, kind in df.dtypes
-        ]
-    )
+def row_diff_drill_down(
+    source: DataFrame,
+    target: DataFrame,
+    key: str,
+    size: int,
+    columns: Sequence[str] | None = None,
+    scales: Mapping[str, int] | None = None,
+) -> DataFrame:
+    """:func:`row_diff_keyed` on a single key, looking only into key ranges whose
+    checksums differ.
+
+    The checksums need no row to be shuffled, so where few ranges differ this saves the
+    shuffle of the rest.  Where many do, all rows are compared.  Columns count as far as
+    their ``scales`` go.
+    """
+    columns = list(columns or split_columns(source.schema)[0])
+    low = source.agg(F.min(key)).scalar()
+    digests = _side_digests(source, target, key, size, columns, scales, low)
+    # Written first: how many there are decides how to go on.
+    differing = settle(digests.where(~_sides_agree()).select("chunk_no"))
+    if differing.count() > BROADCAST_CHUNKS:
+        return row_diff_keyed(source, target, [key], columns)
+    sides = [
+        df.withColumn("chunk_no", _side_chunk(df, key, size, low))
+        .join(F.broadcast(differing), "chunk_no", "left_semi")
+        .drop("chunk_no")
+        for df in (source, target)
+    ]
+    return row_diff_keyed(*sides, [key], columns)

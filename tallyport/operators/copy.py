@@ -14,6 +14,7 @@ from tallyport.functions.convert import DEFAULT_CONVERTERS, Converter, convert_v
 from tallyport.functions.names import rename_reserved
 from tallyport.operators import ledger as L
 from tallyport.operators.chunks import (
+    BROADCAST_CHUNKS,
     KEY_RANGE,
     assign_chunks,
     choose_strategy,
@@ -84,27 +85,42 @@ def copy_table(
         raise ValueError(f"table {table.name} already has a column {CHUNK_COLUMN}")
     spark = source.sparkSession
     keys = table.primary_key
-    todo = L.row_capped_chunks(plan_chunks(source, table.name, keys, chunk_size), row_cap)
+    plan = L.row_capped_chunks(plan_chunks(source, table.name, keys, chunk_size), row_cap)
     if path_exists(spark, paths.ledger):
-        todo = L.pending_chunks(todo, L.latest_state(L.read_ledger(spark, paths.ledger, run_id)))
-    todo = settle(todo)
-    skipped = todo.where(F.col("status") == L.SKIPPED)
+        state = L.latest_state(L.read_ledger(spark, paths.ledger, run_id))
+        done = state.where(F.col("status") == L.SUCCESS).select(
+            "table_name", "chunk_id", F.lit(L.SUCCESS).alias("_done")
+        )
+        plan = plan.join(done, ["table_name", "chunk_id"], "left").withColumn(
+            "status", F.coalesce("_done", "status")
+        )
+    plan = settle(plan)
+    skipped = plan.where(F.col("status") == L.SKIPPED)
     L.append_ledger(_records(skipped, table, run_id, L.SKIPPED, datetime.now(UTC)), paths.ledger)
 
-    pending = todo.where(F.col("status") == L.PENDING)
-    low, high = pending.agg(F.min(CHUNK_COLUMN), F.max(CHUNK_COLUMN)).first()
+    pending = F.col("status") == L.PENDING
+    low, high = plan.where(pending).agg(F.min(CHUNK_COLUMN), F.max(CHUNK_COLUMN)).first()
     if low is not None:
         rows, window = _placed_rows(source, keys, chunk_size)
         step = -(-(high - low + 1) // max(1, waves))
         for start in range(low, high + 1, step):
             end = min(start + step - 1, high)
-            wave = pending.where(F.col(CHUNK_COLUMN).between(start, end))
-            if not wave.isEmpty():
-                part = rows.where(window(start, end))
+            around = plan.where(F.col(CHUNK_COLUMN).between(start, end))
+            wanted, planned = around.agg(F.count_if(pending), F.count(F.lit(1))).first()
+            if wanted:
+                part, wave = rows.where(window(start, end)), around.where(pending)
+                if wanted < planned:
+                    part = _rows_of(part, wave.select(CHUNK_COLUMN), wanted)
                 _copy_wave(prepare_rows(part, policy, converters), wave, table, paths, run_id)
     return L.read_ledger(spark, paths.ledger, run_id)
 
 
+def _rows_of(rows: DataFrame, chunks: DataFrame, how_many: int) -> DataFrame:
+    """Rows of some chunks only, as a restart needs them."""
+    chunks = F.broadcast(chunks) if how_many <= BROADCAST_CHUNKS else chunks
+    return rows.join(chunks, CHUNK_COLUMN, "left_semi")
+
+
 def _placed_rows(source: DataFrame, keys, chunk_size: int):
     """Rows with their chunk, and a filter for a run of chunks.
 
@@ -133,9 +149,8 @@ def _placed_rows(source: DataFrame, keys, chunk_size: int):
 def _copy_wave(rows: DataFrame, wave: DataFrame, table: Table, paths: CopyPaths, run_id: str) -> None:
     spark = rows.sparkSession
     started = datetime.now(UTC)
-    wanted = wave.select(CHUNK_COLUMN)
     try:
-        replace_partitions(rows.join(wanted, CHUNK_COLUMN, "left_semi"), paths.target, CHUNK_COLUMN)
+        replace_partitions(rows, paths.target, CHUNK_COLUMN)
     except Exception as problem:
         error_id = f"err-{uuid.uuid4()}"
         _record_error(spark, problem, error_id, table, paths, run_id)

@@ -13,6 +13,8 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyport.functions.canon import split_columns
+from tallyport.runtime import default_partitions
 from tallyport.specs import ForeignKey
 
 
@@ -41,7 +43,7 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their counts; keys with a null do not
     count as equal."""
     keys = _names(keys)
-    return df.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    return df.where(all_set(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -106,7 +108,7 @@ def orphan_keys(
     """Foreign-key values without a parent, with the number of child rows that hold them."""
     columns, parent_columns = _aligned(columns, parent_columns)
     return (
-        _counted(child.dropna(subset=columns), columns)
+        _counted(child.where(all_set(columns)), columns)
         .join(_as_key(parent, parent_columns, columns), columns, "left_anti")
         .withColumnRenamed("_rows", "child_rows")
     )
@@ -157,7 +159,7 @@ def excluded_parent_impact(
     """Child rows per key value of an excluded parent: rows that cannot keep their parent."""
     columns, parent_columns = _aligned(columns, parent_columns)
     return (
-        _counted(child.dropna(subset=columns), columns)
+        _counted(child.where(all_set(columns)), columns)
         .join(_as_key(excluded_parents, parent_columns, columns), columns, "left_semi")
         .withColumnRenamed("_rows", "child_rows")
     )
@@ -226,9 +228,7 @@ def parent_first(tables: Sequence[str], keys: Sequence[ForeignKey]) -> list[str]
 def fk_closed_subset(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> dict[str, DataFrame]:
     """Cut every table down to rows whose parents are in the (already cut) parent tables.
 
-    Rows with a null in the foreign key have no parent to lose and stay.  Each reference
-    is one left join against the distinct parent keys, of which AQE splits the child side
-    where one key (or null) holds many rows.
+    Rows with a null in the foreign key have no parent to lose and stay.
     """
     cut: dict[str, DataFrame] = {}
     given = {name.upper(): df for name, df in tables.items()}
@@ -236,13 +236,36 @@ def fk_closed_subset(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]
         df = given[name.upper()]
         for key in keys:
             parent = key.parent.upper()
-            if key.child.upper() != name.upper() or parent == name.upper() or parent not in cut:
-                continue
-            known = _as_key(cut[parent], key.parent_columns, key.columns).distinct()
-            df = (
-                df.join(known.withColumn("_kept", F.lit(True)), list(key.columns), "left")
-                .where(F.col("_kept") | ~all_set(key.columns))
-                .select(*df.columns)
-            )
+            if key.child.upper() == name.upper() and parent != name.upper() and parent in cut:
+                df = _with_parent(df, cut[parent], key)
         cut[name.upper()] = df
     return {name: cut[name.upper()] for name in tables}
+
+
+def _with_parent(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
+    """Child rows that have a parent or need none, by one semi join.
+
+    Rows that need none look for one of a few open slots instead of a parent, so nulls
+    spread over as many tasks as there are slots.  Both sides of the join are plain
+    shuffles, which lets AQE split the child rows of a frequent key.
+    """
+    spark = child.sparkSession
+    slots = default_partitions(spark)
+    complete = all_set(key.columns)
+    free = F.pmod(F.xxhash64(*split_columns(child.schema)[0]), F.lit(slots))
+    sought = child.select(
+        "*",
+        F.when(complete, F.lit(-1).cast("bigint")).otherwise(free).alias("_slot"),
+        *[F.when(complete, F.col(c)).alias(f"_child{i}") for i, c in enumerate(key.columns)],
+    )
+    known = parent.where(all_set(key.parent_columns)).select(
+        F.lit(-1).cast("bigint").alias("_open"),
+        *[F.col(c).alias(f"_parent{i}") for i, c in enumerate(key.parent_columns)],
+    )
+    open_slots = spark.range(slots).select(
+        F.col("id").alias("_open"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in known.schema[1:]]
+    )
+    match = [F.col("_slot") == F.col("_open")]
+    match += [F.col(f"_child{i}").eqNullSafe(F.col(f"_parent{i}")) for i in range(len(key.columns))]
+    kept = sought.join(known.unionByName(open_slots), reduce(and_, match), "left_semi")
+    return kept.select(*child.columns)

@@ -70,6 +70,10 @@ def misfit(value: Column, source: T.DataType, target: T.DataType, max_length: in
     lost = value.isNotNull() & fitted.isNull()
     if isinstance(target, T.DecimalType):
         # A cast rounds silently; digits behind the scale count as a misfit.
+        if isinstance(source, (T.DecimalType, T.IntegralType)):
+            return lost | ~value.eqNullSafe(fitted)
+        if isinstance(source, (T.FloatType, T.DoubleType)):
+            return lost | ~value.eqNullSafe(fitted.cast(source))
         full = F.trim(value.cast("string")).try_cast("decimal(38,18)")
         return lost | (full.isNotNull() & ~full.eqNullSafe(fitted.cast("decimal(38,18)")))
     return lost
