@@ -95,11 +95,12 @@ def copy_table(
             "status", F.coalesce("_done", "status")
         )
     plan = settle(plan)
-    skipped = plan.where(F.col("status") == L.SKIPPED)
-    L.append_ledger(_records(skipped, table, run_id, L.SKIPPED, datetime.now(UTC)), paths.ledger)
-
-    pending = F.col("status") == L.PENDING
-    low, high = plan.where(pending).agg(F.min(CHUNK_COLUMN), F.max(CHUNK_COLUMN)).first()
+    pending, skipped = F.col("status") == L.PENDING, F.col("status") == L.SKIPPED
+    number = F.when(pending, F.col(CHUNK_COLUMN))
+    low, high, left_out = plan.agg(F.min(number), F.max(number), F.count_if(skipped)).first()
+    if left_out:
+        records = _records(plan.where(skipped), table, run_id, L.SKIPPED, datetime.now(UTC))
+        L.append_ledger(records, paths.ledger)
     if low is not None:
         rows, window = _placed_rows(source, keys, chunk_size)
         step = -(-(high - low + 1) // max(1, waves))
@@ -112,6 +113,8 @@ def copy_table(
                 if wanted < planned:
                     part = _rows_of(part, wave.select(CHUNK_COLUMN), wanted)
                 _copy_wave(prepare_rows(part, policy, converters), wave, table, paths, run_id)
+    if not path_exists(spark, paths.ledger):  # an empty table has no chunk to record
+        L.append_ledger(spark.createDataFrame([], L.LEDGER_SCHEMA), paths.ledger)
     return L.read_ledger(spark, paths.ledger, run_id)
 
 
@@ -158,8 +161,9 @@ def _copy_wave(rows: DataFrame, wave: DataFrame, table: Table, paths: CopyPaths,
         L.append_ledger(failed, paths.ledger)
         raise CopyFailed(error_id, table.name) from problem
     written = (
-        spark.read.parquet(paths.target)
-        .groupBy(F.col(CHUNK_COLUMN).cast("bigint").alias(CHUNK_COLUMN))
+        spark.read.schema(rows.schema)
+        .parquet(paths.target)
+        .groupBy(CHUNK_COLUMN)
         .agg(F.count(F.lit(1)).alias("_written"))
     )
     counted = wave.join(written, CHUNK_COLUMN, "left").fillna(0, "_written")

@@ -34,7 +34,7 @@ def append_ledger(rows: DataFrame, path: str) -> None:
 
 
 def read_ledger(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    ledger = spark.read.parquet(path)
+    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(path)
     return ledger if run_id is None else ledger.where(F.col("run_id") == run_id)
 
 
