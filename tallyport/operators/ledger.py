@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyport.operators.chunks import running_total
 
@@ -34,7 +35,9 @@ def append_ledger(rows: DataFrame, path: str) -> None:
 
 
 def read_ledger(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    ledger = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    stored = spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    # the partition column comes last when read back
+    ledger = stored.select(*T.StructType.fromDDL(LEDGER_SCHEMA).names)
     return ledger if run_id is None else ledger.where(F.col("run_id") == run_id)
 
 

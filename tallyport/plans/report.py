@@ -117,15 +117,18 @@ def readiness_rows(findings: DataFrame) -> DataFrame:
     )
 
 
+# Quotes are doubled, and blanks around a value belong to it.
+_CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
+_KEEP_BLANKS = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; a cell is quoted only if it must be, and quotes are doubled."""
-    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', emptyValue="", nullValue="")
+    """CSV with a header; a cell is quoted only if it must be."""
+    df.write.mode("overwrite").csv(path, nullValue="", **_CSV, **_KEEP_BLANKS)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.csv(
-        path, schema=schema, header=True, quote='"', escape='"', multiLine=True, emptyValue="", nullValue=None
-    )
+    return spark.read.csv(path, schema=schema, multiLine=True, **_CSV, **_KEEP_BLANKS)
 
 
 def write_json(df: DataFrame, path: str) -> None:
