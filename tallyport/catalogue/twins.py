@@ -417,6 +417,14 @@ select 'checksum', 'PASS', 'customer', 'source=' || {customer} || ' target=' ||
 union all
 select 'checksum', 'WARNING', 'documents',
        'source=' || {documents} || ' target=' || {documents} || ' (Skipped LOB columns: [text])'""",
+        "checksum_native": f"""
+with {_ALTERED},
+changed as (
+  select (select count(*) from (select * from orders except all select * from altered))
+       + (select count(*) from (select * from altered except all select * from orders)) as n)
+select 'checksum' as name, case when n = 0 then 'PASS' else 'FAIL' end as status, 'orders' as object_name
+from changed
+union all select 'checksum', 'PASS', 'customer'""",
         "checksum_by_chunk": f"""
 with {_ALTERED},
 s as (select {_order_chunk("orders", 50)} as chunk_no, {_digest(_ORDER_COLUMNS)} from orders group by 1),

@@ -14,7 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.functions.canon import digest_aggregates, row_fingerprint, split_columns
+from tallyport.functions.canon import NATIVE, PORTABLE, digest_aggregates, row_fingerprint, split_columns
 from tallyport.operators.chunks import BROADCAST_CHUNKS, chunk_id, range_number
 from tallyport.runtime import settle
 from tallyport.sources.tables import path_exists
@@ -73,10 +73,13 @@ def row_count_check(source: DataFrame, target: DataFrame, table: str) -> DataFra
 
 
 def table_digest(
-    df: DataFrame, columns: Sequence[str] | None = None, scales: Mapping[str, int] | None = None
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    scales: Mapping[str, int] | None = None,
+    method: str = PORTABLE,
 ) -> DataFrame:
     """Count, xor and sum of the row fingerprints: one scan, no sort, no row shuffled."""
-    return df.select(row_fingerprint(df, columns, scales).alias("_hash")).agg(
+    return df.select(row_fingerprint(df, columns, scales, method).alias("_hash")).agg(
         *digest_aggregates(F.col("_hash"))
     )
 
@@ -86,13 +89,14 @@ def both_digests(
     target: DataFrame,
     columns: Sequence[str] | None = None,
     scales: Mapping[str, int] | None = None,
+    method: str = PORTABLE,
 ) -> DataFrame:
     """Digests of both sides in one row, as ``source_*`` and ``target_*``."""
     columns = columns or split_columns(source.schema)[0]
     sides = {"source": source, "target": target}
     united = None
     for side, df in sides.items():
-        digest = table_digest(df, columns, scales)
+        digest = table_digest(df, columns, scales, method)
         wide = digest.select(
             *[
                 (F.col(c) if s == side else F.lit(None).cast(digest.schema[c].dataType)).alias(f"{s}_{c}")
@@ -121,12 +125,17 @@ def checksum_columns(table: str, skipped: Sequence[str] = ()) -> list[Column]:
 
 
 def checksum_check(
-    source: DataFrame, target: DataFrame, table: str, scales: Mapping[str, int] | None = None
+    source: DataFrame,
+    target: DataFrame,
+    table: str,
+    scales: Mapping[str, int] | None = None,
+    method: str = PORTABLE,
 ) -> DataFrame:
     scalar, large = split_columns(source.schema)
     if not scalar:
         raise ValueError(f"table {table} has no column to compare; large columns: {large}")
-    return both_digests(source, target, scalar, scales).select(*checksum_columns(table, large))
+    digests = both_digests(source, target, scalar, scales, method)
+    return digests.select(*checksum_columns(table, large))
 
 
 def _skipped_note(skipped: Sequence[str]) -> str:
@@ -141,10 +150,12 @@ def chunk_digests(
     columns: Sequence[str] | None = None,
     scales: Mapping[str, int] | None = None,
     low: Column | None = None,
+    method: str = PORTABLE,
 ) -> DataFrame:
     """Digest per key range."""
     hashed = df.select(
-        range_number(df, key, size, low).alias("chunk_no"), row_fingerprint(df, columns, scales).alias("_hash")
+        range_number(df, key, size, low).alias("chunk_no"),
+        row_fingerprint(df, columns, scales, method).alias("_hash"),
     )
     return (
         hashed.groupBy("chunk_no")
@@ -161,6 +172,7 @@ def checksum_by_chunk(
     size: int,
     columns: Sequence[str] | None = None,
     scales: Mapping[str, int] | None = None,
+    method: str = PORTABLE,
 ) -> DataFrame:
     """Row counts and digests of both sides per key range of the source, with a status.
 
@@ -168,7 +180,7 @@ def checksum_by_chunk(
     """
     columns = columns or split_columns(source.schema)[0]
     low = source.agg(F.min(key)).scalar()
-    return _side_digests(source, target, key, size, columns, scales, low).select(
+    return _side_digests(source, target, key, size, columns, scales, low, method).select(
         F.lit(table).alias("table_name"),
         chunk_id(table, F.col("chunk_no")).alias("chunk_id"),
         *[f"{side}_{name}" for side in _SIDES for name in _DIGEST],
@@ -185,12 +197,12 @@ def _side_chunk(df: DataFrame, key: str, size: int, low: Column) -> Column:
     return number.cast("bigint")
 
 
-def _side_digests(source, target, key, size, columns, scales, low) -> DataFrame:
+def _side_digests(source, target, key, size, columns, scales, low, method) -> DataFrame:
     """Digests of both sides per chunk number, from one aggregation over both."""
     hashed = [
         df.select(
             _side_chunk(df, key, size, low).alias("chunk_no"),
-            row_fingerprint(df, columns, scales).alias("_hash"),
+            row_fingerprint(df, columns, scales, method).alias("_hash"),
             F.lit(side).alias("_side"),
         )
         for side, df in zip(_SIDES, (source, target), strict=True)
@@ -409,7 +421,7 @@ def row_diff_drill_down(
     """
     columns = list(columns or split_columns(source.schema)[0])
     low = source.agg(F.min(key)).scalar()
-    digests = _side_digests(source, target, key, size, columns, scales, low)
+    digests = _side_digests(source, target, key, size, columns, scales, low, NATIVE)
     # Written first: how many there are decides how to go on.
     differing = settle(digests.where(~_sides_agree()).select("chunk_no"))
     if differing.count() > BROADCAST_CHUNKS:

@@ -98,8 +98,13 @@ def _counted(child: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _as_key(parent: DataFrame, parent_columns: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The parent's key under the child's column names."""
-    return parent.select(*[F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True)])
+    """The parent's distinct keys under the child's column names.
+
+    Distinct although a parent key ought to be: a value that occurs very often is combined
+    before the shuffle, and the join uses the shuffle that this makes.
+    """
+    named = [F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True)]
+    return parent.where(all_set(parent_columns)).select(*named).distinct()
 
 
 def orphan_keys(
@@ -131,7 +136,7 @@ def fk_orphans_full(
     agree.
     """
     columns, parent_columns = _aligned(columns, parent_columns)
-    known = _as_key(parent, parent_columns, columns).distinct().withColumn("_found", F.lit(True))
+    known = _as_key(parent, parent_columns, columns).withColumn("_found", F.lit(True))
     counted = _counted(child, columns).where(all_set(columns) | partly_set(columns))
     rows = counted.join(known, columns, "left")
     missing = F.when(all_set(columns) & F.col("_found").isNull(), F.col("_rows"))
@@ -258,10 +263,8 @@ def _with_parent(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFr
         F.when(complete, F.lit(-1).cast("bigint")).otherwise(free).alias("_slot"),
         *[F.when(complete, F.col(c)).alias(f"_child{i}") for i, c in enumerate(key.columns)],
     )
-    known = parent.where(all_set(key.parent_columns)).select(
-        F.lit(-1).cast("bigint").alias("_open"),
-        *[F.col(c).alias(f"_parent{i}") for i, c in enumerate(key.parent_columns)],
-    )
+    names = [f"_parent{i}" for i in range(len(key.columns))]
+    known = _as_key(parent, key.parent_columns, names).select(F.lit(-1).cast("bigint").alias("_open"), "*")
     open_slots = spark.range(slots).select(
         F.col("id").alias("_open"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in known.schema[1:]]
     )

@@ -61,7 +61,7 @@ def validate_table(
     scalar, large = split_columns(source.schema)
     results = []
     if scalar:
-        digests = compare.both_digests(source, target, scalar, table.scales)
+        digests = compare.both_digests(source, target, scalar, table.scales, table.fingerprint)
         results.append(
             digests.select(
                 F.inline(

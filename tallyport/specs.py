@@ -60,7 +60,8 @@ class ForeignKey:
 
 @dataclass(frozen=True)
 class Table:
-    """A table with its keys; ``scales`` gives the decimals kept of double columns."""
+    """A table with its keys; ``scales`` gives the decimals kept of double columns, and
+    ``fingerprint`` the method of its checksums (``"md5"`` or ``"xxhash64"``)."""
 
     name: str
     schema: str = ""
@@ -68,6 +69,7 @@ class Table:
     foreign_keys: tuple[ForeignKey, ...] = ()
     scales: Mapping[str, int] = field(default_factory=dict)
     excluded: bool = False
+    fingerprint: str = "md5"
 
     @property
     def primary_key(self) -> tuple[str, ...]:

@@ -14,7 +14,7 @@ from tallyport.sources import jdbc
 from tallyport.sources.tables import append_rows, path_exists, replace_rows, require_empty, table_row_counts
 from tallyport.specs import ForeignKey, Key, Table
 
-ACCOUNT = Table("ACCOUNT", "BANK", (Key("PK_ACCOUNT", ("ID",)),))
+ACCOUNT = Table("ACCOUNT", "SALES", (Key("PK_ACCOUNT", ("ID",)),))
 
 
 @pytest.fixture
@@ -38,7 +38,7 @@ def test_copy_renames_and_records(spark, rows, paths):
         ("ACCOUNT-000003", 20, 20, "SUCCESS"),
     ]
     row = ledger.orderBy("chunk_id").first()
-    assert (row["run_id"], row["schema_name"], row["chunk_range"]) == ("run-1", "BANK", "ID >= 1 and ID <= 40")
+    assert (row["run_id"], row["schema_name"], row["chunk_range"]) == ("run-1", "SALES", "ID >= 1 and ID <= 40")
     assert row["retry_count"] == 0 and row["last_error_id"] is None and row["started_at"] <= row["completed_at"]
     copied = spark.read.parquet(paths.target)
     assert set(copied.columns) == {"id", "limit_", "chunk_no"}
@@ -143,7 +143,7 @@ def test_chunk_column_must_be_free(spark, paths):
 
 def record(chunk, status, minute, rows_read=0, error=None, chunk_range="first"):
     at = dt.datetime(2024, 1, 1, 0, minute, tzinfo=dt.UTC)
-    return ("run-1", "BANK", "ACCOUNT", chunk, chunk_range, rows_read, rows_read, status, 0, at, at, error)
+    return ("run-1", "SALES", "ACCOUNT", chunk, chunk_range, rows_read, rows_read, status, 0, at, at, error)
 
 
 def test_latest_state_updates_but_keeps_what_was_first(spark):
@@ -188,7 +188,7 @@ def test_jdbc_needs_predicates(spark):
 # --- migrations --------------------------------------------------------------------
 
 
-def bank(spark):
+def shop(spark):
     sources = {
         "CUSTOMER": spark.range(1, 21).select(F.col("id").alias("ID"), F.lit("x").alias("USER")),
         "ACCOUNT": spark.range(1, 51).select(
@@ -197,14 +197,14 @@ def bank(spark):
     }
     key = ForeignKey("FK_CUSTOMER", "ACCOUNT", ("CUSTOMER_ID",), "CUSTOMER", ("ID",))
     tables = {
-        "ACCOUNT": Table("ACCOUNT", "BANK", (Key("PK_ACCOUNT", ("ID",)),), (key,), {"BALANCE": 2}),
-        "CUSTOMER": Table("CUSTOMER", "BANK", (Key("PK_CUSTOMER", ("ID",)),)),
+        "ACCOUNT": Table("ACCOUNT", "SALES", (Key("PK_ACCOUNT", ("ID",)),), (key,), {"BALANCE": 2}),
+        "CUSTOMER": Table("CUSTOMER", "SALES", (Key("PK_CUSTOMER", ("ID",)),)),
     }
     return sources, tables
 
 
 def test_full_load_passes_and_reports(spark, tmp_path):
-    sources, tables = bank(spark)
+    sources, tables = shop(spark)
     outcome = migrate.full_load(sources, tables, str(tmp_path), "run-1", 20)
     assert outcome.status == "PASS"
     got = sorted((r["name"], r["object_name"], r["status"]) for r in outcome.validations.collect())
@@ -218,12 +218,12 @@ def test_full_load_passes_and_reports(spark, tmp_path):
 
 
 def test_full_load_with_a_cap_fails_validation(spark, tmp_path):
-    sources, tables = bank(spark)
+    sources, tables = shop(spark)
     assert migrate.full_load(sources, tables, str(tmp_path), "run-1", 20, row_cap=5).status == "FAIL"
 
 
 def test_review_makes_a_warning_and_a_stop_prevents_the_copy(spark, tmp_path):
-    sources, tables = bank(spark)
+    sources, tables = shop(spark)
     review = spark.createDataFrame([("NEEDS_REVIEW",)], "status string")
     assert migrate.full_load(sources, tables, f"{tmp_path}/a", "r", 50, needs_review=review).status == "WARNING"
     stop = spark.createDataFrame([("RDN-008", True)], "code string, should_stop boolean")
@@ -233,7 +233,7 @@ def test_review_makes_a_warning_and_a_stop_prevents_the_copy(spark, tmp_path):
 
 
 def test_load_into_existing_tables(spark, tmp_path):
-    sources, tables = bank(spark)
+    sources, tables = shop(spark)
     root = str(tmp_path)
     full = {**sources}
     full["ACCOUNT"] = sources["ACCOUNT"].withColumn(
@@ -258,7 +258,7 @@ def test_load_into_existing_tables(spark, tmp_path):
 def test_excluded_tables_and_outside_parents(spark, tmp_path):
     from dataclasses import replace
 
-    sources, tables = bank(spark)
+    sources, tables = shop(spark)
     tables["CUSTOMER"] = replace(tables["CUSTOMER"], excluded=True)
     with pytest.raises(ValueError, match="no parent table"):
         migrate.full_load(sources, tables, f"{tmp_path}/a", "r", 50)

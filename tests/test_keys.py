@@ -83,10 +83,10 @@ def test_excluded_parents(spark, rows):
 
 
 def test_dependents_of_excluded_items(spark, rows):
-    data = [("V1", 2, "EBA_ATM"), ("V1", 1, "Log"), ("V1", 3, "EBA_ATM"), ("V2", 1, "CUSTOMERS")]
+    data = [("V1", 2, "ATM"), ("V1", 1, "Log"), ("V1", 3, "ATM"), ("V2", 1, "CUSTOMERS")]
     edges = spark.createDataFrame(data, "item string, pos int, dep string")
-    got = keys.excluded_dependents(edges, "item", "dep", ["eba_atm", "LOG"], "pos")
-    assert rows(got) == [("V1", "NEEDS_REVIEW", "References excluded table(s): Log, EBA_ATM")]
+    got = keys.excluded_dependents(edges, "item", "dep", ["atm", "LOG"], "pos")
+    assert rows(got) == [("V1", "NEEDS_REVIEW", "References excluded table(s): Log, ATM")]
     with pytest.raises(ValueError):
         keys.excluded_dependents(edges, "item", "dep", [])
 

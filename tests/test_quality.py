@@ -118,10 +118,10 @@ def test_whole_value_match(spark):
 
 
 def test_exclusion_flags(spark, rows):
-    df = spark.createDataFrame([("EBA_ATM",), ("CUSTOMERS",), (None,)], "name string")
-    wanted = [("CUSTOMERS", "READY", None), ("EBA_ATM", "EXCLUDED", "Excluded by configuration"), (None, "READY", None)]
-    assert rows(quality.exclusion_flags(df, "name", ["eba_Atm"])) == wanted
-    names = spark.createDataFrame([("eba_atm",), ("EBA_ATM",)], "n string")
+    df = spark.createDataFrame([("ATM",), ("CUSTOMERS",), (None,)], "name string")
+    wanted = [("CUSTOMERS", "READY", None), ("ATM", "EXCLUDED", "Excluded by configuration"), (None, "READY", None)]
+    assert rows(quality.exclusion_flags(df, "name", ["aTm"])) == wanted
+    names = spark.createDataFrame([("atm",), ("ATM",)], "n string")
     assert rows(quality.exclusion_flags_by_table(df, "name", names, "n")) == wanted
     assert {r["status"] for r in quality.exclusion_flags(df, "name", []).collect()} == {"READY"}
 
@@ -199,7 +199,7 @@ def test_report_csv_round_trip(spark, tmp_path):
         "sql_text string, message string",
     )
     decisions = spark.createDataFrame(
-        [("TABLE", "EBA_ATM", "EXCLUDED", "Excluded by configuration")],
+        [("TABLE", "ATM", "EXCLUDED", "Excluded by configuration")],
         "object_type string, object_name string, status string, reason string",
     )
     findings = report.findings_frame(spark, quality.shape_findings(spark.range(1), "T", []))
@@ -222,7 +222,7 @@ def test_report_csv_round_trip(spark, tmp_path):
     assert by_type["ERROR"] == [
         ["ERROR", "data-load", "RETRY_OR_MANUAL_REVIEW", "T", "T-000001", "", "select 1, 2", "boom"]
     ]
-    assert by_type["EXCLUSION"][0][1:4] == ["EBA_ATM", "EXCLUDED", "TABLE"]
+    assert by_type["EXCLUSION"][0][1:4] == ["ATM", "EXCLUDED", "TABLE"]
     assert by_type["READINESS"][0][1:3] == ["RDN-005", "MEDIUM"]
     records = [
         json.loads(line)
