@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,17 +62,52 @@ def test_canonical_binary_and_nested(spark):
 
 def test_zoneless_timestamp_does_not_depend_on_the_session_zone(spark):
     df = spark.sql("select timestamp_ntz'2024-07-01 12:34:56.789012' as t, timestamp_ntz'1901-01-01 00:00:00' as u")
-    columns = [canon.epoch_micros(F.col(c), T.TimestampNTZType()) for c in ("t", "u")]
-    before = df.select(*columns).first()
+
+    def micros():
+        return df.select(*[canon.epoch_micros(F.col(c), T.TimestampNTZType()) for c in ("t", "u")]).first()
+
+    before = micros()
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        assert df.select(*columns).first() == before
+        assert tuple(micros()) == tuple(before)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert before[0] == 1719837296789012
     assert before[1] < 0
 
 
+@pytest.mark.parametrize("number", [0.125, -0.125, 0.115, 2.675, 1e15 + 0.3, -7.005, 0.0, 12.344999])
+def test_cents_round_half_away_from_zero(spark, number):
+    df = spark.createDataFrame([(number,)], "d double")
+    text = one(df.select(canon.canonical_text(F.col("d"), T.DoubleType(), 2)))
+    shifted = number * 100.0
+    wanted = math.copysign(math.floor(abs(shifted)) + (abs(shifted) % 1 >= 0.5), shifted)
+    assert text == str(int(wanted))
+
+
+@pytest.mark.parametrize("method", [canon.PORTABLE, canon.NATIVE])
+def test_fingerprints_tell_rows_apart_and_look_past_types(spark, method):
+    values = [(1, None, "a"), (1, "a", None), (None, "1", "a"), (2, "", "a"), (2, None, "a"), (2, "a", "a")]
+    df = spark.createDataFrame(values, "n long, x string, y string")
+    prints = [r[0] for r in df.select(canon.row_fingerprint(df, method=method)).collect()]
+    assert len(set(prints)) == len(values)
+    assert all(0 <= p < 1 << 60 for p in prints)
+    other = df.withColumn("n", F.col("n").cast("decimal(18,0)"))
+    assert [r[0] for r in other.select(canon.row_fingerprint(other, method=method)).collect()] == prints
+
+
+def test_native_fingerprint_of_other_types(spark):
+    df = spark.sql(
+        "select date'2024-01-01' as d, timestamp_ntz'2024-01-01 01:02:03' as t, 1.5BD as b, true as f, "
+        "1.2d as p, double('NaN') as q, interval '1' day as i"
+    )
+    value = one(df.select(canon.row_fingerprint(df, scales={"p": 2, "q": 2}, method=canon.NATIVE)))
+    near = df.withColumn("p", F.lit(1.2004))
+    assert one(near.select(canon.row_fingerprint(near, scales={"p": 2, "q": 2}, method=canon.NATIVE))) == value
+    with pytest.raises(ValueError, match="method"):
+        canon.row_fingerprint(df, method="crc")
+
+
 def test_large_columns_are_split_off(spark):
     schema = T.StructType(
         [
