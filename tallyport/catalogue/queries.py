@@ -379,6 +379,22 @@ def excluded_parent_impact(spark, folder):
     )
 
 
+def excluded_parent_findings(spark, folder):
+    """Orders of excluded customers, and customers of no excluded nation."""
+    customer, nation = read(spark, folder, "customer"), read(spark, folder, "nation")
+    to_nation = ForeignKey("fk_nation", "customer", ("c_nationkey",), "nation", ("n_nationkey",))
+    return validate.union_all(
+        [
+            quality.excluded_parent_findings(
+                broken_order_customers(spark, folder),
+                customer.where(F.col("c_acctbal") < 0),
+                ORDERS.foreign_keys[0],
+            ),
+            quality.excluded_parent_findings(customer, nation.where(F.col("n_name") == "NONE"), to_nation),
+        ]
+    )
+
+
 def excluded_dependents(spark, folder):
     """Customers depend on their nation, its region and their segment, in this order."""
     placed = (
@@ -647,6 +663,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fk_orphans_composite": fk_orphans_composite,
     "fk_orphans_full": fk_orphans_full,
     "excluded_parent_impact": excluded_parent_impact,
+    "excluded_parent_findings": excluded_parent_findings,
     "excluded_dependents": excluded_dependents,
     "exclusion_flags": exclusion_flags,
     "exclusion_flags_by_table": exclusion_flags_by_table,

@@ -545,6 +545,15 @@ select c_nationkey, count(*) as child_rows from customer
 where c_nationkey in (select n_nationkey from nation join region on n_regionkey = r_regionkey
                       where r_name = 'ASIA')
 group by 1""",
+        "excluded_parent_findings": f"""
+with {_BROKEN_ORDERS},
+hit as (select count(*) as n from broken_orders join customer on o_custkey = c_custkey where c_acctbal < 0)
+select 'RDN-008' as code, 'BLOCKER' as severity, 'orders' as object_name, 'o_custkey' as column_name,
+       'fk_customer refers to excluded rows of customer' as description, n as bad_rows, n > 0 as should_stop
+from hit
+union all
+select 'RDN-008', 'BLOCKER', 'customer', 'c_nationkey', 'fk_nation refers to excluded rows of nation',
+       0, false""",
         "excluded_dependents": _EXCLUDED_DEPENDENTS,
         "exclusion_flags": """
 select c_custkey, c_mktsegment,

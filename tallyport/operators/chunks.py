@@ -15,7 +15,7 @@ from pyspark.sql.utils import AnalysisException
 from pyspark.sql.window import Window
 
 from tallyport.functions.canon import split_columns
-from tallyport.runtime import default_partitions, settle
+from tallyport.runtime import default_partitions, settle_table
 
 # Strategy names as they appear in chunk reports.
 KEY_RANGE = "NUMERIC_PRIMARY_KEY"
@@ -176,7 +176,7 @@ def _numbered(
     df: DataFrame, order_by: Sequence[str], partitions: int | None, stable_input: bool
 ) -> DataFrame:
     """Rows with ``row_no`` and the number of all rows, ``_total``."""
-    source = df if stable_input else settle(df)
+    source = df if stable_input else settle_table(df, "input")
     partitions = partitions or default_partitions(df.sparkSession)
     order = [F.col(c).asc_nulls_first() for c in order_by]
     placed = (
@@ -185,7 +185,7 @@ def _numbered(
         .sortWithinPartitions(*order, F.col("_spot"))
         .withColumn("_spot", F.monotonically_increasing_id())
     )
-    placed = settle(placed)
+    placed = settle_table(placed, "numbered")
     part = F.shiftright(F.col("_spot"), _POSITION_BITS)
     inside = F.col("_spot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     # At most one row per partition, so one task and a broadcast are bounded.

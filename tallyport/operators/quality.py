@@ -18,7 +18,8 @@ from tallyport.functions.canon import split_columns
 from tallyport.functions.convert import exact_integer
 from tallyport.functions.text import pattern_tests, whole_value_matches
 from tallyport.functions.types import BLOCKED, REVIEW, TypeChoice
-from tallyport.specs import Rule
+from tallyport.operators.keys import excluded_parent_impact
+from tallyport.specs import ForeignKey, Rule
 
 # Severities, most severe first, and the finding codes used here.
 SEVERITIES = ("BLOCKER", "HIGH", "MEDIUM", "LOW")
@@ -263,6 +264,20 @@ def _flagged(df: DataFrame, hit: Column, ready: str) -> DataFrame:
     )
 
 
+def excluded_parent_findings(child: DataFrame, excluded_parents: DataFrame, key: ForeignKey) -> DataFrame:
+    """Child rows that refer to an excluded parent, as a finding that stops the run."""
+    impact = excluded_parent_impact(child, excluded_parents, key.columns, key.parent_columns)
+    return impact.agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("bad_rows")).select(
+        F.lit(EXCLUDED_PARENT).alias("code"),
+        F.lit("BLOCKER").alias("severity"),
+        F.lit(key.child).alias("object_name"),
+        F.lit(", ".join(key.columns)).alias("column_name"),
+        F.lit(f"{key.name} refers to excluded rows of {key.parent}").alias("description"),
+        "bad_rows",
+        (F.col("bad_rows") > 0).alias("should_stop"),
+    )
+
+
 # --- findings from the shape of a table --------------------------------------------
 
 

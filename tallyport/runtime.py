@@ -27,18 +27,40 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def work_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark).rstrip('/')}/tallyport/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tallyport/{label}-{uuid.uuid4().hex}"
+    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage once, so that later passes see the same rows
-    in the same partitions even after executors are lost."""
+    """Cut the lineage of a small result, so that later passes see the same rows."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def settle_table(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and read it from there.
+
+    For results as large as a table: unlike a checkpoint they are compressed, and later
+    passes read only the columns they need.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application wrote with :func:`work_path` and
+    :func:`settle_table`; frames that read it are no longer usable."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def default_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyport import runtime
 from tallyport.operators import chunks, ledger
+from tallyport.sources.tables import path_exists
 
 
 def keyed(spark, values, kind="bigint"):
@@ -130,6 +132,15 @@ def test_equal_rows_spread_over_partitions(spark):
     assert {r["row_count"] for r in plan.collect()} == {1000}
 
 
+def test_work_is_kept_in_the_shared_folder_and_can_be_cleared(spark):
+    numbered = chunks.number_rows(spark.range(10), ["id"], 2)
+    folder = runtime.work_folder(spark)
+    assert folder.startswith(runtime.shared_folder(spark))
+    assert all(folder in file for file in numbered.inputFiles()) and numbered.inputFiles()
+    runtime.clear_work(spark)
+    assert not path_exists(spark, folder)
+
+
 def test_row_positions_over_several_files(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(0, 1000, 1, 7).select((F.col("id") % 5).alias("v")).write.parquet(path)

@@ -132,6 +132,7 @@ def test_names():
     assert target_name("LIMIT") == "limit_"
     assert target_name("limit", "QUOTE") == "LIMIT"
     assert target_name("Account_No") == "account_no"
+    assert target_name("Zone", reserved={"ZONE"}) == "zone_"
     with pytest.raises(ValueError):
         target_name("a", "OTHER")
 

@@ -119,7 +119,7 @@ def test_whole_value_match(spark):
 
 def test_exclusion_flags(spark, rows):
     df = spark.createDataFrame([("ATM",), ("CUSTOMERS",), (None,)], "name string")
-    wanted = [("CUSTOMERS", "READY", None), ("ATM", "EXCLUDED", "Excluded by configuration"), (None, "READY", None)]
+    wanted = [("ATM", "EXCLUDED", "Excluded by configuration"), ("CUSTOMERS", "READY", None), (None, "READY", None)]
     assert rows(quality.exclusion_flags(df, "name", ["aTm"])) == wanted
     names = spark.createDataFrame([("atm",), ("ATM",)], "n string")
     assert rows(quality.exclusion_flags_by_table(df, "name", names, "n")) == wanted
