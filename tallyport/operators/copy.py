@@ -85,7 +85,11 @@ def copy_table(
         raise ValueError(f"table {table.name} already has a column {CHUNK_COLUMN}")
     spark = source.sparkSession
     keys = table.primary_key
-    plan = L.row_capped_chunks(plan_chunks(source, table.name, keys, chunk_size), row_cap)
+    plan = plan_chunks(source, table.name, keys, chunk_size)
+    if row_cap is None:
+        plan = plan.withColumn("status", F.lit(L.PENDING))
+    else:
+        plan = L.row_capped_chunks(plan, row_cap)
     if path_exists(spark, paths.ledger):
         state = L.latest_state(L.read_ledger(spark, paths.ledger, run_id))
         done = state.where(F.col("status") == L.SUCCESS).select(

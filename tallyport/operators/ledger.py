@@ -93,14 +93,14 @@ def chunk_ledger(
     )
 
 
-def row_capped_chunks(plan: DataFrame, cap: int | None, table: str = "table_name") -> DataFrame:
+def row_capped_chunks(plan: DataFrame, cap: int, table: str = "table_name") -> DataFrame:
     """Chunks that a copy still starts when it stops at ``cap`` rows read.
 
     A chunk runs as long as the chunks before it read fewer rows than the cap, so the
     last one may overshoot.  Chunks behind it are SKIPPED, the others PENDING.
     """
     planned = running_total(plan, "row_count", "chunk_no", [table], "rows_before")
-    runs = F.lit(True) if cap is None else F.col("rows_before") < F.lit(cap)
+    runs = F.col("rows_before") < F.lit(cap)
     return planned.withColumn("status", F.when(runs, PENDING).otherwise(SKIPPED))
 
 
