@@ -19,7 +19,20 @@ from tallyport.operators.chunks import BROADCAST_CHUNKS, chunk_id, range_number
 from tallyport.runtime import settle
 from tallyport.sources.tables import path_exists
 
+# States, names and message texts of check results.
 PASS, WARNING, FAIL = "PASS", "WARNING", "FAIL"
+ROW_COUNT = "row-count"
+CHECKSUM = "checksum"
+SAMPLE_ROW = "sample-row"
+DUPLICATE_KEY = "duplicate-key"
+ORPHANS = "foreign-key-orphans"
+TARGET_ORPHANS = "target-foreign-key-orphans"
+SIDES_TEXT = "source=%s target=%s"
+SAMPLE_TEXT = "Compared up to %s rows. sourceRows=%s targetRows=%s"
+SAMPLE_DIFFERS_TEXT = " - mismatch found!"
+SKIPPED_TEXT = " (Skipped LOB columns: [%s])"
+DUPLICATE_TEXT = "duplicateGroups=%s"
+ORPHAN_TEXT = "orphans=%s"
 
 # Version of the fingerprint definition; stored baselines of another version are refused.
 FINGERPRINT_VERSION = "1"
@@ -41,10 +54,6 @@ def result_row(name: str, status: Column, object_name: str, message: Column) ->
     ]
 
 
-def _text(column: str) -> Column:
-    return F.col(column).cast("string")
-
-
 # --- row counts --------------------------------------------------------------------
 
 
@@ -61,8 +70,8 @@ def row_counts(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def row_count_columns(table: str, source_rows: str, target_rows: str) -> list[Column]:
-    message = F.concat(F.lit("source="), _text(source_rows), F.lit(" target="), _text(target_rows))
-    return result_row("row-count", verdict(F.col(source_rows) == F.col(target_rows)), table, message)
+    message = F.format_string(SIDES_TEXT, source_rows, target_rows)
+    return result_row(ROW_COUNT, verdict(F.col(source_rows) == F.col(target_rows)), table, message)
 
 
 def row_count_check(source: DataFrame, target: DataFrame, table: str) -> DataFrame:
@@ -110,18 +119,21 @@ def both_digests(
 
 def digest_text(side: str) -> Column:
     return F.concat_ws(
-        ":", _text(f"{side}_row_count"), F.lower(F.hex(F.col(f"{side}_hash_xor"))), F.col(f"{side}_hash_sum")
+        ":",
+        F.col(f"{side}_row_count").cast("string"),
+        F.lower(F.hex(F.col(f"{side}_hash_xor"))),
+        F.col(f"{side}_hash_sum"),
     )
 
 
 def checksum_columns(table: str, skipped: Sequence[str] = ()) -> list[Column]:
     """PASS, or WARNING where large columns were left out, or FAIL."""
     good = digest_text("source") == digest_text("target")
-    message = F.concat(F.lit("source="), digest_text("source"), F.lit(" target="), digest_text("target"))
-    if skipped:
-        message = F.concat(message, F.lit(_skipped_note(skipped)))
+    message = F.concat(
+        F.format_string(SIDES_TEXT, digest_text("source"), digest_text("target")), _skipped_note(skipped)
+    )
     status = F.when(good, F.lit(WARNING if skipped else PASS)).otherwise(F.lit(FAIL))
-    return result_row("checksum", status, table, message)
+    return result_row(CHECKSUM, status, table, message)
 
 
 def checksum_check(
@@ -138,8 +150,8 @@ def checksum_check(
     return digests.select(*checksum_columns(table, large))
 
 
-def _skipped_note(skipped: Sequence[str]) -> str:
-    return f" (Skipped LOB columns: [{', '.join(skipped)}])"
+def _skipped_note(skipped: Sequence[str]) -> Column:
+    return F.lit(SKIPPED_TEXT % ", ".join(skipped) if skipped else "")
 
 
 def chunk_digests(
@@ -308,15 +320,14 @@ def sample_result(
         F.sum("_source_rows").alias("source_rows"),
         F.sum("_target_rows").alias("target_rows"),
     )
+    none = F.lit(0).cast("bigint")
+    counts = [F.coalesce(F.col(c), none) for c in ("source_rows", "target_rows")]
     message = F.concat(
-        F.lit(f"Compared up to {size} rows. sourceRows="),
-        F.coalesce(_text("source_rows"), F.lit("0")),
-        F.lit(" targetRows="),
-        F.coalesce(_text("target_rows"), F.lit("0")),
-        F.when(F.col("differing") > 0, F.lit(" - mismatch found!")).otherwise(F.lit("")),
-        F.lit(_skipped_note(large) if large else ""),
+        F.format_string(SAMPLE_TEXT, F.lit(size), *counts),
+        F.when(F.col("differing") > 0, F.lit(SAMPLE_DIFFERS_TEXT)).otherwise(F.lit("")),
+        _skipped_note(large),
     )
-    return differing.select(*result_row("sample-row", verdict(F.col("differing") == 0), table, message))
+    return differing.select(*result_row(SAMPLE_ROW, verdict(F.col("differing") == 0), table, message))
 
 
 # --- row differences ---------------------------------------------------------------

@@ -28,6 +28,10 @@ from tallyport.specs import Table
 
 CHUNK_COLUMN = "chunk_no"
 
+# Phase and action of a copy error.
+LOAD_PHASE = "data-load"
+RETRY = "RETRY_OR_MANUAL_REVIEW"
+
 
 @dataclass(frozen=True)
 class CopyPaths:
@@ -199,14 +203,14 @@ def _record_error(spark, problem, error_id, table, paths, run_id) -> None:
     row = {
         "error_id": error_id,
         "run_id": run_id,
-        "phase": "data-load",
+        "phase": LOAD_PHASE,
         "object_type": "TABLE",
         "object_name": table.name,
         "chunk_id": None,
         "sql_text": None,
         "database_code": None,
         "message": f"{type(problem).__name__}: {problem}",
-        "action_category": "RETRY_OR_MANUAL_REVIEW",
+        "action_category": RETRY,
         "created_at": datetime.now(UTC),
     }
     spark.createDataFrame([row], L.ERROR_SCHEMA).write.mode("append").parquet(paths.errors)

@@ -18,6 +18,11 @@ from tallyport.runtime import default_partitions
 from tallyport.specs import ForeignKey
 
 
+# Status and reason of an item that depends on something excluded.
+NEEDS_REVIEW = "NEEDS_REVIEW"
+DEPENDENT_REASON = "References excluded table(s): "
+
+
 def _names(columns: Sequence[str] | str) -> list[str]:
     names = [columns] if isinstance(columns, str) else list(columns)
     if not names:
@@ -194,10 +199,8 @@ def excluded_dependents(
         .agg(listed.alias("_hits"))
         .select(
             item,
-            F.lit("NEEDS_REVIEW").alias("status"),
-            F.concat(
-                F.lit("References excluded table(s): "), F.array_join(F.col("_hits._dependency"), ", ")
-            ).alias("reason"),
+            F.lit(NEEDS_REVIEW).alias("status"),
+            F.concat(F.lit(DEPENDENT_REASON), F.array_join(F.col("_hits._dependency"), ", ")).alias("reason"),
         )
     )
 

@@ -15,6 +15,7 @@ PENDING, RUNNING, SUCCESS, FAILED, SKIPPED = "PENDING", "RUNNING", "SUCCESS", "F
 
 CHUNK_KEY = ("run_id", "table_name", "chunk_id")
 
+# Columns of the ledger and of the error log.
 LEDGER_SCHEMA = (
     "run_id string, schema_name string, table_name string, chunk_id string, chunk_range string, "
     "rows_read bigint, rows_written bigint, status string, retry_count int, "

@@ -33,7 +33,10 @@ BLOCKED_TYPE = "RDN-009"
 RISKY_TYPE = "RDN-010"
 REQUIRED_COLUMN = "REQUIRED-COLUMN"
 
+# Status texts of rows and items.
+READY, NEEDS_REVIEW, EXCLUDED = "READY", "NEEDS_REVIEW", "EXCLUDED"
 EXCLUDED_REASON = "Excluded by configuration"
+
 TEXT_LIMIT = 4000
 LENGTH_STEPS = (0, 100, 1_000, 4_000, 10_000, 100_000, 1_000_000)
 
@@ -213,7 +216,7 @@ def pattern_flags(
             *keys,
             F.size("_hits").cast("bigint").alias("hit_count"),
             F.array_join("_hits", ", ").alias("hits"),
-            F.when(F.size("_hits") > 0, "NEEDS_REVIEW").otherwise("READY").alias("status"),
+            F.when(F.size("_hits") > 0, NEEDS_REVIEW).otherwise(READY).alias("status"),
         )
     )
 
@@ -239,7 +242,7 @@ def whole_value_findings(
 # --- exclusion flags ---------------------------------------------------------------
 
 
-def exclusion_flags(df: DataFrame, name: str, excluded: Sequence[str], ready: str = "READY") -> DataFrame:
+def exclusion_flags(df: DataFrame, name: str, excluded: Sequence[str], ready: str = READY) -> DataFrame:
     """Keep every row and add ``status`` and ``reason``; names match in any letter case.
 
     ``excluded`` is the caller's configured list.  For a list that is itself a table, use
@@ -250,7 +253,7 @@ def exclusion_flags(df: DataFrame, name: str, excluded: Sequence[str], ready: st
 
 
 def exclusion_flags_by_table(
-    df: DataFrame, name: str, excluded: DataFrame, excluded_name: str, ready: str = "READY"
+    df: DataFrame, name: str, excluded: DataFrame, excluded_name: str, ready: str = READY
 ) -> DataFrame:
     """As :func:`exclusion_flags`, by a join with a table of names of any size."""
     names = excluded.select(F.lower(excluded_name).alias("_name")).distinct().withColumn("_hit", F.lit(True))
@@ -259,7 +262,7 @@ def exclusion_flags_by_table(
 
 
 def _flagged(df: DataFrame, hit: Column, ready: str) -> DataFrame:
-    return df.withColumn("status", F.when(hit, "EXCLUDED").otherwise(ready)).withColumn(
+    return df.withColumn("status", F.when(hit, EXCLUDED).otherwise(ready)).withColumn(
         "reason", F.when(hit, EXCLUDED_REASON)
     )
 

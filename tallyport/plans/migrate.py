@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyport.functions.names import target_name
+from tallyport.operators.compare import ORPHANS, TARGET_ORPHANS
 from tallyport.operators.copy import CHUNK_COLUMN, CopyPaths, copy_table, prepare_rows
 from tallyport.operators.keys import parent_first
 from tallyport.operators.ledger import read_ledger
@@ -60,7 +61,7 @@ def full_load(
     needs_review: DataFrame | None = None,
     row_cap: int | None = None,
     policy: str = "RENAME",
-    orphan_check: str = "foreign-key-orphans",
+    orphan_check: str = ORPHANS,
 ) -> Outcome:
     """Copy parents before children, validate each table, and write the report.
 
@@ -131,7 +132,7 @@ def load_existing(
             else:
                 remove_rows(spark, path)
     return full_load(
-        sources, tables, root, run_id, chunk_size, orphan_check="target-foreign-key-orphans", **options
+        sources, tables, root, run_id, chunk_size, orphan_check=TARGET_ORPHANS, **options
     )
 
 

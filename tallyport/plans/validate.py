@@ -10,7 +10,17 @@ from pyspark.sql import functions as F
 
 from tallyport.functions.canon import split_columns
 from tallyport.operators import compare, keys
-from tallyport.operators.compare import FAIL, PASS, WARNING, result_row, verdict
+from tallyport.operators.compare import (
+    DUPLICATE_KEY,
+    DUPLICATE_TEXT,
+    FAIL,
+    ORPHAN_TEXT,
+    ORPHANS,
+    PASS,
+    WARNING,
+    result_row,
+    verdict,
+)
 from tallyport.operators.ledger import status_rank
 from tallyport.specs import ForeignKey, Table
 
@@ -26,18 +36,14 @@ def duplicate_result(target: DataFrame, table: Table) -> list[DataFrame]:
     results = []
     for key in table.keys:
         count = keys.duplicate_keys(target, key.columns)
-        message = F.concat(F.lit("duplicateGroups="), F.col("duplicate_groups").cast("string"))
+        message = F.format_string(DUPLICATE_TEXT, "duplicate_groups")
         good = verdict(F.col("duplicate_groups") == 0)
-        results.append(
-            count.select(*result_row("duplicate-key", good, f"{table.name}.{key.name}", message))
-        )
+        results.append(count.select(*result_row(DUPLICATE_KEY, good, f"{table.name}.{key.name}", message)))
     return results
 
 
-def orphan_result(
-    child: DataFrame, parent: DataFrame, key: ForeignKey, name: str = "foreign-key-orphans"
-) -> DataFrame:
-    message = F.concat(F.lit("orphans="), F.col("orphans").cast("string"))
+def orphan_result(child: DataFrame, parent: DataFrame, key: ForeignKey, name: str = ORPHANS) -> DataFrame:
+    message = F.format_string(ORPHAN_TEXT, "orphans")
     return keys.orphans_by_rule(child, parent, key).select(
         *result_row(name, verdict(F.col("orphans") == 0), f"{key.child}.{key.name}", message)
     )
@@ -49,7 +55,7 @@ def validate_table(
     table: Table,
     parents: Mapping[str, DataFrame] | None = None,
     sample_size: int = 100,
-    orphan_check: str = "foreign-key-orphans",
+    orphan_check: str = ORPHANS,
 ) -> DataFrame:
     """Row count, duplicate keys, orphans, checksum and sample of one table.
 
