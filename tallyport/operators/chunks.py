@@ -375,7 +375,9 @@ def assign_chunks(
         return placed.withColumn("chunk_no", whole_div(row_no, size) + 1).drop(
             "_file", "_place", "_rows", "_start"
         )
-    order = list(keys) or split_columns(df.schema)[0]
+    # Rows that agree in the key are ordered by their other columns, so a later run cuts
+    # the chunks at the same rows.
+    order = [*keys, *[c for c in split_columns(df.schema)[0] if c not in keys]]
     numbered = number_rows(df, order, partitions, stable_input)
     return numbered.withColumn("chunk_no", whole_div(F.col("row_no") - 1, size) + 1).drop("row_no")
 

@@ -95,13 +95,7 @@ def copy_table(
     else:
         plan = L.row_capped_chunks(plan, row_cap)
     if path_exists(spark, paths.ledger):
-        state = L.latest_state(L.read_ledger(spark, paths.ledger, run_id))
-        done = state.where(F.col("status") == L.SUCCESS).select(
-            "table_name", "chunk_id", F.lit(L.SUCCESS).alias("_done")
-        )
-        plan = plan.join(done, ["table_name", "chunk_id"], "left").withColumn(
-            "status", F.coalesce("_done", "status")
-        )
+        plan = _without_done(plan, L.read_ledger(spark, paths.ledger, run_id), table)
     plan = settle(plan)
     pending, skipped = F.col("status") == L.PENDING, F.col("status") == L.SKIPPED
     number = F.when(pending, F.col(CHUNK_COLUMN))
@@ -126,6 +120,18 @@ def copy_table(
     return L.read_ledger(spark, paths.ledger, run_id)
 
 
+def _without_done(plan: DataFrame, ledger: DataFrame, table: Table) -> DataFrame:
+    """The plan with copied chunks marked SUCCESS; their ranges must be those of the plan."""
+    state = L.latest_state(ledger.where(F.col("table_name") == table.name))
+    done = state.where(F.col("status") == L.SUCCESS).select(
+        "chunk_id", F.col("chunk_range").alias("where_clause"), F.lit(L.SUCCESS).alias("_done")
+    )
+    if not done.join(plan, ["chunk_id", "where_clause"], "left_anti").limit(1).isEmpty():
+        raise ValueError(f"the chunks of {table.name} are not those that this run has copied; use a new run")
+    marked = plan.join(done, ["chunk_id", "where_clause"], "left")
+    return marked.withColumn("status", F.coalesce("_done", "status"))
+
+
 def _rows_of(rows: DataFrame, chunks: DataFrame, how_many: int) -> DataFrame:
     """Rows of some chunks only, as a restart needs them."""
     chunks = F.broadcast(chunks) if how_many <= BROADCAST_CHUNKS else chunks

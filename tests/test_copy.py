@@ -7,6 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tallyport.operators import copy as copying
 from tallyport.operators import ledger as L
 from tallyport.operators.copy import CopyFailed, CopyPaths, copy_table, prepare_rows
 from tallyport.plans import migrate
@@ -66,6 +67,26 @@ def test_restart_copies_what_is_missing(spark, paths):
     assert spark.read.parquet(other.target).count() == 20
 
 
+def test_restart_with_other_chunks_is_refused(spark, paths):
+    copy_table(accounts(spark), ACCOUNT, paths, "run-1", 40)
+    with pytest.raises(ValueError, match="use a new run"):
+        copy_table(accounts(spark), ACCOUNT, paths, "run-1", 25)
+    more = accounts(spark).unionByName(spark.sql("select -5L as ID, 'x' as LIMIT"))
+    with pytest.raises(ValueError, match="use a new run"):
+        copy_table(more, ACCOUNT, paths, "run-1", 40)
+    assert spark.read.parquet(paths.target).count() == 100
+
+
+def test_equal_keys_are_cut_at_the_same_rows_in_any_order(spark):
+    df = spark.range(60).select((F.col("id") % 2).cast("string").alias("k"), "id", (F.col("id") % 5).alias("v"))
+    table = Table("T", keys=(Key("pk", ("k",)),))
+    cuts = [
+        {(r["id"], r["chunk_no"]) for r in copying.chunked_rows(part, table, 13).collect()}
+        for part in (df, df.orderBy(F.desc("id")).coalesce(1))
+    ]
+    assert cuts[0] == cuts[1]
+
+
 @pytest.mark.parametrize("waves", [1, 3, 50])
 def test_waves_copy_every_row_once(spark, paths, waves):
     ledger = copy_table(accounts(spark), ACCOUNT, paths, "run-1", 15, waves=waves)
