@@ -9,8 +9,8 @@ import check
 
 from .conftest import MEDIUM, SMALL
 
-NAMES = sorted(contract.queries())
-TWINS = contract.oracle_sql()
+NAMES = sorted(contract.QUERIES)
+TWINS = {name: sql for name, sql in contract.oracle_sql().items() if name in contract.QUERIES}
 
 
 @pytest.fixture(scope="module")
