@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import hilbert, mixing
+from tallyport.llm import decontam, hilbert, mixing
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_benchmark_index(spark: SparkSession, folder: str) -> DataFrame:
+    index = decontam.build_index(read(spark, folder, "documents"))
+    found = decontam.contamination(decontam.find_phrases(index, read(spark, folder, "benchmark")))
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(names, 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def op3_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = hilbert.place(read(spark, folder, "documents"))
     return placed.select(
@@ -27,6 +36,7 @@ def op9_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_benchmark_index": op2_benchmark_index,
     "op3_hilbert_shards": op3_hilbert_shards,
     "op9_systematic_mix": op9_systematic_mix,
 }
