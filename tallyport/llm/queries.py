@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontam, hilbert, mixing
+from tallyport.llm import decontam, hilbert, jaccard, mixing
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,8 +35,14 @@ def op9_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op10_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.classes(read(spark, folder, "documents"), words=3, percent=90)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
 QUERIES = {
     "op2_benchmark_index": op2_benchmark_index,
     "op3_hilbert_shards": op3_hilbert_shards,
     "op9_systematic_mix": op9_systematic_mix,
+    "op10_shingle_join": op10_shingle_join,
 }
