@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontam, hilbert, jaccard, mixing
+from tallyport.llm import decontam, hilbert, jaccard, mixing, quality
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    weights = quality.fit(docs, read(spark, folder, "labels"))
+    scored = quality.score(docs, weights, F.col("doc_id")).withColumnRenamed("carried", "doc_id")
+    held_out = (quality.remainder(4) == 2).alias("held_out")
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out, "score", predicted)
+
+
 def op2_benchmark_index(spark: SparkSession, folder: str) -> DataFrame:
     index = decontam.build_index(read(spark, folder, "documents"))
     found = decontam.contamination(decontam.find_phrases(index, read(spark, folder, "benchmark")))
@@ -41,6 +50,7 @@ def op10_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op2_benchmark_index": op2_benchmark_index,
     "op3_hilbert_shards": op3_hilbert_shards,
     "op9_systematic_mix": op9_systematic_mix,
