@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontam, hilbert, jaccard, mixing, quality
+from tallyport.llm import decontam, hilbert, jaccard, langid, mixing, quality
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +38,13 @@ def op3_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = langid.train(langid.examples(docs.where(quality.remainder(3) != 1)))
+    found = langid.predict(docs, model, F.col("doc_id")).withColumnRenamed("carried", "doc_id")
+    return found.select("doc_id", (quality.remainder(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op9_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(read(spark, folder, "documents"))
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -53,6 +60,7 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_benchmark_index": op2_benchmark_index,
     "op3_hilbert_shards": op3_hilbert_shards,
+    "op5_language_centroids": op5_language_centroids,
     "op9_systematic_mix": op9_systematic_mix,
     "op10_shingle_join": op10_shingle_join,
 }
