@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontam, hilbert, jaccard, langid, mixing, quality
+from tallyport.llm import decontam, hilbert, jaccard, langid, mixing, quality, topk
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op5_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (quality.remainder(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op7_impact_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings")
+    return topk.search(topk.build_index(vectors), vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(read(spark, folder, "documents"))
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -61,6 +66,7 @@ QUERIES = {
     "op2_benchmark_index": op2_benchmark_index,
     "op3_hilbert_shards": op3_hilbert_shards,
     "op5_language_centroids": op5_language_centroids,
+    "op7_impact_search": op7_impact_search,
     "op9_systematic_mix": op9_systematic_mix,
     "op10_shingle_join": op10_shingle_join,
 }
