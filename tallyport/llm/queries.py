@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontam, hilbert, jaccard, langid, mixing, quality, topk
+from tallyport.llm import decontam, hilbert, jaccard, langid, mixing, pii, quality, topk
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,6 +45,20 @@ def op5_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (quality.remainder(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def _of_kind(kind: int):
+    return lambda span: span["kind"] == kind
+
+
+def op6_contextual_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(read(spark, folder, "documents"))
+    counts = [
+        F.size(F.filter("base", _of_kind(k))).cast("long").alias(f"n_{name}")
+        for k, name in enumerate(pii.KINDS)
+    ]
+    digest = F.sha2(pii.as_text("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, pii.as_text("spans").alias("spans"))
+
+
 def op7_impact_search(spark: SparkSession, folder: str) -> DataFrame:
     vectors = read(spark, folder, "embeddings")
     return topk.search(topk.build_index(vectors), vectors, F.col("vec_id") % 100 == 0, k=10)
@@ -66,6 +80,7 @@ QUERIES = {
     "op2_benchmark_index": op2_benchmark_index,
     "op3_hilbert_shards": op3_hilbert_shards,
     "op5_language_centroids": op5_language_centroids,
+    "op6_contextual_pii": op6_contextual_pii,
     "op7_impact_search": op7_impact_search,
     "op9_systematic_mix": op9_systematic_mix,
     "op10_shingle_join": op10_shingle_join,
