@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontam, hilbert, jaccard, langid, mixing, pii, quality, topk
+from tallyport.llm import decontam, hilbert, jaccard, langid, linededup, mixing, pii, quality, tokens, topk
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op3_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_separator_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.document_tokens(read(spark, folder, "documents"))
+
+
 def op5_language_centroids(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = langid.train(langid.examples(docs.where(quality.remainder(3) != 1)))
@@ -64,6 +68,15 @@ def op7_impact_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk.search(topk.build_index(vectors), vectors, F.col("vec_id") % 100 == 0, k=10)
 
 
+def op8_line_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    ids = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id")
+    found = ids.join(linededup.repeated_lines(docs), "row")
+    kept = (F.col("n_lines") - F.size("dropped")).alias("n_kept")
+    lines = F.array_join(F.transform("dropped", lambda n: n.cast("string")), ",").alias("dropped_lines")
+    return found.select("doc_id", "n_lines", kept, lines)
+
+
 def op9_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(read(spark, folder, "documents"))
     taken = (F.col("copies") * F.col("size")).alias("taken")
@@ -79,9 +92,11 @@ QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_benchmark_index": op2_benchmark_index,
     "op3_hilbert_shards": op3_hilbert_shards,
+    "op4_separator_scan": op4_separator_scan,
     "op5_language_centroids": op5_language_centroids,
     "op6_contextual_pii": op6_contextual_pii,
     "op7_impact_search": op7_impact_search,
+    "op8_line_neighbours": op8_line_neighbours,
     "op9_systematic_mix": op9_systematic_mix,
     "op10_shingle_join": op10_shingle_join,
 }
