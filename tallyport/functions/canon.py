@@ -71,6 +71,16 @@ def _shifted(number: Column, scale: int) -> tuple[Column, Column]:
     return F.when(shifted < 0, -rounded).otherwise(rounded), size < F.lit(_LONG_LIMIT)
 
 
+def canonical_number(value: Column, data_type: T.DataType, scale: int | None) -> Column:
+    """A floating-point value rounded to ``scale`` decimals, any other as it is; two values
+    have the same canonical text exactly if they are equal here."""
+    if scale is None or not isinstance(data_type, (T.FloatType, T.DoubleType)):
+        return value
+    number = value.cast("double")
+    shifted, fits = _shifted(number, scale)
+    return F.when(fits, shifted / F.lit(float(10**scale))).otherwise(number + F.lit(0.0))
+
+
 def canonical_text(value: Column, data_type: T.DataType, scale: int | None = None) -> Column:
     """The canonical text of a value; null stays null.
 

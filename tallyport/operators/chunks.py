@@ -81,6 +81,27 @@ def row_bounds(df: DataFrame) -> DataFrame:
 # --- value ranges ------------------------------------------------------------------
 
 
+def _quotient(value: Column, size: int) -> tuple[Column, Column]:
+    """Quotient rounded down and remainder from 0; neither leaves the type of ``value``."""
+    rest = value % F.lit(size)
+    below = F.when(rest < 0, 1).otherwise(0)
+    return whole_div(value, size) - below, rest + below * size
+
+
+def ranges_between(low: Column, key: Column, size: int, key_type: T.DataType) -> Column:
+    """How many whole ranges of ``size`` lie between two keys.
+
+    Whole keys are divided before they are subtracted, since the difference of two keys can
+    be too large for their type.
+    """
+    if not is_whole_number(key_type):
+        return F.floor((key - low) / F.lit(size)).cast("bigint")
+    if not isinstance(key_type, T.DecimalType):
+        low, key = low.cast("bigint"), key.cast("bigint")
+    (low_part, low_rest), (key_part, key_rest) = _quotient(low, size), _quotient(key, size)
+    return (key_part - low_part - F.when(key_rest < low_rest, 1).otherwise(0)).cast("bigint")
+
+
 def range_number(df: DataFrame, key: str, size: int, low: Column | None = None) -> Column:
     """Chunk number of a row by the range its key lies in; 0 for a null key.
 
@@ -89,24 +110,24 @@ def range_number(df: DataFrame, key: str, size: int, low: Column | None = None)
     """
     check_size(size)
     low = df.agg(F.min(key)).scalar() if low is None else low
-    offset = F.col(key) - low
-    if is_whole_number(df.schema[key].dataType):
-        number = whole_div(offset, size)
-    else:
-        number = F.floor(offset / F.lit(size))
-    return F.coalesce(number.cast("bigint") + 1, F.lit(0).cast("bigint"))
+    number = ranges_between(low, F.col(key), size, df.schema[key].dataType)
+    return F.coalesce(number + 1, F.lit(0).cast("bigint"))
 
 
-def plan_key_ranges(df: DataFrame, table: str, key: str, size: int, dense: bool = False) -> DataFrame:
+def plan_key_ranges(
+    df: DataFrame, table: str, key: str, size: int, dense: bool = False, quote: str = ""
+) -> DataFrame:
     """Chunks of ``size`` consecutive key values, with the rows in each.
 
     Only ranges that hold rows are planned, plus chunk 0 where keys are null.  With
     ``dense`` every range between the bounds is planned, empty ones too.  Whole-number
     ranges include both ends; for other keys a range is half open and the last one has
-    no upper end, so no key falls between two chunks.
+    no upper end, so no key falls between two chunks.  ``quote`` stands around the key's
+    name in predicates (doubled inside it); plain names need none.
     """
     check_size(size)
     key_type = df.schema[key].dataType
+    name = f"{quote}{key.replace(quote, quote * 2)}{quote}" if quote else key
     low, high = df.agg(F.min(key)).scalar(), df.agg(F.max(key)).scalar()
     counts = (
         df.select(range_number(df, key, size, low).alias("chunk_no"))
@@ -116,19 +137,24 @@ def plan_key_ranges(df: DataFrame, table: str, key: str, size: int, dense: bool
     if dense:
         counts = _all_ranges(df, key, size).join(counts, "chunk_no", "left").fillna(0, "row_count")
     whole = is_whole_number(key_type)
-    start = (low + (F.col("chunk_no") - 1) * size).cast(key_type)
     if whole:
-        end = F.least((start + (size - 1)).cast("decimal(38,0)"), high.cast("decimal(38,0)")).cast(key_type)
+        # Wide enough for any bound of a range; each end lies within the keys' own type.
+        wide = T.DecimalType(38, 0)
+        first = low.cast(wide) + (F.col("chunk_no") - 1).cast("decimal(20,0)") * F.lit(size).cast("decimal(18,0)")
+        start = first.cast(key_type)
+        room = high.cast(wide) - first
+        end = F.when(room < size, high).otherwise((first + F.lit(size - 1)).cast(key_type))
         test = F.concat(
-            F.lit(f"{key} >= "), start.cast("string"), F.lit(f" and {key} <= "), end.cast("string")
+            F.lit(f"{name} >= "), start.cast("string"), F.lit(f" and {name} <= "), end.cast("string")
         )
     else:
+        start = (low + (F.col("chunk_no") - 1) * size).cast(key_type)
         end = (start + size).cast(key_type)
         last = end > high
         test = F.concat(
-            F.lit(f"{key} >= "),
+            F.lit(f"{name} >= "),
             start.cast("string"),
-            F.when(last, F.lit("")).otherwise(F.concat(F.lit(f" and {key} < "), end.cast("string"))),
+            F.when(last, F.lit("")).otherwise(F.concat(F.lit(f" and {name} < "), end.cast("string"))),
         )
     has_key = F.col("chunk_no") > 0
     return counts.select(
@@ -138,7 +164,7 @@ def plan_key_ranges(df: DataFrame, table: str, key: str, size: int, dense: bool
         F.lit(key).alias("column_name"),
         F.when(has_key, start).alias("low_key"),
         F.when(has_key, end).alias("high_key"),
-        F.when(has_key, test).otherwise(F.lit(f"{key} is null")).alias("where_clause"),
+        F.when(has_key, test).otherwise(F.lit(f"{name} is null")).alias("where_clause"),
         F.lit(KEY_RANGE).alias("strategy"),
         "row_count",
     )
@@ -462,10 +488,11 @@ def chunk_balance(
     """
     check_size(size)
     low, high = df.agg(F.min(key)).scalar(), df.agg(F.max(key)).scalar()
-    number = whole_div(high - low, size) + 1
+    key_type = df.schema[key].dataType
+    number = ranges_between(low, high, size, key_type) + 1
     hashed = F.xxhash64(key) if fingerprint is None else fingerprint
     splits = {
-        "RANGE": whole_div(F.col(key) - low, size),
+        "RANGE": ranges_between(low, F.col(key), size, key_type),
         "HASH": F.pmod(hashed, number),
     }
     result = None

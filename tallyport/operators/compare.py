@@ -13,9 +13,17 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from tallyport.functions.canon import NATIVE, PORTABLE, digest_aggregates, row_fingerprint, split_columns
-from tallyport.operators.chunks import BROADCAST_CHUNKS, chunk_id, range_number
+from pyspark.sql import types as T
+
+from tallyport.functions.canon import (
+    NATIVE,
+    PORTABLE,
+    canonical_number,
+    digest_aggregates,
+    row_fingerprint,
+    split_columns,
+)
+from tallyport.operators.chunks import BROADCAST_CHUNKS, chunk_id, is_whole_number, range_number
 from tallyport.runtime import settle
 from tallyport.sources.tables import path_exists
 
@@ -38,6 +46,8 @@ ORPHAN_TEXT = "orphans=%s"
 FINGERPRINT_VERSION = "1"
 
 _WEIGHT = "_weight"
+_PART = "_part"
+_MISFIT = "_misfit"
 
 
 def verdict(good: Column) -> Column:
@@ -54,6 +64,42 @@ def result_row(name: str, status: Column, object_name: str, message: Column) ->
     ]
 
 
+# --- one schema --------------------------------------------------------------------
+
+
+def same_types(
+    source: DataFrame, target: DataFrame, columns: Sequence[str]
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with ``columns`` in the types of the source, and the columns to compare.
+
+    Where a type differs, the target's values are cast.  One that cannot be cast, or a number
+    that the cast changes, goes as text into an extra column, which is null in the source, so such a
+    row never equals one of the source.
+    """
+    columns = list(columns)
+    other = [c for c in columns if target.schema[c].dataType != source.schema[c].dataType]
+    if not other:
+        return source.select(*columns), target.select(*columns), columns
+    cast, misfits = [], []
+    for name in columns:
+        wanted, given, value = source.schema[name].dataType, target.schema[name].dataType, F.col(name)
+        if name not in other:
+            cast.append(value)
+            continue
+        fitted = value.try_cast(wanted)
+        lost = fitted.isNull()
+        if isinstance(wanted, T.NumericType) and isinstance(given, T.NumericType):
+            lost = lost | ~fitted.try_cast(given).eqNullSafe(value)
+        misfits.append(F.when(value.isNotNull() & lost, F.concat(F.lit(f"{name}="), value.cast("string"))))
+        cast.append(fitted.alias(name))
+    misfit = F.nullif(F.concat_ws(", ", *misfits), F.lit(""))
+    return (
+        source.select(*columns, F.lit(None).cast("string").alias(_MISFIT)),
+        target.select(*cast, misfit.alias(_MISFIT)),
+        [*columns, _MISFIT],
+    )
+
+
 # --- row counts --------------------------------------------------------------------
 
 
@@ -101,7 +147,7 @@ def both_digests(
     method: str = PORTABLE,
 ) -> DataFrame:
     """Digests of both sides in one row, as ``source_*`` and ``target_*``."""
-    columns = columns or split_columns(source.schema)[0]
+    source, target, columns = same_types(source, target, columns or split_columns(source.schema)[0])
     sides = {"source": source, "target": target}
     united = None
     for side, df in sides.items():
@@ -164,9 +210,15 @@ def chunk_digests(
     low: Column | None = None,
     method: str = PORTABLE,
 ) -> DataFrame:
-    """Digest per key range."""
+    """Digest per key range.
+
+    For digests that are stored, give the ``low`` of the first run: without it chunk 1 starts at the
+    smallest key there is today, and one row less at the start moves every chunk.  Keys
+    below ``low`` share chunk 0 with rows without a key.
+    """
+    number = range_number(df, key, size) if low is None else _side_chunk(df, key, size, low)
     hashed = df.select(
-        range_number(df, key, size, low).alias("chunk_no"),
+        number.alias("chunk_no"),
         row_fingerprint(df, columns, scales, method).alias("_hash"),
     )
     return (
@@ -190,7 +242,8 @@ def checksum_by_chunk(
 
     Target rows below the smallest source key share chunk 0 with rows without a key.
     """
-    columns = columns or split_columns(source.schema)[0]
+    columns = list(columns or split_columns(source.schema)[0])
+    source, target, columns = same_types(source, target, columns if key in columns else [key, *columns])
     low = source.agg(F.min(key)).scalar()
     return _side_digests(source, target, key, size, columns, scales, low, method).select(
         F.lit(table).alias("table_name"),
@@ -210,14 +263,20 @@ def _side_chunk(df: DataFrame, key: str, size: int, low: Column) -> Column:
 
 
 def _side_digests(source, target, key, size, columns, scales, low, method) -> DataFrame:
-    """Digests of both sides per chunk number, from one aggregation over both."""
+    """Digests of both sides per chunk number."""
+    sides = [df.withColumn("chunk_no", _side_chunk(df, key, size, low)) for df in (source, target)]
+    return _digests_by(sides, "chunk_no", columns, scales, method)
+
+
+def _digests_by(sides, part, columns, scales, method) -> DataFrame:
+    """Digests of both sides per value of ``part``, from one aggregation over both."""
     hashed = [
         df.select(
-            _side_chunk(df, key, size, low).alias("chunk_no"),
+            part,
             row_fingerprint(df, columns, scales, method).alias("_hash"),
             F.lit(side).alias("_side"),
         )
-        for side, df in zip(_SIDES, (source, target), strict=True)
+        for side, df in zip(_SIDES, sides, strict=True)
     ]
     aggregates = [
         aggregate.alias(f"{side}_{name}")
@@ -226,7 +285,7 @@ def _side_digests(source, target, key, size, columns, scales, low, method) -> Da
             digest_aggregates(F.col("_hash"), F.col("_side") == side), _DIGEST, strict=True
         )
     ]
-    return hashed[0].unionByName(hashed[1]).groupBy("chunk_no").agg(*aggregates)
+    return hashed[0].unionByName(hashed[1]).groupBy(part).agg(*aggregates)
 
 
 def _sides_agree() -> Column:
@@ -313,8 +372,8 @@ def sample_result(
     scalar, large = split_columns(source.schema)
     if not scalar:
         raise ValueError(f"table {table} has no column to compare; large columns: {large}")
-    alike = target.select(*[F.col(c).try_cast(source.schema[c].dataType).alias(c) for c in scalar])
-    left, right = sample_rows(source, keys, size), sample_rows(alike, keys, size)
+    alike, other, _ = same_types(source, target, scalar)
+    left, right = sample_rows(alike, keys, size), sample_rows(other, keys, size)
     differing = net_rows(left, right).agg(
         F.count_if(F.col(_WEIGHT) != 0).alias("differing"),
         F.sum("_source_rows").alias("source_rows"),
@@ -333,6 +392,13 @@ def sample_result(
 # --- row differences ---------------------------------------------------------------
 
 
+def rounded(df: DataFrame, columns: Sequence[str], scales: Mapping[str, int] | None) -> DataFrame:
+    """Columns with floating-point values rounded to the decimals that count for them, so
+    that values equal in a checksum are equal here."""
+    scales = scales or {}
+    return df.select(*[canonical_number(F.col(c), df.schema[c].dataType, scales.get(c)).alias(c) for c in columns])
+
+
 def net_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     """Distinct rows of both sides with how often each side has them, and the net count
     (source minus target).  One shuffle; equal rows are combined before it."""
@@ -349,16 +415,21 @@ def net_rows(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def row_diff_multiset(
-    source: DataFrame, target: DataFrame, columns: Sequence[str] | None = None
+    source: DataFrame,
+    target: DataFrame,
+    columns: Sequence[str] | None = None,
+    scales: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Rows that one side has more often than the other, with the number of surplus
     copies: ``source except all target`` and the reverse, in one pass.
 
     The copies are counted rather than repeated, so a row that occurs a billion times
-    stays one row.
+    stays one row.  Columns count, and are shown, as far as their ``scales`` go.  A target
+    value that the source's type cannot hold is part of ``_misfit`` (only there if types differ).
     """
     columns = list(columns or split_columns(source.schema)[0])
-    net = net_rows(source.select(*columns), target.select(*columns)).where(F.col(_WEIGHT) != 0)
+    source, target, columns = same_types(source, target, columns)
+    net = net_rows(rounded(source, columns, scales), rounded(target, columns, scales)).where(F.col(_WEIGHT) != 0)
     return net.select(
         *columns,
         F.when(F.col(_WEIGHT) > 0, "source").otherwise("target").alias("side"),
@@ -367,7 +438,11 @@ def row_diff_multiset(
 
 
 def row_diff_keyed(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str] | None = None,
+    scales: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Keys whose rows differ: rows only in the source, only in the target, and changed.
 
@@ -375,12 +450,14 @@ def row_diff_keyed(
     to one as changed rows, and the surplus of either side counts as only there.  Where
     one version of a row stands against one other, ``changed_columns`` names the columns
     that differ; keys with several versions leave it null, and
-    :func:`row_diff_multiset` has their rows.
+    :func:`row_diff_multiset` has their rows.  Columns count as far as their ``scales`` go.
     """
     keys = list(keys)
     columns = list(columns or split_columns(source.schema)[0])
-    values = [c for c in columns if c not in keys]
-    net = net_rows(source.select(*keys, *values), target.select(*keys, *values))
+    columns = [*keys, *[c for c in columns if c not in keys]]
+    source, target, columns = same_types(source, target, columns)
+    values = columns[len(keys) :]
+    net = net_rows(rounded(source, columns, scales), rounded(target, columns, scales))
     left, right = F.col(_WEIGHT) > 0, F.col(_WEIGHT) < 0
     row = F.struct(*values) if values else F.struct(F.lit(1).alias("_none"))
     per_key = (
@@ -418,29 +495,35 @@ def row_diff_keyed(
 def row_diff_drill_down(
     source: DataFrame,
     target: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     size: int,
     columns: Sequence[str] | None = None,
     scales: Mapping[str, int] | None = None,
+    most_sent: int = BROADCAST_CHUNKS,
 ) -> DataFrame:
-    """:func:`row_diff_keyed` on a single key, looking only into key ranges whose
-    checksums differ.
+    """:func:`row_diff_keyed`, looking only into parts whose checksums differ.
 
-    The checksums need no row to be shuffled, so where few ranges differ this saves the
-    shuffle of the rest.  Where many do, all rows are compared.  Columns count as far as
-    their ``scales`` go.
+    A part is a range of a single whole-number key, or a bucket of the hash of any other
+    key, of about ``size`` rows.  The checksums need no row to be shuffled; of the
+    parts that differ the rows are compared as in the full form, with the same result.
+    The list of parts is sent to all tasks up to ``most_sent``, and joined beyond it.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     columns = list(columns or split_columns(source.schema)[0])
-    low = source.agg(F.min(key)).scalar()
-    digests = _side_digests(source, target, key, size, columns, scales, low, NATIVE)
-    # Written first: how many there are decides how to go on.
-    differing = settle(digests.where(~_sides_agree()).select("chunk_no"))
-    if differing.count() > BROADCAST_CHUNKS:
-        return row_diff_keyed(source, target, [key], columns)
-    sides = [
-        df.withColumn("chunk_no", _side_chunk(df, key, size, low))
-        .join(F.broadcast(differing), "chunk_no", "left_semi")
-        .drop("chunk_no")
-        for df in (source, target)
-    ]
-    return row_diff_keyed(*sides, [key], columns)
+    columns = [*keys, *[c for c in columns if c not in keys]]
+    alike, other, wider = same_types(source, target, columns)
+    if len(keys) == 1 and is_whole_number(alike.schema[keys[0]].dataType):
+        low = alike.agg(F.min(keys[0])).scalar()
+        parts = [_side_chunk(df, keys[0], size, low) for df in (alike, other)]
+    else:
+        buckets = max(1, -(-alike.count() // size))
+        hashed = F.xxhash64(*[F.col(c) for c in keys])
+        parts = [F.pmod(hashed, F.lit(buckets))] * 2
+    sides = [df.withColumn(_PART, part) for df, part in zip((alike, other), parts, strict=True)]
+    digests = _digests_by(sides, _PART, wider, scales, NATIVE)
+    # Written first: how many there are decides how they are joined.
+    differing = settle(digests.where(~_sides_agree()).select(_PART))
+    if differing.count() <= most_sent:
+        differing = F.broadcast(differing)
+    found = [df.join(differing, _PART, "left_semi").drop(_PART) for df in sides]
+    return row_diff_keyed(*found, keys, wider, scales)

@@ -158,7 +158,9 @@ def _placed_rows(source: DataFrame, keys, chunk_size: int):
             return by_number(start, end)
         first = int(base) + (start - 1) * chunk_size
         last = int(base) + end * chunk_size - 1
-        return F.col(key).between(first, last) & by_number(start, end)
+        # The last range may end beyond the key's type.
+        held = F.col(key) <= F.lit(last) if last < 1 << 63 else F.lit(True)
+        return (F.col(key) >= F.lit(first)) & held & by_number(start, end)
 
     return source.withColumn(CHUNK_COLUMN, number), by_key
 

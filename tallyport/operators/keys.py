@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyport.functions.canon import split_columns
-from tallyport.runtime import default_partitions
+from tallyport.runtime import default_partitions, settle_table
 from tallyport.specs import ForeignKey
 
 
@@ -236,7 +236,9 @@ def parent_first(tables: Sequence[str], keys: Sequence[ForeignKey]) -> list[str]
 def fk_closed_subset(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]) -> dict[str, DataFrame]:
     """Cut every table down to rows whose parents are in the (already cut) parent tables.
 
-    Rows with a null in the foreign key have no parent to lose and stay.
+    Rows with a null in the foreign key have no parent to lose and stay.  Where a table refers
+    to itself, rows that lose their parent go in rounds until none does; each round's table is
+    written to the shared folder.
     """
     cut: dict[str, DataFrame] = {}
     given = {name.upper(): df for name, df in tables.items()}
@@ -246,10 +248,23 @@ def fk_closed_subset(tables: Mapping[str, DataFrame], keys: Sequence[ForeignKey]
             parent = key.parent.upper()
             if key.child.upper() == name.upper() and parent != name.upper() and parent in cut:
                 df = _with_parent(df, cut[parent], key)
-        cut[name.upper()] = df
+        own = [k for k in keys if k.child.upper() == k.parent.upper() == name.upper()]
+        cut[name.upper()] = _closed_on_itself(df, own) if own else df
     return {name: cut[name.upper()] for name in tables}
 
 
+def _closed_on_itself(df: DataFrame, keys: Sequence[ForeignKey]) -> DataFrame:
+    rows = df.count()
+    while True:
+        for key in keys:
+            df = _with_parent(df, df, key)
+        df = settle_table(df, "closed")
+        left = df.count()
+        if left == rows:
+            return df
+        rows = left
+
+
 def _with_parent(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
     """Child rows that have a parent or need none, by one semi join.
 

@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyport.functions.convert import DEFAULT_CONVERTERS, Converter
 from tallyport.functions.names import target_name
-from tallyport.operators.compare import ORPHANS, TARGET_ORPHANS
+from tallyport.operators.compare import FAIL, ORPHANS, TARGET_ORPHANS
+from tallyport.operators.chunks import choose_strategy
 from tallyport.operators.copy import CHUNK_COLUMN, CopyPaths, copy_table, prepare_rows
 from tallyport.operators.keys import parent_first
 from tallyport.operators.ledger import read_ledger
-from tallyport.plans.report import write_report
+from tallyport.operators.quality import EXCLUDED_PARENT, excluded_parent_findings
+from tallyport.plans.report import FINDING_SCHEMA, STRATEGY_COLUMNS, findings_frame, write_report
 from tallyport.plans.validate import final_status, stop_flag, union_all, validate_table
 from tallyport.runtime import settle
 from tallyport.sources.tables import path_exists, remove_rows, require_empty
@@ -62,49 +65,123 @@ def full_load(
     row_cap: int | None = None,
     policy: str = "RENAME",
     orphan_check: str = ORPHANS,
+    waves: int = 1,
+    converters: Mapping[type, Converter] = DEFAULT_CONVERTERS,
+    chunk_sizes: Mapping[str, int] | None = None,
+    decisions: DataFrame | None = None,
 ) -> Outcome:
     """Copy parents before children, validate each table, and write the report.
 
     Excluded tables are left out; ``outside_parents`` are target tables that are not
-    copied but referred to.  A finding that asks to stop does so before any row is
-    copied.  The report is written whatever the result.
+    copied but referred to.  Before any row is copied, a finding that asks to stop does so, as does a
+    foreign key whose parent is excluded or not given.  The report is written whatever
+    the result, with the findings, exclusions, errors and chunk strategies there are.
+    Rows that another run left in a table's folder are removed first; a restart keeps its own.
+    ``chunk_sizes`` gives single tables a size of their own, ``waves`` and ``converters``
+    go to each copy.
     """
     spark = next(iter(sources.values())).sparkSession
-    if findings is not None and stop_flag(findings).first()["should_stop"]:
-        raise StopBeforeCopy("a finding asks to stop; see the findings")
     included = _included(tables)
-    edges = [key for table in included.values() for key in table.foreign_keys]
-    for name in parent_first(list(included), edges):
-        paths = paths_for(root, name)
-        copy_table(sources[name], included[name], paths, run_id, chunk_size, row_cap, policy=policy)
-
-    expected = {name: prepare_rows(sources[name], policy) for name in included}
-    copied = {name: read_target(spark, root, name, df.schema) for name, df in expected.items()}
-    parents = {**(outside_parents or {}), **copied}
-    results = [
-        # one table at a time: the results are a few rows, the plans are not
-        settle(
-            validate_table(
-                expected[name],
-                copied[name],
-                _under_target_names(table, set(included), policy),
-                parents,
-                orphan_check=orphan_check,
+    decisions = _table_decisions(spark, tables) if decisions is None else decisions
+    findings = _with_parent_findings(spark, included, sources, tables, outside_parents or {}, findings)
+    ledger = paths_for(root, "").ledger
+    validations = None
+    try:
+        if findings is not None and stop_flag(findings).first()["should_stop"]:
+            raise StopBeforeCopy("a finding asks to stop; see the findings")
+        edges = [key for table in included.values() for key in table.foreign_keys]
+        order = parent_first(list(included), edges)
+        if not _is_restart(spark, ledger, run_id):
+            for name in included:
+                remove_rows(spark, paths_for(root, name).target)
+        for name in order:
+            size = (chunk_sizes or {}).get(name, chunk_size)
+            copy_table(
+                sources[name], included[name], paths_for(root, name), run_id, size, row_cap, waves, policy, converters
             )
-        )
-        for name, table in included.items()
-    ]
-    validations = union_all(results)
-    errors = paths_for(root, "").errors
-    write_report(
-        f"{root}/report",
-        run_id,
-        validations,
-        spark.read.parquet(errors).where(F.col("run_id") == run_id) if path_exists(spark, errors) else None,
-        findings,
-    )
+
+        expected = {name: prepare_rows(sources[name], policy, converters) for name in included}
+        copied = {name: read_target(spark, root, name, df.schema) for name, df in expected.items()}
+        parents = {**(outside_parents or {}), **copied}
+        results = [
+            # one table at a time: the results are a few rows, the plans are not
+            settle(
+                validate_table(
+                    expected[name],
+                    copied[name],
+                    _under_target_names(table, set(included), policy),
+                    parents,
+                    orphan_check=orphan_check,
+                )
+            )
+            for name, table in included.items()
+        ]
+        validations = union_all(results)
+    except Exception as problem:
+        validations = spark.createDataFrame([("run", FAIL, run_id, f"{type(problem).__name__}: {problem}")], _RESULT)
+        _report(spark, root, run_id, validations, findings, decisions, sources, included)
+        raise
+    _report(spark, root, run_id, validations, findings, decisions, sources, included)
     status = final_status(validations, needs_review).first()["status"]
-    return Outcome(status, validations, read_ledger(spark, paths_for(root, "").ledger, run_id))
+    return Outcome(status, validations, read_ledger(spark, ledger, run_id))
+
+
+_RESULT = "name string, status string, object_name string, message string"
+
+
+def _report(spark, root, run_id, validations, findings, decisions, sources, included) -> None:
+    """Write the report of a run, however far it came."""
+    paths = paths_for(root, "")
+    errors = None
+    if path_exists(spark, paths.errors):
+        errors = spark.read.parquet(paths.errors).where(F.col("run_id") == run_id)
+    plans = None
+    if path_exists(spark, paths.ledger):
+        held = read_ledger(spark, paths.ledger, run_id)
+        chosen = [
+            (n, choose_strategy(sources[n].schema, t.primary_key), ", ".join(t.primary_key)) for n, t in included.items()
+        ]
+        known = spark.createDataFrame(chosen, "table_name string, strategy string, column_name string")
+        plans = held.join(known, "table_name").withColumnRenamed("chunk_range", "where_clause")
+        plans = plans.select(*STRATEGY_COLUMNS).distinct()
+    write_report(f"{root}/report", run_id, validations, errors, findings, decisions, plans)
+
+
+def _table_decisions(spark: SparkSession, tables: Mapping[str, Table]) -> DataFrame | None:
+    """Tables that are left out, as exclusion records."""
+    rows = [("TABLE", name, "EXCLUDED", "excluded by its description") for name, t in tables.items() if t.excluded]
+    return spark.createDataFrame(rows, "object_type string, object_name string, status string, reason string") if rows else None
+
+
+def _with_parent_findings(spark, included, sources, tables, outside, findings) -> DataFrame | None:
+    """The findings, and one for each foreign key whose parent is excluded or missing.
+
+    An excluded parent stops the run if child rows refer to it; a parent that is not given
+    stops it in any case, since the key could not be checked.
+    """
+    fields = spark.createDataFrame([], FINDING_SCHEMA).schema.fields
+    parts = []
+    if findings is not None:
+        given = {f.name: F.col(f.name) for f in findings.schema}
+        parts.append(
+            findings.select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
+        )
+    for table in included.values():
+        for key in table.foreign_keys:
+            if key.parent in included or key.parent in outside:
+                continue
+            if key.parent in tables and key.parent in sources:
+                parts.append(excluded_parent_findings(sources[table.name], sources[key.parent], key))
+            else:
+                record = {
+                    "code": EXCLUDED_PARENT, "severity": "BLOCKER", "object_name": key.child,
+                    "column_name": ", ".join(key.columns), "bad_rows": None, "should_stop": True,
+                    "description": f"{key.name}: no parent table {key.parent} given",
+                }
+                parts.append(findings_frame(spark, [record]))
+    if not parts:
+        return None
+    return settle(union_all([p.select(*[f.name for f in fields]) for p in parts]))
 
 
 def load_existing(

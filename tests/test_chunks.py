@@ -209,3 +209,33 @@ def test_predicates_in_order_and_suggested_size(spark):
     ]
     assert chunks.suggest_size(10**12) == 10**8
     assert chunks.suggest_size(0) == 1
+
+
+@pytest.mark.parametrize(
+    "kind, low, high, size",
+    [
+        ("int", -2_000_000_000, 2_147_483_647, 1000),
+        ("smallint", -32768, 32767, 500),
+        ("bigint", -9_223_372_036_854_775_808, 9_223_372_036_854_775_807, 10**15),
+        ("decimal(38,0)", -(10**38) + 1, 10**38 - 1, 10**17),
+    ],
+)
+def test_ranges_over_a_whole_type(spark, kind, low, high, size):
+    values = [low, low + 1, -1, 0, 1, high - size, high - 1, high]
+    if kind.startswith("decimal"):
+        values = [-(10**34), -1, 0, 10**34]
+    df = spark.createDataFrame([(str(v),) for v in values], "k string").select(F.col("k").cast(kind))
+    plan = chunks.plan_key_ranges(df, "T", "k", size).collect()
+    assert sum(r["row_count"] for r in plan) == len(values)
+    numbers = {int(r["k"]): r["n"] for r in df.select("k", chunks.range_number(df, "k", size).alias("n")).collect()}
+    assert numbers == {v: (v - min(values)) // size + 1 for v in values}
+    for r in plan:
+        inside = [v for v in values if r["low_key"] <= v <= r["high_key"]]
+        assert len(inside) == r["row_count"]
+        assert df.where(r["where_clause"]).count() == r["row_count"]
+
+
+def test_quoted_key_names(spark):
+    df = spark.range(10).withColumnRenamed("id", "order by")
+    plan = chunks.plan_key_ranges(df, "T", "order by", 4, quote="`").collect()
+    assert [df.where(r["where_clause"]).count() for r in sorted(plan, key=lambda r: r["chunk_no"])] == [4, 4, 2]

@@ -212,3 +212,47 @@ def test_differences_against_brute_force(spark, left, right):
             assert row["only_target_rows"] == max(theirs - ours, 0)
         else:
             assert key not in keyed
+
+
+def noisy(spark):
+    left = spark.createDataFrame([(1, 1.0), (2, 2.0), (11, 3.0)], "k int, v double")
+    right = spark.createDataFrame([(1, 1.5), (2, 2.001), (11, 3.001)], "k int, v double")
+    return left, right
+
+
+@pytest.mark.parametrize("key", ["k", ["k"], ["k", "t"]])
+@pytest.mark.parametrize("most", [0, 100])
+def test_noise_below_the_scale_counts_on_no_path(spark, rows, key, most):
+    left, right = (df.withColumn("t", F.lit("x")) for df in noisy(spark))
+    keys = [key] if isinstance(key, str) else key
+    full = rows(compare.row_diff_keyed(left, right, keys, scales={"v": 2}))
+    part = rows(compare.row_diff_drill_down(left, right, key, 10, scales={"v": 2}, most_sent=most))
+    assert full == part and [r[0] for r in full] == [1]
+    both = compare.row_diff_multiset(left, right, ["k", "v"], {"v": 2})
+    assert rows(both) == sorted([(1, 1.0, "source", 1), (1, 1.5, "target", 1)], key=repr)
+
+
+def test_sides_of_other_types(spark):
+    left = spark.range(20).select(F.col("id").cast("decimal(38,18)").alias("k"), F.lit("a").alias("s"))
+    right = spark.range(20).select(F.col("id").alias("k"), F.lit("a").alias("s"))
+    for source, target in ((left, right), (right, left)):
+        assert compare.checksum_check(source, target, "t").first()["status"] == "PASS"
+        assert compare.sample_result(source, target, "t", ["k"]).first()["status"] == "PASS"
+        assert compare.row_diff_keyed(source, target, ["k"]).isEmpty()
+    wrong = right.select(F.when(F.col("k") == 3, "three").otherwise(F.col("k").cast("string")).alias("k"), "s")
+    nulls = right.withColumn("k", F.when(F.col("k") != 3, F.col("k")))
+    assert compare.checksum_check(nulls, wrong, "t").first()["status"] == "FAIL"
+    assert compare.sample_result(nulls, wrong, "t").first()["status"] == "FAIL"
+    part = left.withColumn("k", F.col("k") + F.lit(0.5).cast("decimal(2,1)"))
+    assert compare.checksum_check(right, part, "t").first()["status"] == "FAIL"
+
+
+def test_stored_digests_keep_their_ranges(spark):
+    df = spark.range(100, 300).toDF("k")
+    low = F.lit(100)
+    old = compare.chunk_digests(df, "t", "k", 50, low=low)
+    new = compare.chunk_digests(df.where("k > 100").union(spark.range(40, 45)), "t", "k", 50, low=low)
+    drift = {r["chunk_id"]: r["drift"] for r in compare.fingerprint_drift(old, new).collect()}
+    assert drift == {
+        "t-000000": "NEW", "t-000001": "CHANGED", "t-000002": "SAME", "t-000003": "SAME", "t-000004": "SAME",
+    }

@@ -281,8 +281,14 @@ def test_excluded_tables_and_outside_parents(spark, tmp_path):
 
     sources, tables = shop(spark)
     tables["CUSTOMER"] = replace(tables["CUSTOMER"], excluded=True)
-    with pytest.raises(ValueError, match="no parent table"):
+    with pytest.raises(migrate.StopBeforeCopy):
         migrate.full_load(sources, tables, f"{tmp_path}/a", "r", 50)
+    assert not path_exists(spark, f"{tmp_path}/a/data")
+    report = spark.read.json(f"{tmp_path}/a/report/r-report-json")
+    found = {(r["record_type"], r["name"], r["status"]) for r in report.collect()}
+    assert ("READINESS", "RDN-008", "BLOCKER") in found
+    assert ("VALIDATION", "run", "FAIL") in found
+    assert ("EXCLUSION", "CUSTOMER", "EXCLUDED") in found
     outcome = migrate.full_load(
         sources, tables, f"{tmp_path}/b", "r", 50, outside_parents={"CUSTOMER": sources["CUSTOMER"]}
     )
@@ -294,3 +300,27 @@ def test_reserved_key_columns(spark, tmp_path):
     source = spark.range(1, 11).select(F.col("id").alias("ORDER"), F.col("id").alias("GROUP"))
     tables = {"T": Table("T", keys=(Key("PK", ("ORDER",)),))}
     assert migrate.full_load({"T": source}, tables, str(tmp_path), "r", 4).status == "PASS"
+
+
+def test_a_failed_copy_is_reported_and_restarted(spark, tmp_path):
+    source = spark.range(40).select("id", (F.lit(1) / F.when(F.col("id") == 35, 0).otherwise(1)).alias("v"))
+    good = spark.range(40).select("id", F.lit(1.0).cast("double").alias("v"))
+    tables = {"T": Table("T", keys=(Key("PK", ("id",)),))}
+    root = str(tmp_path)
+    with pytest.raises(CopyFailed):
+        migrate.full_load({"T": source}, tables, root, "r", 10, waves=4)
+    report = spark.read.json(f"{root}/report/r-report-json")
+    assert {(r["record_type"], r["status"]) for r in report.collect()} >= {("VALIDATION", "FAIL")}
+    assert report.where("record_type = 'ERROR'").count() == 1
+    ledger = {r["chunk_id"]: r["status"] for r in L.read_ledger(spark, f"{root}/ledger", "r").collect()}
+    assert ledger["T-000001"] == "SUCCESS" and ledger["T-000004"] == "FAILED"
+    outcome = migrate.full_load({"T": good}, tables, root, "r", 10, waves=4)
+    assert outcome.status == "PASS"
+    assert outcome.ledger.where("status = 'SUCCESS'").count() == 4
+
+
+def test_another_run_starts_from_an_empty_target(spark, tmp_path):
+    sources, tables = shop(spark)
+    root = str(tmp_path)
+    assert migrate.full_load(sources, tables, root, "a", 20).status == "PASS"
+    assert migrate.full_load(sources, tables, root, "b", 7, chunk_sizes={"CUSTOMER": 3}).status == "PASS"

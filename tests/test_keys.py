@@ -132,3 +132,10 @@ def test_table_spec():
     assert Table("T").primary_key == ()
     with pytest.raises(ValueError):
         Key("k", ("a",), "FOREIGN_KEY")
+
+
+def test_closed_subset_of_a_table_that_refers_to_itself(spark):
+    staff = spark.createDataFrame([(2, 1), (3, None), (4, 9), (5, 3), (6, 4), (7, 5)], "id int, boss int")
+    key = ForeignKey("fk", "staff", ("boss",), "staff", ("id",))
+    kept = keys.fk_closed_subset({"staff": staff}, [key])["staff"]
+    assert sorted(r["id"] for r in kept.collect()) == [3, 5, 7]
