@@ -315,6 +315,43 @@ def row_diff_multiset(spark, folder):
     )
 
 
+def row_diff_scaled(spark, folder):
+    """Noise below the scale on top of the faulty copy, compared by hashed buckets."""
+    noise = F.when(F.col("o_orderkey") % 83 == 11, 0.001).otherwise(0.0)
+    altered = altered_orders(spark, folder).withColumn("o_totalprice", F.col("o_totalprice") + noise)
+    orders = read(spark, folder, "orders")
+    return compare.row_diff_drill_down(orders, altered, ["o_orderkey"], 25, scales=ORDERS.scales, most_sent=0)
+
+
+def checksum_other_types(spark, folder):
+    """Keys as decimals against the original, and a value that the source's type cannot hold."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    wide = orders.withColumn("o_orderkey", F.col("o_orderkey").cast("decimal(30,6)"))
+    one = F.when(F.col("o_orderkey") % 97 == 1, "x").otherwise(F.col("o_custkey").cast("string"))
+    checks = [
+        compare.checksum_check(orders, wide, "orders_wide"),
+        compare.checksum_check(orders, orders.withColumn("o_custkey", one), "orders_text"),
+    ]
+    return validate.union_all([c.select("name", "status", "object_name") for c in checks])
+
+
+def chunk_plan_wide(spark, folder):
+    """Ranges of a key that is spread over all of its type."""
+    spread = (F.col("o_orderkey") % 18000).cast("decimal(20,0)") * F.lit(10**15).cast("decimal(16,0)")
+    wide = (spread - F.lit(9 * 10**18).cast("decimal(19,0)")).cast("bigint")
+    orders = read(spark, folder, "orders").select(wide.alias("wide_key"))
+    return chunks.plan_key_ranges(orders, "orders", "wide_key", 10**17)
+
+
+def fk_closed_self(spark, folder):
+    """Customers under customers: rows whose chain of parents is broken go."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    parent = F.when(key % 10 == 0, None).when(nation == 3, key + 10**9).otherwise(F.floor(key / 10))
+    customers = read(spark, folder, "customer").select("c_custkey", parent.cast("bigint").alias("parent"))
+    own = ForeignKey("fk_parent", "customer", ("parent",), "customer", ("c_custkey",))
+    return keys.fk_closed_subset({"customer": customers}, [own])["customer"]
+
+
 # --- keys --------------------------------------------------------------------------
 
 
@@ -655,6 +692,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_diff_keyed": row_diff_keyed,
     "row_diff_drill_down": row_diff_drill_down,
     "row_diff_multiset": row_diff_multiset,
+    "fk_closed_self": fk_closed_self,
+    "chunk_plan_wide": chunk_plan_wide,
+    "checksum_other_types": checksum_other_types,
+    "row_diff_scaled": row_diff_scaled,
     "duplicate_keys": duplicate_keys,
     "duplicate_groups": duplicate_groups,
     "key_candidates": key_candidates,

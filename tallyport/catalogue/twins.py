@@ -690,4 +690,32 @@ select o_orderkey, case when o_orderkey % 4 = 0 then o_custkey end as whole,
 from orders""",
     }
     sql["row_diff_drill_down"] = sql["row_diff_keyed"]
+    sql["row_diff_scaled"] = sql["row_diff_keyed"]
+    sql["checksum_other_types"] = """
+select 'checksum' as name, 'PASS' as status, 'orders_wide' as object_name
+union all
+select 'checksum', case when count(*) filter (o_orderkey % 97 = 1) = 0 then 'PASS' else 'FAIL' end, 'orders_text'
+from orders"""
+    sql["chunk_plan_wide"] = """
+with k as (select cast(cast(o_orderkey % 18000 as hugeint) * 1000000000000000 - 9000000000000000000 as hugeint) as k
+           from orders),
+b as (select min(k) as low, max(k) as high from k),
+c as (select (k - low) // 100000000000000000 + 1 as n, count(*) as row_count from k, b group by 1),
+r as (select n, row_count, low + (n - 1) * 100000000000000000 as first_key,
+             least(low + n * 100000000000000000 - 1, high) as last_key from c, b)
+select 'orders' as table_name, cast(n as bigint) as chunk_no, printf('%s-%06d', 'orders', cast(n as bigint)) as chunk_id,
+       'wide_key' as column_name, cast(first_key as bigint) as low_key, cast(last_key as bigint) as high_key,
+       'wide_key >= ' || cast(first_key as varchar) || ' and wide_key <= ' || cast(last_key as varchar) as where_clause,
+       'NUMERIC_PRIMARY_KEY' as strategy, row_count
+from r"""
+    sql["fk_closed_self"] = """
+with recursive t as (
+  select c_custkey, case when c_custkey % 10 = 0 then null when c_nationkey = 3 then c_custkey + 1000000000
+                         else c_custkey // 10 end as parent
+  from customer),
+kept as (
+  select c_custkey, parent from t where parent is null
+  union
+  select t.c_custkey, t.parent from t join kept on t.parent = kept.c_custkey)
+select c_custkey, parent from kept"""
     return sql

@@ -20,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
         if context.getCheckpointDir() is None:
             context.setCheckpointDir(folder)
         return folder
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tallyport-")
     context.setCheckpointDir(folder)
