@@ -15,8 +15,8 @@ A class is light if a set has no more subsets than ``SCAN_COST`` times its lists
 give candidate edges from each member to the list's first; those are combined where they
 arise, so a list as long as the table costs one row per batch.  Candidate components are
 then checked exactly: sets come together by component, a large component in pairs of cells
-of bounded size, and each task scans the inverted lists of the single elements.  Only edges
-that join two parts are returned.  No step emits the pairs of a group.
+of bounded size, and each task scans the inverted lists of the single elements.  A task
+returns one edge for each set it could join.  No step emits the pairs of a group.
 
 Elements are 64-bit hashes of shingles, a set is known by 128 bits of hash.
 
@@ -39,14 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyport.llm.graph import components
+from tallyport.llm.order import side, with_rows
 from tallyport.llm.words import BLANK_WORDS, find_words, mixed, ngrams, pieces, text_bytes
-from tallyport.runtime import default_partitions, settle, settle_table
+from tallyport.runtime import default_partitions, settle_table
 
 SCAN_COST = 8
 #: Elements in one cell of a large component.
 CELL = 1 << 17
-#: Candidate vertices that are sent to all executors (16 bytes each); more are joined.
-SENT = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -110,7 +109,7 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "text"):
+    for batch in pieces(batches, "text", 2_000_000):
         grams, first = shingle_sets(batch.column("text"), words)
         size = np.diff(first)
         one = _sums(mixed(grams), first)
@@ -211,8 +210,8 @@ def _by_key(keys: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _post(batches: Iterator[pa.RecordBatch], rule: Rule, buckets: int) -> Iterator[pa.RecordBatch]:
     """Per batch and bucket of the key space, the keys with one mark each, packed; and the
-    candidate edges within the batch."""
-    for batch in pieces(batches, "elements", 16_000_000):
+    candidate edges within the batch, spread over the buckets."""
+    for batch in pieces(batches, "elements", 4_000_000):
         grams, first = _flat(batch.column("elements"))
         marks = batch.column("mark").to_numpy()
         keys, owners = list_keys(grams, first, rule)
@@ -221,36 +220,37 @@ def _post(batches: Iterator[pa.RecordBatch], rule: Rule, buckets: int) -> Iterat
         bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
         cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
         filled = np.flatnonzero(np.diff(cuts))
-        out = {"bucket": [], "packed": [], "a": [], "b": []}
+        packed = []
         for i in filled:
             some, code = keys[cuts[i] : cuts[i + 1]], codes[cuts[i] : cuts[i + 1]]
             own, code = np.unique(code, return_inverse=True)
             head = np.array([len(some), len(own)], np.uint32).tobytes()
             code = code.astype(np.uint16 if len(own) < 1 << 16 else np.uint32)
-            out["bucket"].append(int(i))
-            out["packed"].append(head + some.tobytes() + names[own].tobytes() + code.tobytes())
+            packed.append(head + some.tobytes() + names[own].tobytes() + code.tobytes())
+        zeros = np.zeros(len(filled), np.int64)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.concatenate([filled, np.full(len(a), -1)]).astype(np.int64)),
-                pa.array(out["packed"] + [None] * len(a), pa.binary()),
-                pa.array(np.concatenate([np.zeros(len(filled), np.int64), a])),
-                pa.array(np.concatenate([np.zeros(len(filled), np.int64), b])),
+                pa.array(np.concatenate([filled, np.abs(b) % buckets]).astype(np.int64)),
+                pa.array(packed + [None] * len(a), pa.binary()),
+                pa.array(np.concatenate([zeros, a])),
+                pa.array(np.concatenate([zeros, b])),
             ],
             names=["bucket", "packed", "a", "b"],
         )
 
 
 def _scan(frame: pd.DataFrame) -> pd.DataFrame:
-    """Candidate edges of one bucket of keys."""
-    keys, marks = [], []
-    for packed in frame["packed"]:
+    """Candidate edges of one bucket of keys, with those found before."""
+    keys, marks = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    lists = frame["packed"].notna()
+    for packed in frame["packed"][lists]:
         count, own = np.frombuffer(packed, np.uint32, 2).tolist()
         keys.append(np.frombuffer(packed, np.uint64, count, 8))
         names = np.frombuffer(packed, np.int64, own, 8 + 8 * count)
         code = np.frombuffer(packed, np.uint16 if own < 1 << 16 else np.uint32, count, 8 + 8 * (count + own))
         marks.append(names[code])
     _, _, a, b = _by_key(np.concatenate(keys), np.concatenate(marks))
-    return pd.DataFrame({"a": a, "b": b})
+    return pd.concat([pd.DataFrame({"a": a, "b": b}), frame.loc[~lists, ["a", "b"]]])
 
 
 def candidate_edges(sets: DataFrame, rule: Rule) -> DataFrame:
@@ -262,14 +262,7 @@ def candidate_edges(sets: DataFrame, rule: Rule) -> DataFrame:
     posted = sets.where("n > 0").select("mark", "elements").mapInArrow(
         lambda it: _post(it, rule, buckets), "bucket long, packed binary, a long, b long"
     )
-    posted = settle_table(posted, "lists")
-    near = posted.where("bucket < 0").select("a", "b")
-    wide = posted.where("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_scan, "a long, b long")
-    return near.union(wide).distinct()
-
-
-def _roots(n: int) -> list[int]:
-    return list(range(n))
+    return posted.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_scan, "a long, b long").distinct()
 
 
 def _find(roots: list[int], i: int) -> int:
@@ -279,8 +272,8 @@ def _find(roots: list[int], i: int) -> int:
     return i
 
 
-def linked_edges(sets: list[np.ndarray], sides: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
-    """Edges that join all linked sets of a task.
+def linked_groups(sets: list[np.ndarray], sides: np.ndarray, rule: Rule) -> list[int]:
+    """For each set of a task the number of another, the same for all sets joined by links.
 
     Each set scans the inverted lists of its elements for overlaps with the sets before it;
     pairs that are joined already are not counted again, and of two different cells only pairs
@@ -295,7 +288,7 @@ def linked_edges(sets: list[np.ndarray], sides: np.ndarray, rule: Rule) -> list[
     place = np.empty(len(flat), np.int64)
     place[order] = np.arange(len(flat))
     first = np.concatenate([[0], np.cumsum(size)])
-    roots, edges = _roots(len(sets)), []
+    roots = list(range(len(sets)))
     across = sides.min() != sides.max()
     for i in range(1, len(sets)):
         low = begin[first[i] : first[i + 1]]
@@ -311,38 +304,40 @@ def linked_edges(sets: list[np.ndarray], sides: np.ndarray, rule: Rule) -> list[
             if across and sides[i] == sides[j]:
                 continue
             x, y = _find(roots, i), _find(roots, j)
-            if x != y:
-                roots[x] = y
-                edges.append((i, j))
-    return edges
+            roots[x] = y
+    return [_find(roots, i) for i in range(len(sets))]
 
 
 def _check(frame: pd.DataFrame, rule: Rule) -> pd.DataFrame:
+    """Edges from the smallest vertex of each group of a task to its others."""
     sets = [np.frombuffer(e, np.uint64) for e in frame["elements"]]
-    edges = linked_edges(sets, frame["cell"].to_numpy(), rule)
-    vertex = frame["vertex"].to_list()
-    return pd.DataFrame({"a": [vertex[i] for i, _ in edges], "b": [vertex[j] for _, j in edges]})
+    held = pd.DataFrame({"b": frame["vertex"], "group": linked_groups(sets, frame["cell"].to_numpy(), rule)})
+    held["a"] = held.groupby("group")["b"].transform("min")
+    return held.loc[held["a"] != held["b"], ["a", "b"]]
 
 
 def links(sets: DataFrame, rule: Rule) -> DataFrame:
     """``a``, ``b``: vertices that are linked, enough to connect every group."""
-    groups = settle(components(candidate_edges(sets, rule)).select(F.col("node").alias("mark"), F.col("root").alias("group")))
-    count = groups.count()
-    small = F.broadcast(groups) if count <= SENT else groups
-    held = sets.where("n > 0").select("vertex", "mark", "n", "elements").join(small, "mark")
-    held = settle_table(held, "candidates")
-    # Equal sets once each; the first of equal rows, which hold the same elements.
-    sizes = held.groupBy("vertex").agg(F.first("group").alias("group"), F.first("n").alias("n"), F.min("mark").alias("mark"))
-    weight = sizes.groupBy("group").agg(F.ceil(F.sum("n") / CELL).cast("int").alias("cells"))
-    once = held.groupBy("vertex").agg(F.first("group").alias("group"), F.min_by("elements", "mark").alias("elements"))
+    groups = components(candidate_edges(sets, rule)).select(F.col("node").alias("mark"), F.col("root").alias("group"))
+    # One row for each vertex: equal sets are counted out on narrow rows, elements stay where they are.
+    vertices = sets.where("n > 0").groupBy("vertex").agg(
+        F.min("row").alias("row"), F.first("n").alias("n"), F.first("mark").alias("mark")
+    )
+    chosen = settle_table(vertices.join(groups, "mark").select("vertex", "row", "n", "group"), "chosen")
+    weight = chosen.groupBy("group").agg(F.ceil(F.sum("n") / CELL).cast("int").alias("cells"))
     cell = F.pmod(F.xxhash64("vertex"), F.col("cells")).cast("int")
-    dealt = once.join(weight, "group").withColumn("cell", cell)
+    dealt = side(chosen.join(weight, "group").select("row", "group", "cells", cell.alias("cell")))
     # A set of cell c meets every other cell once, as (smaller, larger).
-    others = F.sequence(F.lit(0), F.col("cells") - 1)
-    pairs = dealt.withColumn("other", F.explode(others)).select(
+    others = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other")
+    held = sets.select("row", "vertex", "elements").join(dealt, "row").select("*", others)
+    pairs = held.select(
         "group", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"), "cell", "vertex", "elements"
     )
-    return pairs.groupBy("group", "i", "j").applyInPandas(lambda frame: _check(frame, rule), "a binary, b binary")
+    return pairs.groupBy("group", "i", "j").applyInPandas(_checker(rule), "a binary, b binary")
+
+
+def _checker(rule: Rule):
+    return lambda frame: _check(frame, rule)
 
 
 def classes(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
@@ -350,25 +345,25 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     by links."""
     rule = Rule(words, percent)
     sets = document_sets(docs, rule)
-    roots = components(settle(links(sets, rule)))
+    roots = components(links(sets, rule))
     rows = sets.select("row", "doc_id", "n", "vertex")
     first = rows.where("n > 0").groupBy("vertex").agg(F.min("doc_id").alias("low"))
     known = first.join(roots.withColumnRenamed("node", "vertex"), "vertex", "left")
     known = known.select("vertex", "low", F.coalesce("root", "vertex").alias("root"))
     lowest = known.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = settle(known.join(lowest, "root").select("vertex", "component_id"))
+    named = settle_table(known.join(lowest, "root").select("vertex", "component_id"), "named")
     found = rows.where("n > 0").join(named, "vertex").select("row", "doc_id", "n", "component_id")
     return found.union(rows.where("n = 0").select("row", "doc_id", "n", F.col("doc_id").alias("component_id")))
 
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each group of linked documents, that with the smallest id; rows without
-    words all stay.
+    """One row of each group of linked documents, the first in the scan; rows without words
+    all stay.
 
     Rows are numbered by their place in the scan, so ``docs`` has to be read from files.
     """
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
+    whole = with_rows(docs)
     plain = whole.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
     found = classes(plain, words, percent)
-    kept = found.where("n = 0 or doc_id = component_id").select(F.col("doc_id").alias("row"))
-    return whole.join(kept, "row", "left_semi").select("doc.*")
+    gone = found.where("n > 0 and doc_id != component_id").select(F.col("doc_id").alias("row"))
+    return whole.join(side(gone), "row", "left_anti").select("doc.*")

@@ -29,3 +29,19 @@ def numbered(df: DataFrame, by: list[Column], position: str = "pos") -> DataFram
     place = F.col("_start") + F.col("_at").bitwiseAND(F.lit(_INDEX))
     # One row per partition of the order, as many as spark.sql.shuffle.partitions.
     return table.join(F.broadcast(starts), "_part").withColumn(position, place).drop("_part", "_at", "_start")
+
+
+#: Rows of a few numbers that are sent to all executors; more are joined by a shuffle.
+SENT = 2_000_000
+
+
+def side(df: DataFrame) -> DataFrame:
+    """``df``, written once, as the small side of a join: sent to all executors if it has at
+    most ``SENT`` rows, else left to a shuffle.  The rows of the join are the same."""
+    held = settle_table(df, "side")
+    return F.broadcast(held) if held.count() <= SENT else held
+
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    """``row``, the place in the scan, and ``doc``, a struct of all columns."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
