@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyport.llm.order import side, with_rows
 from tallyport.llm.words import PLAIN_WORDS, byte_class, find_words, pieces, text_bytes
 from tallyport.runtime import settle_table
 
@@ -308,8 +309,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, share: int =
 
     Rows are numbered by their place in the scan, so ``docs`` has to be read from files.
     """
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
-    numbered = whole.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
-    found = contamination(find_phrases(build_index(numbered), benchmark, size), share)
+    whole = with_rows(docs)
+    plain = whole.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
+    found = contamination(find_phrases(build_index(plain), benchmark, size), share)
     bad = found.where("contaminated").select(F.col("doc_id").alias("row"))
-    return whole.join(bad, "row", "left_anti").select("doc.*")
+    return whole.join(side(bad), "row", "left_anti").select("doc.*")

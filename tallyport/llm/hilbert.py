@@ -20,7 +20,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyport.llm.order import numbered
+from tallyport.llm.order import numbered, side, with_rows
 from tallyport.runtime import settle, settle_table
 
 BITS = 6
@@ -172,8 +172,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, bits: int = B
     ``docs`` has to be read from files, since rows are numbered by their place in the scan.
     """
     placed = settle(place(docs, shards, bits).select("row", "shard", "slot", "size", *DIMENSIONS[:2]))
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
-    rows = whole.join(placed.select("row", "shard", "slot"), "row")
+    rows = with_rows(docs).join(side(placed.select("row", "shard", "slot")), "row")
     rows = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
     rows.select("shard", "slot", "doc").write.partitionBy("shard").parquet(path)
     return shard_bounds(placed)

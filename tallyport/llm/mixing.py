@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyport.llm.order import side, with_rows
 from tallyport.llm.words import BLANK_WORDS, find_words, pieces, text_bytes
 from tallyport.runtime import default_partitions, settle, settle_table
 
@@ -163,5 +164,5 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
     """
     chosen = mix(docs, weights, most, seed).where("copies > 0")
     copies = chosen.select("row", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("copies"))
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
-    return whole.join(copies, "row").select("doc", F.explode("copies").alias("copy")).select("doc.*")
+    rows = with_rows(docs).join(side(copies), "row")
+    return rows.select("doc", F.explode("copies").alias("copy")).select("doc.*")

@@ -146,12 +146,15 @@ def train(rows: DataFrame, rounds: int = ROUNDS, shards: int = SHARDS, bits: int
     return Ftrl(z, n).weights()
 
 
+def _logistic(column: pa.Array, w: np.ndarray, bits: int) -> np.ndarray:
+    bucket, value, first = features(column, bits)
+    total = np.concatenate([[0.0], np.cumsum(w[bucket] * value)])
+    return 1 / (1 + np.exp(-(total[first[1:]] - total[first[:-1]] + w[-1])))
+
+
 def _scores(batches: Iterator[pa.RecordBatch], weights: Broadcast, bits: int) -> Iterator[pa.RecordBatch]:
-    w = weights.value
     for batch in pieces(batches, "text"):
-        bucket, value, first = features(batch.column("text"), bits)
-        total = np.concatenate([[0.0], np.cumsum(w[bucket] * value)])
-        score = 1 / (1 + np.exp(-(total[first[1:]] - total[first[:-1]] + w[-1])))
+        score = _logistic(batch.column("text"), weights.value, bits)
         names = [n for n in batch.schema.names if n != "text"]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(score)], names=[*names, "score"])
 
@@ -175,7 +178,12 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = EXAMPLES) -> np.ndarray:
     return train(examples(docs, rows, most))
 
 
-def keep_good(docs: DataFrame, weights: np.ndarray, least: float) -> DataFrame:
+def _good(batches: Iterator[pa.RecordBatch], weights: Broadcast, bits: int, least: float) -> Iterator[pa.RecordBatch]:
+    for batch in pieces(batches, "text"):
+        yield batch.filter(pa.array(_logistic(batch.column("text"), weights.value, bits) >= least))
+
+
+def keep_good(docs: DataFrame, weights: np.ndarray, least: float, bits: int = BITS) -> DataFrame:
     """The documents with a score of at least ``least``, with all their columns."""
-    whole = F.struct(*(docs[c] for c in docs.columns))
-    return score(docs, weights, whole).where(F.col("score") >= least).select("carried.*")
+    sent = docs.sparkSession.sparkContext.broadcast(weights)
+    return docs.mapInArrow(lambda it: _good(it, sent, bits, least), docs.schema)
