@@ -2,6 +2,66 @@
 
 from __future__ import annotations
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWERED = f"translate(text, '{_UPPER}', '{_UPPER.lower()}')"
+
+
+def _words(pattern: str) -> str:
+    return f"coalesce(regexp_extract_all({_LOWERED}, '{pattern}'), [])"
+
+
+_PLAIN = _words(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+_BLANK = _words(r"[^\x20\x09-\x0D]+")
+
 
 def twins() -> dict[str, str]:
-    return {}
+    return {
+        "op2_benchmark_index": f"""
+with d as (select row_number() over () as r, doc_id, {_PLAIN} as w from documents),
+i as (select item_id, {_PLAIN} as w from benchmark),
+starts as (select item_id, w, unnest(generate_series(1, greatest(1, len(w) - 12))) as k from i where len(w) > 0),
+win as (select distinct item_id, list_slice(w, k, k + 12) as win from starts),
+sizes as (select distinct len(win) as n from win),
+places as (select r, w, n, unnest(generate_series(1, len(w) - n + 1)) as k from d, sizes where len(w) >= n),
+found as (select r, k, n, item_id from places join win on list_slice(w, k, k + n - 1) = win),
+hit as (select r, count(distinct p) as n_hit
+        from (select r, unnest(generate_series(k, k + n - 1)) as p from found) group by r),
+items as (select r, count(*) as n_items, string_agg(item, ',' order by item) as names
+          from (select distinct r, cast(item_id as varchar) as item from found) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(names, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join hit using (r) left join items using (r)""",
+        "op7_impact_search": """
+with v as (
+  select row_number() over () as r, vec_id,
+         list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as q
+  from embeddings
+  where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as query_id, a.r as query_row, b.vec_id, b.r,
+         cast(list_dot_product(a.q, b.q) as bigint) as score
+  from v a join v b on a.r <> b.r where a.vec_id % 100 = 0),
+ranked as (
+  select query_id, vec_id, score,
+         row_number() over (partition by query_id, query_row order by score desc, vec_id, r) as rank
+  from scored)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 10""",
+        "op10_shingle_join": f"""
+with recursive d as (select row_number() over () as r, doc_id, {_BLANK} as w from documents),
+s as (select distinct r, g from (
+        select r, list_slice(w, k, k + 2) as g
+        from (select r, w, unnest(generate_series(1, greatest(1, len(w) - 2))) as k from d where len(w) > 0))),
+n as (select r, count(*) as n from s group by r),
+links as (
+  select a.r as a, b.r as b
+  from s a join s b on a.g = b.g and a.r <> b.r
+  join n na on na.r = a.r join n nb on nb.r = b.r
+  group by a.r, b.r, na.n, nb.n
+  having 100 * count(*) >= 90 * (na.n + nb.n - count(*))),
+reach as (select r as a, r as b from d union select reach.a, links.b from reach join links on reach.b = links.a)
+select d.doc_id, coalesce(max(n.n), 0) as n_shingles, min(o.doc_id) as component_id
+from d left join n using (r) join reach on reach.a = d.r join d o on o.r = reach.b
+group by d.r, d.doc_id""",
+    }
