@@ -182,7 +182,7 @@ def _all_ranges(df: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, order_by: Sequence[str], partitions: int | None = None, stable_input: bool = True
+    df: DataFrame, order_by: Sequence[str], partitions: int | None = None, stable_input: bool | None = None
 ) -> DataFrame:
     """Add ``row_no``: the global row number in the given order, nulls first.
 
@@ -193,15 +193,18 @@ def number_rows(
     over several partitions.
 
     ``stable_input`` says that recomputing ``df`` gives the same rows in the same order,
-    as a file scan with filters and projections does; other inputs are written first.
+    as a file scan with filters and projections does; other inputs are written first.  If not
+    given, it is taken from whether ``df`` is such a scan.
     """
     return _numbered(df, order_by, partitions, stable_input).drop("_total")
 
 
 def _numbered(
-    df: DataFrame, order_by: Sequence[str], partitions: int | None, stable_input: bool
+    df: DataFrame, order_by: Sequence[str], partitions: int | None, stable_input: bool | None
 ) -> DataFrame:
     """Rows with ``row_no`` and the number of all rows, ``_total``."""
+    if stable_input is None:
+        stable_input = is_file_scan(df)
     source = df if stable_input else settle_table(df, "input")
     partitions = partitions or default_partitions(df.sparkSession)
     order = [F.col(c).asc_nulls_first() for c in order_by]
@@ -239,7 +242,7 @@ def plan_row_numbers(
     keys: Sequence[str],
     size: int,
     partitions: int | None = None,
-    stable_input: bool = True,
+    stable_input: bool | None = None,
 ) -> DataFrame:
     """Chunks of ``size`` rows in key order.
 
@@ -292,6 +295,14 @@ def between_keys(keys: Sequence[str], first, last) -> Column:
 # --- row positions -----------------------------------------------------------------
 
 
+def is_file_scan(df: DataFrame) -> bool:
+    """True for a scan of files with nothing but filters and projections on top."""
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
 def has_row_positions(df: DataFrame) -> bool:
     """True for a plain scan of files that know each row's place."""
     try:
@@ -383,7 +394,7 @@ def explode_span(df: DataFrame, low: Column, high: Column, name: str, block: int
 
 
 def assign_chunks(
-    df: DataFrame, keys: Sequence[str], size: int, partitions: int | None = None, stable_input: bool = True
+    df: DataFrame, keys: Sequence[str], size: int, partitions: int | None = None, stable_input: bool | None = None
 ) -> DataFrame:
     """Add ``chunk_no`` to every row, by the strategy that fits the key."""
     check_size(size)
@@ -414,7 +425,7 @@ def plan_chunks(
     keys: Sequence[str],
     size: int,
     partitions: int | None = None,
-    stable_input: bool = True,
+    stable_input: bool | None = None,
 ) -> DataFrame:
     """Chunk plan of a table: number, id, strategy, predicate or row range, and rows."""
     strategy = choose_strategy(df.schema, keys)
