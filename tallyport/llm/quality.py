@@ -8,7 +8,7 @@ of a sparse dot product.
 Training takes at most ``EXAMPLES`` labelled rows, those with the smallest hash of their id; a text of
 any length counts whole.  The rows are dealt to ``SHARDS`` tasks.  In each round every task
 runs follow-the-regularised-leader updates over its rows, starting from the shared state,
-and the states are averaged (parameter mixing).  Weights, 2**18 numbers, travel to the scoring tasks
+and the states are averaged (parameter mixing); rows of the rarer label weigh more.  Weights, 2**18 numbers, travel to the scoring tasks
 as a broadcast of fixed size.
 
 Defined cases: a null or empty text has no features and gets the score of the bias alone; null labels
@@ -35,6 +35,10 @@ BITS = 18
 EXAMPLES = 32_000
 SHARDS = 4
 ROUNDS = 4
+#: Times a task goes over its rows in a round.
+PASSES = 4
+#: The rarer label weighs as much as the other in total, up to this factor a row.
+MOST_WEIGHT = 8.0
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.05, 0.1
 
 #: Letters, digits and everything outside ASCII against all other signs.
@@ -116,12 +120,14 @@ class Ftrl:
 
 
 def _round(frame: pd.DataFrame, state: Broadcast, bits: int) -> pd.DataFrame:
-    z, n = state.value
+    z, n, weight = state.value
     model = Ftrl(z.copy(), n.copy())
-    for row in frame.sort_values("draw").itertuples():
-        at = np.append(np.frombuffer(row.buckets, np.int32), 1 << bits)
-        x = np.append(np.frombuffer(row.values_, np.float32), 1.0).astype(np.float64)
-        model.learn(at, x, float(row.label), 1.0)
+    frame = frame.sort_values("draw")
+    for _ in range(PASSES):
+        for row in frame.itertuples():
+            at = np.append(np.frombuffer(row.buckets, np.int32), 1 << bits)
+            x = np.append(np.frombuffer(row.values_, np.float32), 1.0).astype(np.float64)
+            model.learn(at, x, float(row.label), weight[int(row.label > 0)])
     return pd.DataFrame({"z": [model.z.tobytes()], "n": [model.n.tobytes()]})
 
 
@@ -134,8 +140,11 @@ def train(rows: DataFrame, rounds: int = ROUNDS, shards: int = SHARDS, bits: int
     spark = rows.sparkSession
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     dealt = rows.select(F.pmod("draw", F.lit(shards)).alias("shard"), "label", "draw", "buckets", F.col("values").alias("values_"))
+    ones, count = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("*")).first()
+    odds = (count - ones) / ones if ones and count > ones else 1.0
+    weight = (float(np.clip(1 / odds, 1, MOST_WEIGHT)), float(np.clip(odds, 1, MOST_WEIGHT)))
     for _ in range(rounds):
-        state = spark.sparkContext.broadcast((z, n))
+        state = spark.sparkContext.broadcast((z, n, weight))
         parts = dealt.groupBy("shard").applyInPandas(_learner(state, bits), "z binary, n binary")
         # One state of fixed size from each shard.
         found = parts.collect()
