@@ -7,8 +7,8 @@ of its labelled texts.  A text gets the language of the centroid with the larges
 ``und`` where even that is below ``reject`` (a distance above ``1 - reject``) or where there is no
 letter at all.
 
-Training takes at most about ``EXAMPLES`` texts of each language, those with the smallest
-hash, each whole; counts of texts per language go over all rows.  The centroids
+Training takes at most ``EXAMPLES`` different texts of each language, those with the smallest
+hash, each whole; they are counted and drawn over all rows, a text with copies once.  The centroids
 (languages x ``CENTRES`` x 2**13 numbers) travel as a broadcast: their size does not grow
 with the rows.
 
@@ -28,6 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyport.llm.order import side
 from tallyport.llm.words import LOWER, pieces, text_bytes
 from tallyport.runtime import settle_table
 
@@ -96,19 +97,25 @@ def _count_rows(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Rec
 
 
 def examples(docs: DataFrame, most: int = EXAMPLES, bits: int = BITS) -> DataFrame:
-    """``lang, buckets, counts`` of at most ``most`` texts of each language of ``docs``
-    (``lang``, ``text``)."""
+    """``lang, buckets, counts`` of at most ``most`` different texts of each language of
+    ``docs`` (``lang``, ``text``), which has to be read from files."""
     known = docs.where("lang is not null and text is not null").select(
-        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
+        F.monotonically_increasing_id().alias("row"),
+        F.col("lang").cast("string").alias("lang"),
+        F.col("text").cast("string").alias("text"),
     )
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 40))
+    # Copies are one text: they count once and are drawn once.
+    different = known.select("row", "lang", F.xxhash64("text").alias("hash")).groupBy("lang", "hash")
+    different = settle_table(different.agg(F.min("row").alias("row")), "different")
     # A first cut by a share of the hash range, so that no language is ranked whole.
-    sizes = known.groupBy("lang").agg(F.count("*").alias("rows"))
-    share = F.least(F.lit(1.0), 1.5 * most / F.col("rows") + 50 / F.col("rows"))
-    marked = known.withColumn("draw", draw).join(F.broadcast(sizes.select("lang", share.alias("share"))), "lang")
+    draw = F.pmod("hash", F.lit(1 << 40))
+    sizes = different.groupBy("lang").agg(F.count("*").alias("texts"))
+    share = F.least(F.lit(1.0), 1.5 * most / F.col("texts") + 50 / F.col("texts"))
+    marked = different.withColumn("draw", draw).join(F.broadcast(sizes.select("lang", share.alias("share"))), "lang")
     few = marked.where(F.col("draw") < F.col("share") * (1 << 40))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    chosen = few.withColumn("rank", rank).where(F.col("rank") <= most).select("lang", "text")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "hash"))
+    drawn = few.withColumn("rank", rank).where(F.col("rank") <= most).select("row")
+    chosen = known.join(side(drawn), "row").select("lang", "text")
     rows = chosen.mapInArrow(lambda it: _count_rows(it, bits), "lang string, buckets array<int>, counts array<float>")
     return settle_table(rows.where(F.size("buckets") > 0), "languages")
 

@@ -183,6 +183,21 @@ def test_languages_of_odd_rows(documents):
     assert {r["lang_pred"] for r in langid.predict(docs, nothing, F.col("doc_id")).collect()} == {"und"}
 
 
+def test_copies_of_a_text_are_one_example(documents):
+    texts = {x: [f"{x * 3} {i:03d} " + "".join(chr(97 + int(d)) for d in str(i * i)) for i in range(60)] for x in "pq"}
+    rows = [(t, x) for x, ts in texts.items() for t in ts]
+    hot = [(texts["p"][i], "p") for i in range(60) for _ in range(i % 3 * 30)]
+    docs = documents([(i, *r) for i, r in enumerate(rows + hot)])
+
+    def vectors(frame):
+        return sorted((r["lang"], tuple(r["buckets"]), tuple(r["counts"])) for r in frame.collect())
+
+    for most in (5, 40, 1000):
+        once = documents([(i, *r) for i, r in enumerate(rows)], "once")
+        got = vectors(langid.examples(docs, most=most))
+        assert len(got) == 2 * min(most, 60) and got == vectors(langid.examples(once, most=most))
+
+
 # --- personal data ---------------------------------------------------------------------
 
 _BASE = {
