@@ -72,8 +72,8 @@ def same_types(
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides with ``columns`` in the types of the source, and the columns to compare.
 
-    Where a type differs, the target's values are cast.  One that cannot be cast, or a number
-    that the cast changes, goes as text into an extra column, which is null in the source, so such a
+    Where a type differs, the target's values are cast.  One that cannot be cast, or that the
+    cast changes, goes as text into an extra column, which is null in the source, so such a
     row never equals one of the source.
     """
     columns = list(columns)
@@ -87,9 +87,7 @@ def same_types(
             cast.append(value)
             continue
         fitted = value.try_cast(wanted)
-        lost = fitted.isNull()
-        if isinstance(wanted, T.NumericType) and isinstance(given, T.NumericType):
-            lost = lost | ~fitted.try_cast(given).eqNullSafe(value)
+        lost = fitted.isNull() | _changed(value, fitted, given, wanted)
         misfits.append(F.when(value.isNotNull() & lost, F.concat(F.lit(f"{name}="), value.cast("string"))))
         cast.append(fitted.alias(name))
     misfit = F.nullif(F.concat_ws(", ", *misfits), F.lit(""))
@@ -100,6 +98,59 @@ def same_types(
     )
 
 
+def _changed(value: Column, fitted: Column, given: T.DataType, wanted: T.DataType) -> Column:
+    """Whether a cast from ``given`` to ``wanted`` that gave a value lost a part of it.
+
+    Texts may write the same value in several ways, so they are compared by what they say; any
+    other value is cast back.
+    """
+    if isinstance(given, T.StringType):
+        if isinstance(wanted, T.NumericType):
+            return _other_number(value, fitted, wanted)
+        if isinstance(wanted, T.DateType):
+            return ~value.try_cast("timestamp_ntz").eqNullSafe(fitted.cast("timestamp_ntz"))
+        if isinstance(wanted, (T.TimestampType, T.TimestampNTZType)):
+            moved = ~value.try_cast("timestamp").eqNullSafe(fitted.cast("timestamp"))
+            return moved | value.rlike(_BELOW_MICROS)
+        return F.lit(False)
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType, T.NullType)
+    if isinstance(given, nested) or isinstance(wanted, nested):
+        return F.lit(False)
+    return ~fitted.try_cast(given).eqNullSafe(value)
+
+
+#: A fraction of a second with more digits than a timestamp holds.
+_BELOW_MICROS = r"\.[0-9]{6}[0-9]*[1-9]"
+_NUMBER = r"^[\x00-\x20]*+([+-]?+)([0-9]*+)\.?+([0-9]*+)(?:[eE]([+-]?[0-9]++))?+[dDfF]?[\x00-\x20]*+$"
+
+
+def _number_parts(text: Column) -> tuple[Column, Column, Column]:
+    """Sign, digits without outer zeros, and the power of ten of the last digit."""
+    sign, whole, fraction, power = (F.regexp_extract(text, _NUMBER, i) for i in range(1, 5))
+    left = F.ltrim(F.concat(whole, fraction), F.lit("0"))
+    digits = F.rtrim(left, F.lit("0"))
+    shift = F.length(left) - F.length(digits) - F.length(fraction)
+    exponent = F.when(power == "", F.lit(0)).otherwise(power.try_cast("bigint")) + shift
+    return F.when(sign == "-", sign).otherwise(F.lit("")), digits, exponent
+
+
+def _other_number(value: Column, fitted: Column, wanted: T.DataType) -> Column:
+    """Whether a text writes another number than ``fitted``, digit by digit.
+
+    A fraction of as many digits as tell all floating-point numbers apart is that number.
+    """
+    text = fitted.cast("string")
+    sign, digits, power = _number_parts(value)
+    other_sign, other_digits, other_power = _number_parts(text)
+    same = (digits == other_digits) & ((digits == "") | ((sign == other_sign) & power.eqNullSafe(other_power)))
+    differs = ~(same & value.rlike(_NUMBER) & text.rlike(_NUMBER))
+    if not isinstance(wanted, (T.FloatType, T.DoubleType)):
+        return differs
+    told = F.lit(9 if isinstance(wanted, T.FloatType) else 17)
+    kept = (F.length(digits) <= told) & (power < 0) & text.rlike(_NUMBER) & (fitted != 0)
+    return value.rlike(_NUMBER) & differs & ~F.coalesce(kept, F.lit(False))
+
+
 # --- row counts --------------------------------------------------------------------
 
 

@@ -247,6 +247,52 @@ def test_sides_of_other_types(spark):
     assert compare.checksum_check(right, part, "t").first()["status"] == "FAIL"
 
 
+@pytest.mark.parametrize(
+    "given, wanted, same, other",
+    [
+        ("timestamp", "date", ["2024-03-01 00:00:00"], ["2024-03-01 10:30:00"]),
+        ("timestamp_ntz", "date", ["2024-03-01 00:00:00"], ["2024-03-01 10:30:00"]),
+        ("date", "timestamp", ["2024-03-01"], []),
+        ("timestamp", "bigint", ["2024-03-01 10:30:00"], ["2024-03-01 10:30:00.5"]),
+        ("timestamp", "string", ["2024-03-01 10:30:00.5"], []),
+        ("string", "date", ["2024-03-01", "2024-03-01 00:00:00"], ["2024-03-01 10:30", "2024-03-01 noon"]),
+        ("string", "timestamp", ["2024-03-01 10:30", "2024-03-01T10:30:00.1234560Z"], ["2024-03-01 10:30:00.1234567"]),
+        ("string", "timestamp_ntz", ["2024-03-01 10:30"], ["2024-03-01 10:30:00+02:00"]),
+        ("string", "decimal(10,2)", ["1.2", " +01.200 ", "12e-1", "-0", "0.00", "1E2"], ["1.239", "1.2000001", "-1239e-3", "1e-9"]),
+        ("string", "decimal(38,18)", ["0.000000000000000001"], ["0." + "0" * 40 + "1", "1." + "0" * 18 + "4"]),
+        ("string", "int", ["7", "007", " 7 "], ["7.5"]),
+        ("string", "double", ["1.50", "0.10000000000000001", "1e3", "NaN", "-Infinity"], ["9007199254740993", "1e400", "1e-400", "0.1000000000000000000001"]),
+        ("boolean", "string", ["true"], []),
+        ("int", "boolean", ["1"], ["2"]),
+        ("double", "decimal(10,2)", ["1.25"], ["1.239"]),
+    ],
+)
+def test_what_a_cast_loses(spark, given, wanted, same, other):
+    for value in [*same, *other]:
+        target = spark.createDataFrame([(1, value)], "k int, v string").withColumn("v", F.col("v").cast(given))
+        source = target.withColumn("v", F.col("v").try_cast(wanted))
+        good = value in same
+        assert compare.checksum_check(source, target, "t").first()["status"] == ("PASS" if good else "FAIL"), value
+        assert compare.row_diff_multiset(source, target).isEmpty() == good, value
+
+
+def test_lost_times_and_decimals_differ_on_every_path(spark):
+    kinds = "k long, d string, n string"
+    text = spark.createDataFrame([(i, "2024-03-01 00:00:00", "1.24") for i in range(20)], kinds)
+    source = text.select("k", F.col("d").cast("date").alias("d"), F.col("n").cast("decimal(10,2)").alias("n"))
+    day = F.when(F.col("k") == 3, "2024-03-01 10:30:00").otherwise(F.col("d")).cast("timestamp")
+    number = F.when(F.col("k") == 5, "1.239").otherwise(F.col("n"))
+    target = text.select("k", day.alias("d"), number.alias("n"))
+    assert compare.sample_result(source, target, "t", ["k"]).first()["status"] == "FAIL"
+    chunks = compare.checksum_by_chunk(source, target, "t", "k", 5).orderBy("chunk_id").collect()
+    assert [r["status"] for r in chunks] == ["FAIL", "FAIL", "PASS", "PASS"]
+    for found in (
+        compare.row_diff_keyed(source, target, ["k"]),
+        compare.row_diff_drill_down(source, target, "k", 5),
+    ):
+        assert sorted(r["k"] for r in found.collect()) == [3, 5]
+
+
 def test_stored_digests_keep_their_ranges(spark):
     df = spark.range(100, 300).toDF("k")
     low = F.lit(100)
