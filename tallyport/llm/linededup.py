@@ -38,7 +38,10 @@ LEAST = 8
 #: Bytes of text for each bucket of keys: some two million keys.
 BUCKET_TEXT = 16_000_000
 _LENGTH = np.uint64(0xD6E8FEB86659FD93)
-_WHOLE, _SHORT = 65535, 65534  # places of a whole line; of one too short to have variants
+# Places of a whole line; of one too short to have variants.  Packed in fewer bytes they are the
+# two largest numbers of that width too.
+_WHOLE, _SHORT = (1 << 32) - 1, (1 << 32) - 2
+_PLACES = {1: np.uint8, 2: np.uint16, 4: np.uint32}
 
 
 def line_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -67,8 +70,7 @@ def variants(hashes: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndar
     terms = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * up[place])])
     total = terms[first + size] - terms[first]
     wholes = mixed(total + size.astype(np.uint64) * _LENGTH)
-    long = (size >= least) & (size < _SHORT)
-    at = np.flatnonzero(long[line])
+    at = np.flatnonzero((size >= least)[line])
     of = line[at]
     before = terms[at] - terms[first[of]]
     after = terms[(first + size)[of]] - terms[at + 1]
@@ -76,7 +78,7 @@ def variants(hashes: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndar
     kind = np.where(size >= least, _WHOLE, _SHORT)
     return (
         np.concatenate([wholes, rests]),
-        np.concatenate([kind, place[at]]).astype(np.uint16),
+        np.concatenate([kind, place[at]]).astype(np.uint32),
         np.concatenate([np.arange(len(first)), of]).astype(np.uint32),
     )
 
@@ -119,8 +121,8 @@ def _post(batches: Iterator[pa.RecordBatch], least: int, buckets: int) -> Iterat
             part = slice(cuts[i], cuts[i + 1])
             code = line[part].astype(np.uint16) if len(first) < 1 << 16 else line[part]
             spot = place[part]
-            near = bool((np.where(spot >= _SHORT, 0, spot) < 254).all())
-            small = np.where(spot >= _SHORT, spot - 65280, spot).astype(np.uint8) if near else spot
+            last = int(spot[spot < _SHORT].max(initial=0))
+            small = spot.astype(_PLACES[1 if last < 254 else 2 if last < 65534 else 4])
             head = np.array([len(code), code.itemsize, small.itemsize], np.int64).tobytes()
             packed.append(head + _seven(keys[part]) + code.tobytes() + small.tobytes())
         # The lines of the batch, for the task that puts its results together.
@@ -155,10 +157,11 @@ def _match(frame: pd.DataFrame) -> pd.DataFrame:
         key, used = _unseven(memoryview(raw)[24:], count)
         at = 24 + used
         code = np.frombuffer(raw, np.uint16 if code_width == 2 else np.uint32, count, at)
-        place = np.frombuffer(raw, np.uint8 if place_width == 1 else np.uint16, count, at + count * code_width)
-        place = place.astype(np.uint16)
-        if place_width == 1:
-            place[place >= 254] += np.uint16(65280)
+        small = np.frombuffer(raw, _PLACES[place_width], count, at + count * code_width)
+        place = small.astype(np.uint32)
+        if place_width < 4:
+            above = 1 << 8 * place_width
+            place[small >= above - 2] += np.uint32((1 << 32) - above)
         keys.append(key), codes.append(code.astype(np.int64)), places.append(place)
         blob.append(np.full(count, len(bases)))
         bases.append(base)
@@ -185,7 +188,7 @@ def _match(frame: pd.DataFrame) -> pd.DataFrame:
     first_whole = _lowest(group[whole], rank[whole], total)
     first_loose = _lowest(group[loose], rank[loose], total)
     first_short = _lowest(group[short], rank[short], total)
-    spots, spot = np.unique((group << 16) | place, return_inverse=True)
+    spots, spot = np.unique((group << 32) | place.astype(np.int64), return_inverse=True)
     first_spot = _lowest(spot, rank, len(spots))
     earliest = np.where(
         short, first_short[group],

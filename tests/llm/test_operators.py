@@ -322,6 +322,16 @@ def test_lines_equal_brute_force(spark, documents, monkeypatch, piece):
     assert linededup.repeated_lines(docs.limit(0)).count() == 0
 
 
+def test_very_long_lines_take_one_edit(documents):
+    long = [f"w{i}" for i in range(70_000)]
+    edited = [long[:69_990] + ["z"] + long[69_991:], long[:69_000] + long[69_001:], long[:3] + ["z"] + long[3:]]
+    twice = ["z", *long[1:65_600], "z", *long[65_601:]]
+    rows = [(i, " ".join(words)) for i, words in enumerate([long, *edited, twice, long[:65_533], long[1:65_533]])]
+    docs = documents(rows).repartition(1).sortWithinPartitions("doc_id")
+    found = sorted((r["row"], list(r["dropped"])) for r in linededup.repeated_lines(docs).collect())
+    assert [dropped for _, dropped in found] == [[], [0], [0], [0], [], [], [0]]
+
+
 # --- mixing ----------------------------------------------------------------------------
 
 
