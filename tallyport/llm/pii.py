@@ -2,9 +2,10 @@
 
 ``scan`` reads every text once.  It finds the base spans (mail addresses, IPv4 addresses,
 card and phone numbers with their checks) and the candidate tokens: words with a digit or
-an ``@``.  A token is an instance; its patterns are the word before it and the two words
-before it, each with the classes of signs the token is made of.  Tokens that overlap base
-spans are the seeds.
+an ``@``, where neighbouring words that blanks alone part and that are parts of one number, as
+cards and phones are written, make one token.  A token is an instance; its patterns are the
+word before it and the two words before it, each with the classes of signs its (first) word is
+made of.  Tokens that overlap base spans are the seeds.
 
 ``good_patterns`` scores the graph of patterns and instances in rounds of Spark
 aggregations: a pattern's confidence in a kind is the share of its occurrences whose instances
@@ -93,14 +94,50 @@ for _bit, _sign in enumerate(b"@.-+/:=_", 2):
 _EDGE = b"\"'`.,;:!?()[]{}<>=*#|&$"
 
 
+#: What a number that goes on over blanks is made of; a plus sign begins another number.
+_PARTS = b"0123456789().-"
+_FIGURE = re.compile(rb"[0-9]")
+_LETTER = re.compile(rb"[A-Za-z@\x80-\xff]")
+
+
+def _goes_on(word: bytes) -> bool:
+    """Whether a word ends in a part of a number, by itself or after a sign such as a colon."""
+    before = word.rstrip(_PARTS)
+    return bool(_FIGURE.search(word, len(before))) and not _LETTER.match(before[-1:]) and b"@" not in before
+
+
+def _joins(word: bytes) -> bool:
+    """Whether a word is a part of a number, but for signs after it."""
+    after = word.lstrip(_PARTS)
+    return bool(_FIGURE.search(word[: len(word) - len(after)])) and not after.strip(_EDGE)
+
+
+def _last_part(raw: bytes, starts: np.ndarray, ends: np.ndarray, i: int) -> int:
+    """The last word of the number that begins in word ``i``."""
+    last = i
+    while _goes_on(raw[starts[last] : ends[last]]):
+        k, at = last + 1, ends[last]
+        # Signs between blanks belong to the number if another part follows.
+        while k < len(starts) and not raw[at : starts[k]].strip(b" ") and not raw[starts[k] : ends[k]].strip(b"().-"):
+            k, at = k + 1, ends[k]
+        if k == len(starts) or raw[at : starts[k]].strip(b" ") or not _joins(raw[starts[k] : ends[k]]):
+            break
+        last = k
+    return last
+
+
 def _candidates(text: str, raw: bytes, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """Tokens with a digit or ``@``, their patterns, and the kind of a base span they meet."""
+    """Tokens with a digit or ``@``, their patterns, and the kind of a base span they meet; the
+    words of one number are one token."""
     data = np.frombuffer(raw, np.uint8)
     words = find_words(data, np.array([0, len(data)]), BLANK_WORDS, lower=True)
     marked = np.concatenate([[0], np.cumsum(_MARKED[data])])
     point = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    out = []
+    out, last = [], -1
     for i in np.flatnonzero(marked[words.ends] > marked[words.starts]).tolist():
+        if i <= last:
+            continue
+        last = _last_part(raw, words.starts, words.ends, i)
         start, end = int(words.starts[i]), int(words.ends[i])
         while start < end and raw[start] in _EDGE:
             start += 1
@@ -111,10 +148,17 @@ def _candidates(text: str, raw: bytes, spans: list[tuple[int, int, int]]) -> lis
         signs = int(np.bitwise_or.reduce(_SIGNS[data[start:end]]))
         near = [int(words.hashes[j]) if j >= 0 else 0 for j in (i - 1, i - 2)]
         one, two = mixed(np.array([near[0] ^ signs, (near[0] * 3 + near[1] * 5 + signs + 1) & ((1 << 64) - 1)], np.uint64))
-        first, last = int(point[start]), int(point[end])
-        kind = next((k for k, s, e in spans if s < last and first < e), -1)
+        instance = words.hashes[i : i + 1]
+        if last > i:
+            end = int(words.ends[last])
+            while raw[end - 1] in _EDGE:
+                end -= 1
+            for j in range(i + 1, last + 1):
+                instance = mixed(instance * np.uint64(0x9E3779B97F4A7C15)) ^ words.hashes[j]
+        first, final = int(point[start]), int(point[end])
+        kind = next((k for k, s, e in spans if s < final and first < e), -1)
         out.append(
-            {"kind": kind, "start": first, "end": last, "instance": int(words.hashes[i].view(np.int64)),
+            {"kind": kind, "start": first, "end": final, "instance": int(instance.view(np.int64)[0]),
              "patterns": [int(one.view(np.int64)), int(two.view(np.int64))]}
         )
     return out

@@ -245,6 +245,24 @@ def test_patterns_find_unseen_numbers(documents):
     assert pii.find(docs.limit(0)).count() == 0
 
 
+def test_patterns_find_whole_numbers_with_blanks(documents):
+    def card(i):
+        body = f"4000 00{i:02d} 1234 {i * 7 % 1000:03d}"
+        return next(body + str(c) for c in range(10) if pii.luhn(body.replace(" ", "") + str(c)))
+
+    known = [f"pay card: {card(i)} tel: +1 (212) 555-{1000 + i} end" for i in range(60)]
+    unseen = [
+        "pay card: 1234 5678 9012 3456, end", "pay card: 1234567890123456 end", "pay card: 1234 5678-9012  3456. end",
+        "tel: +1 (212) 55 end", "tel: +44 20 - 79 +1", "pay card: 1234 5678\n9012 times", "12 34 56 7x 8", "room 12 34",
+    ]
+    docs = documents(list(enumerate([*known, *unseen, *(f"pay card:{card(i)} end" for i in range(60)), "pay card:1234 5678 9012 3456 end"])))
+    rows = {r["doc_id"]: r["spans"] for r in pii.find(docs).select("doc_id", pii.as_text("spans").alias("spans")).collect()}
+    assert [rows[60 + i] for i in range(len(unseen))] == [
+        "card:10:29", "card:10:26", "card:10:30", "phone:5:16", "phone:5:16", "card:10:19", "", "",
+    ]
+    assert rows[len(docs.collect()) - 1] == "card:4:28"
+
+
 # --- top k -----------------------------------------------------------------------------
 
 
