@@ -10,6 +10,9 @@ class and in the next):
 * heavy classes: the hash space is cut into ``b`` ranges, more than the elements in which a
   linked pair can differ, so a pair has a range in which both hold the same elements.  An
   inverted list is kept for the content of each range, and a set scans its ``b`` lists.
+  There are some ranges to spare: a set that fills more of them than it can differ in from
+  any partner agrees with each in a filled one, so only the few others list their empty
+  ranges, which would chain unlike sets together.
 
 A class is light if a set has no more subsets than ``SCAN_COST`` times its lists.  Lists
 give candidate edges from each member to the list's first; those are combined where they
@@ -74,6 +77,16 @@ class Rule:
         # union <= (n + m) * 100 / (100 + percent), and what differs is the rest of the union.
         return 2 * top * (100 - self.percent) // (100 + self.percent)
 
+    def ranges(self, top: int) -> int:
+        """Ranges of the hash space for a heavy class up to size ``top``: an eighth to spare."""
+        return self.spread(top) * 9 // 8 + 2
+
+    def reach(self, n: np.ndarray, top: np.ndarray) -> np.ndarray:
+        """The most elements in which a set of size ``n`` can differ from a partner of size
+        ``top`` or less."""
+        partner = np.minimum(top, n * 100 // self.percent)
+        return (n + partner) * (100 - self.percent) // (100 + self.percent)
+
     def light(self, low: int, top: int) -> int:
         """The subset size of a light class, 0 for a heavy one."""
         k = -(-self.percent * low // 100)
@@ -161,7 +174,7 @@ def list_keys(grams: np.ndarray, first: np.ndarray, rule: Rule) -> tuple[np.ndar
         for c in np.unique(of):
             low, top = int(starts[c]), int(starts[c + 1]) - 1
             k[of == c] = rule.light(low, top)
-            b[of == c] = rule.spread(top) + 1
+            b[of == c] = rule.ranges(top)
         seed = mixed(of.astype(np.uint64) * np.uint64(2654435761) + np.uint64(7))
         for r in np.flatnonzero((k > 0) & (size >= k)):
             some = spread_out[first[r] : first[r + 1]]
@@ -184,9 +197,9 @@ def list_keys(grams: np.ndarray, first: np.ndarray, rule: Rule) -> tuple[np.ndar
         with np.errstate(over="ignore"):
             keys.append(mixed(mixed(content ^ seed[row[begins]]) + part[begins].astype(np.uint64)))
         owners.append(row[begins])
-        # Only sets with no more filled ranges than elements may differ need the empty ones.
+        # Linked sets that both fill no more ranges than they can differ in may agree in empty ones only.
         filled = np.bincount(row[begins], minlength=len(size))
-        for r in np.flatnonzero(heavy & (filled < b)):
+        for r in np.flatnonzero(heavy & (filled <= rule.reach(size, starts[of + 1] - 1))):
             empty = np.setdiff1d(np.arange(b[r]), part[begins][row[begins] == r])
             keys.append(mixed(mixed(np.zeros(len(empty), np.uint64) ^ seed[r]) + empty.astype(np.uint64)))
             owners.append(np.full(len(empty), r))
@@ -257,7 +270,7 @@ def candidate_edges(sets: DataFrame, rule: Rule) -> DataFrame:
     """``a``, ``b``: marks that stand in one list."""
     # About two keys in each class per element that may differ; some 2 million keys a bucket.
     total = sets.agg(F.sum("n")).first()[0] or 0
-    keys = total * 2 * (rule.spread(1000) / 1000 + 0.02) * 1.1
+    keys = total * 2 * (rule.ranges(1000) / 1000 + 0.02) * 1.1
     buckets = max(default_partitions(sets.sparkSession), math.ceil(keys / 2_000_000))
     posted = sets.where("n > 0").select("mark", "elements").mapInArrow(
         lambda it: _post(it, rule, buckets), "bucket long, packed binary, a long, b long"
