@@ -16,7 +16,12 @@ class and in the next):
 
 A class is light if a set has no more subsets than ``SCAN_COST`` times its lists.  Lists
 give candidate edges from each member to the list's first; those are combined where they
-arise, so a list as long as the table costs one row per batch.  Candidate components are
+arise, so a list as long as the table costs one row per batch.
+
+Passages that many documents share can chain unlike sets to one large candidate component.
+A set of it that has a partner shares at least ``percent`` of its elements with another; so
+elements that occur once in the component are counted out, sets with fewer shared elements leave
+it, and the others list their keys again, until that no longer helps.  Candidate components are
 then checked exactly: sets come together by component, a large component in pairs of cells
 of bounded size, and each task scans the inverted lists of the single elements.  A task
 returns one edge for each set it could join.  No step emits the pairs of a group.
@@ -49,6 +54,8 @@ from tallyport.runtime import default_partitions, settle_table
 SCAN_COST = 8
 #: Elements in one cell of a large component.
 CELL = 1 << 17
+#: Sets of large components list their keys again if less than this share of them is left.
+LEFT = 0.9
 
 
 @dataclass(frozen=True)
@@ -278,6 +285,74 @@ def candidate_edges(sets: DataFrame, rule: Rule) -> DataFrame:
     return posted.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_scan, "a long, b long").distinct()
 
 
+def _send_elements(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Per batch and bucket the elements with their sets, packed; and the rows of the batch."""
+    for batch in pieces(batches, "elements", 4_000_000):
+        grams, first = _flat(batch.column("elements"))
+        row = batch.column("row").to_numpy()
+        group = batch.column("group").to_numpy().view(np.uint64)
+        code = np.repeat(np.arange(len(row), dtype=np.uint32), np.diff(first))
+        keys = mixed(grams ^ mixed(group)[code])
+        order = np.argsort(keys)
+        keys, code = keys[order], code[order]
+        bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
+        filled = np.flatnonzero(np.diff(cuts))
+        packed = [keys[a:b].tobytes() + code[a:b].tobytes() for a, b in zip(cuts[filled], cuts[filled + 1], strict=True)]
+        base = int(row[0])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([*filled.tolist(), base % buckets], pa.int64()),
+                pa.array([base] * (len(packed) + 1), pa.int64()),
+                pa.array([*packed, None], pa.binary()),
+                pa.array([None] * len(packed) + [row.tobytes()], pa.binary()),
+            ],
+            names=["bucket", "base", "packed", "rows"],
+        )
+
+
+def _shared(frame: pd.DataFrame) -> pd.DataFrame:
+    """Per batch, how many elements of this bucket each set shares with another."""
+    own = frame["rows"].isna()
+    keys, codes = [np.zeros(0, np.uint64)], []
+    for packed in frame["packed"][own]:
+        count = len(packed) // 12
+        keys.append(np.frombuffer(packed, np.uint64, count))
+        codes.append(np.frombuffer(packed, np.uint32, count, 8 * count))
+    flat = np.concatenate(keys)
+    order = np.argsort(flat)
+    same = flat[order][1:] == flat[order][:-1]
+    twice = np.zeros(len(flat), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    cuts = np.cumsum([len(c) for c in codes])[:-1]
+    some = np.split(twice, cuts) if codes else []
+    counts = [np.bincount(c[t]).astype(np.int64).tobytes() for c, t in zip(codes, some, strict=True)]
+    found = pd.DataFrame({"base": frame["base"][own], "packed": counts, "rows": None})
+    return pd.concat([found, frame.loc[~own, ["base", "packed", "rows"]]])
+
+
+def _add_up(frame: pd.DataFrame) -> pd.DataFrame:
+    row = np.frombuffer(frame["rows"][frame["rows"].notna()].iloc[0], np.int64)
+    total = np.zeros(len(row), np.int64)
+    for packed in frame["packed"][frame["rows"].isna()]:
+        some = np.frombuffer(packed, np.int64)
+        total[: len(some)] += some
+    return pd.DataFrame({"row": row, "shared": total})
+
+
+def shared_elements(held: DataFrame, elements: int) -> DataFrame:
+    """``row`` and ``shared``: how many elements of each set another set of its ``group`` holds."""
+    buckets = max(default_partitions(held.sparkSession), math.ceil(elements / 2_000_000))
+    sent = held.mapInArrow(
+        lambda it: _send_elements(it, buckets), "bucket long, base long, packed binary, rows binary"
+    )
+    counted = sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(
+        _shared, "base long, packed binary, rows binary"
+    )
+    return counted.groupBy("base").applyInPandas(_add_up, "row long, shared long")
+
+
 def _find(roots: list[int], i: int) -> int:
     while roots[i] != i:
         roots[i] = roots[roots[i]]
@@ -329,17 +404,39 @@ def _check(frame: pd.DataFrame, rule: Rule) -> pd.DataFrame:
     return held.loc[held["a"] != held["b"], ["a", "b"]]
 
 
+def candidate_groups(sets: DataFrame, vertices: DataFrame, rule: Rule) -> DataFrame:
+    """``vertex``, ``row``, ``n``, ``group`` and ``cells``, the cells of the group, of all
+    vertices that may have a link."""
+    found, left = None, None
+    while True:
+        some = sets if left is None else sets.join(left, "row", "left_semi")
+        groups = components(candidate_edges(some, rule)).select(F.col("node").alias("mark"), F.col("root").alias("group"))
+        chosen = settle_table(vertices.join(groups, "mark").select("mark", "vertex", "row", "n", "group"), "chosen")
+        weight = chosen.groupBy("group").agg(F.ceil(F.sum("n") / CELL).cast("int").alias("cells"))
+        chosen = settle_table(chosen.join(side(weight), "group"), "weighed")
+        large = chosen.where("cells > 1")
+        before, elements = large.agg(F.count("*"), F.sum("n")).first()
+        if before:
+            held = sets.select("row", "elements").join(side(large.select("row", "n", "group")), "row")
+            shared = shared_elements(held.select("row", "group", "elements"), elements)
+            kept = shared.join(large.select("row", "n"), "row").where(100 * F.col("shared") >= rule.percent * F.col("n"))
+            left = side(kept.select("row"))
+            before = before if left.count() < LEFT * before else 0
+        done = chosen.where("cells = 1") if before else chosen
+        found = done if found is None else found.union(done)
+        if not before:
+            return found
+
+
 def links(sets: DataFrame, rule: Rule) -> DataFrame:
     """``a``, ``b``: vertices that are linked, enough to connect every group."""
-    groups = components(candidate_edges(sets, rule)).select(F.col("node").alias("mark"), F.col("root").alias("group"))
     # One row for each vertex: equal sets are counted out on narrow rows, elements stay where they are.
     vertices = sets.where("n > 0").groupBy("vertex").agg(
         F.min("row").alias("row"), F.first("n").alias("n"), F.first("mark").alias("mark")
     )
-    chosen = settle_table(vertices.join(groups, "mark").select("vertex", "row", "n", "group"), "chosen")
-    weight = chosen.groupBy("group").agg(F.ceil(F.sum("n") / CELL).cast("int").alias("cells"))
+    chosen = candidate_groups(sets, vertices, rule)
     cell = F.pmod(F.xxhash64("vertex"), F.col("cells")).cast("int")
-    dealt = side(chosen.join(weight, "group").select("row", "group", "cells", cell.alias("cell")))
+    dealt = side(chosen.select("row", "group", "cells", cell.alias("cell")))
     # A set of cell c meets every other cell once, as (smaller, larger).
     others = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other")
     held = sets.select("row", "vertex", "elements").join(dealt, "row").select("*", others)
