@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyport.llm import decontam, hilbert, jaccard, langid, linededup, mixing, pii, quality, tokens, topk
+from tallyport.llm import article, codes, decontam, hilbert, jaccard, langid, linededup, mixing, periodic, pii, quality, tokens, topk
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -88,6 +88,52 @@ def op10_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def op11_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read(spark, folder, "pages")
+    found = article.main_text(pages, article.train(pages), F.struct("page_id", "url"))
+    return found.select("carried.page_id", "carried.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read(spark, folder, "embeddings")
+    books = codes.train(vectors)
+    found = codes.with_label_error(codes.encode(vectors, books, "vec_id", "label"))
+    digits = F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0"))
+    return found.select(
+        "vec_id", F.array_join(digits, "").alias("code"), "error", "label_error",
+        F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"),
+    )
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, in which every tenth document repeats a stretch of its words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+    chosen = docs.select("doc_id", F.col("text").cast("string").alias("text"), (h % 10 == 0).alias("planted"), F.expr(
+        "floor(crc32(cast(doc_id as string)) / 10)").alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    sized = chosen.withColumn("n", F.size("words")).withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+    step = sized.withColumn("p", F.expr("1 + floor((n - a) / (3 + g % 8))"))
+    made = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, words[int(a + (i - a) % p)])), ' ')")
+    return step.select("doc_id", F.when(F.col("planted") & (F.col("n") > 0), made).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = planted_runs(read(spark, folder, "documents"))
+    found = periodic.find_runs(docs, F.col("doc_id")).withColumnRenamed("carried", "doc_id")
+    best = F.expr("array_max(transform(runs, r -> struct(r.length, -r.start as start, -r.period as period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_benchmark_index": op2_benchmark_index,
@@ -99,4 +145,7 @@ QUERIES = {
     "op8_line_neighbours": op8_line_neighbours,
     "op9_systematic_mix": op9_systematic_mix,
     "op10_shingle_join": op10_shingle_join,
+    "op11_main_text": op11_main_text,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_periodic_runs": op13_periodic_runs,
 }
