@@ -9,8 +9,8 @@ Weights come from labelled pages: those whose markup itself names their article.
 ``examples`` of the pages, chosen by a hash of the page, tasks count how many words and tags
 of each kind stand inside and outside the article.  A word weighs the share of its kind
 inside, a tag the share of its kind outside times a price.  The price is the one of
-``PRICES`` with the fewest wrong words on these pages when the markup of the article isn't
-looked at.  Where a page does name its article, words and tags in it have kinds of their own.
+``PRICES`` with the fewest wrong words on these pages when no part's name is looked at.
+Where a page does name its article, words and tags in it have kinds of their own.
 
 Parts that name themselves as something else (menus, headers, footers, sidebars, notices,
 adverts, forms, reader comments, by element, role, class or id) count as one tag and give no
@@ -48,7 +48,8 @@ from tallyport.llm.words import pieces
 EXAMPLES = 50_000
 #: What a tag that is always outside costs, in words that are always inside; of equal ones the first.
 PRICES = (3, 2, 5, 1, 8, 13)
-FLOOR = 0.05
+#: The least that a word weighs, and that a tag costs before its price.
+LEAST_WORD, LEAST_TAG = 0.25, 0.05
 _UNIT = 1_000_000
 
 # Elements of HTML by how they are read.
@@ -83,6 +84,7 @@ HEADED = "article entry post story title content"
 
 _RAW, _VOID, _BLOCK = frozenset(RAW.split()), frozenset(VOID.split()), frozenset(BLOCK.split())
 _KNOWN = _BLOCK | frozenset(INLINE.split())
+_WITHIN = frozenset(INLINE.split()) - {"a"}
 _PARTS, _ROLES, _NAMES = frozenset(OTHER_PARTS.split()), frozenset(OTHER_ROLES.split()), frozenset(OTHER_NAMES.split())
 _COMMENTS, _LAYOUT, _HEADED = frozenset(COMMENT_NAMES.split()), frozenset(LAYOUT.split()), frozenset(HEADED.split())
 _NEVER = frozenset(("html", "body", "main"))
@@ -143,12 +145,13 @@ class Page:
     texts: list[str | None] = field(default_factory=list)
     articles: list[int] = field(default_factory=list)
     mains: list[int] = field(default_factory=list)
+    parts: list[int] = field(default_factory=list)
     opened: Counter = field(default_factory=Counter)
 
     def inside(self) -> np.ndarray:
         """Flags of the items in the element that the page names as its article."""
         held = self.articles if self.opened["article"] else self.mains
-        return np.array(held, bool)
+        return np.array(held, bool) & ~np.array(self.parts, bool)
 
     def labelled(self) -> bool:
         if self.opened["article"]:
@@ -157,11 +160,17 @@ class Page:
 
 
 class _Reader:
-    """Reads the markup of one page; open blocks are kept on a stack."""
+    """Reads the markup of one page; open blocks are kept on a stack.
 
-    def __init__(self):
+    Other parts become one item, or, if they aren't to be ``folded``, items that are not inside.
+    """
+
+    def __init__(self, folded: bool):
         self.page = Page()
+        self.folded = folded
         self.stack: list[str] = []
+        self.marked: list[bool] = []
+        self.parts = 0
         self.open: Counter = Counter()
         self.link = False
         self.skip: list[str] = []
@@ -172,6 +181,7 @@ class _Reader:
         page = self.page
         page.kinds.append(kind), page.words.append(words), page.texts.append(text)
         page.articles.append(self.open["article"]), page.mains.append(self.open["main"])
+        page.parts.append(self.parts)
 
     def text(self, raw: str) -> None:
         if self.skip:
@@ -187,14 +197,16 @@ class _Reader:
         elif said:
             self.add("", 0, said)
 
-    def push(self, name: str) -> None:
-        self.stack.append(name)
+    def push(self, name: str, part: bool) -> None:
+        self.stack.append(name), self.marked.append(part)
         self.open[name] += 1
+        self.parts += part
 
     def pop_to(self, name: str) -> None:
         while True:
             top = self.stack.pop()
             self.open[top] -= 1
+            self.parts -= self.marked.pop()
             if top == name:
                 return
 
@@ -224,15 +236,15 @@ class _Reader:
         why = other_part(name, attributes)
         if why == "element" and name == "header" and self.open["article"]:
             why = ""
-        if why and name not in _VOID:
+        if why and name not in _VOID and self.folded:
             self.add("<part", 0, None if block else "")
             self.skip, self.why = [name], why
             self.skipped = Counter(self.skip)
             return
         self.add("<" + name if name in _KNOWN else "<other", 0, None if block else " " if name == "br" else "")
         if block and name not in _VOID:
-            self.push(name)
-        if name in ("article", "main"):
+            self.push(name, bool(why))
+        if name in ("article", "main") and not self.parts:
             self.page.opened[name] += 1
         if name == "a":
             self.link = True
@@ -259,9 +271,9 @@ class _Reader:
         self.add("</" + name if name in _KNOWN else "</other", 0, None if block else "")
 
 
-def read_page(text: str | None) -> Page:
+def read_page(text: str | None, folded: bool = True) -> Page:
     """The words and tags of a page."""
-    reader, at = _Reader(), 0
+    reader, at = _Reader(folded), 0
     text = text or ""
     for found in MARKUP.finditer(text):
         if found.start() > at:
@@ -289,9 +301,12 @@ class Weights:
     price: int = PRICES[0]
 
     def of(self, kind: str, inside: bool) -> int:
-        share = (self.inside if inside else self.plain).get(kind, _UNIT // 2)
-        least = int(FLOOR * _UNIT)
-        return -max(least, _UNIT - share) if kind[:1] == "<" else max(least, share)
+        share = (self.inside if inside else self.plain).get(kind)
+        if share is None:
+            share = _UNIT * 9 // 10 if kind.strip("</").split(" ")[0] in _WITHIN else _UNIT // 2
+        if kind[:1] == "<":
+            return -max(int(LEAST_TAG * _UNIT), _UNIT - share)
+        return max(int(LEAST_WORD * _UNIT), share)
 
     def scores(self, page: Page, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The sums of words, and of tags at a price of one, of the items of a page."""
@@ -336,34 +351,35 @@ def extract(text: str | None, weights: Weights) -> str:
     return region_text(page, *best_region(words + weights.price * tags))
 
 
-def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Page, np.ndarray]]:
-    """Labelled pages and the flags of what is inside their article."""
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[Page]:
+    """Labelled pages, read as if other parts had no names."""
     for batch in pieces(batches, "html"):
         for text in batch.column("html"):
-            page = read_page(text.as_py())
+            page = read_page(text.as_py(), folded=False)
             if page.labelled():
-                yield page, page.inside()
+                yield page
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[tuple[str, bool], np.ndarray] = {}
-    for page, inside in _pages(batches):
-        for kind, words, flag in zip(page.kinds, page.words, inside.tolist(), strict=True):
+    held: Counter[tuple[str, bool]] = Counter()
+    for page in _pages(batches):
+        for kind, words, flag in zip(page.kinds, page.words, page.inside().tolist(), strict=True):
             if kind:
-                held.setdefault((kind, flag), np.zeros(1, np.int64))[0] += words or 1
+                held[kind, flag] += words or 1
     yield pa.RecordBatch.from_pydict(
         {
             "kind": pa.array([k for k, _ in held], pa.string()),
             "inside": pa.array([f for _, f in held], pa.bool_()),
-            "n": pa.array([int(n[0]) for n in held.values()], pa.int64()),
+            "n": pa.array(held.values(), pa.int64()),
         }
     )
 
 
 def _try_prices(batches: Iterator[pa.RecordBatch], weights: Weights) -> Iterator[pa.RecordBatch]:
-    """Wrong words at each price, looking at no article's markup."""
+    """Wrong words at each price, looking at no names."""
     wrong = np.zeros(len(PRICES), np.int64)
-    for page, inside in _pages(batches):
+    for page in _pages(batches):
+        inside = page.inside()
         words, tags = weights.scores(page, np.zeros(len(page.kinds), bool))
         count = np.array(page.words, np.int64)
         for i, price in enumerate(PRICES):

@@ -305,10 +305,7 @@ def contamination(found: DataFrame, share: int = 20) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, share: int = 20) -> DataFrame:
-    """The documents that are not contaminated, with all their columns.
-
-    Rows are numbered by their place in the scan, so ``docs`` has to be read from files.
-    """
+    """The documents that are not contaminated, with all their columns."""
     whole = with_rows(docs)
     plain = whole.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
     found = contamination(find_phrases(build_index(plain), benchmark, size), share)

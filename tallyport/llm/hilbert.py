@@ -130,7 +130,7 @@ def cells(df: DataFrame, dimensions: tuple[str, ...], bits: int = BITS) -> DataF
     return out.drop(*(f"number_{n}" for n in dimensions))
 
 
-def place(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
+def place(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, row: Column | None = None) -> DataFrame:
     """One row per document with its metadata, ``curve``, ``shard`` and ``slot``.
 
     Shards hold equal numbers of rows, at most one apart.  Rows at one point of the curve stand
@@ -138,7 +138,7 @@ def place(docs: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     narrow = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
         F.col("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.col("lang").cast("string").alias("lang"),
@@ -167,12 +167,12 @@ def shard_bounds(placed: DataFrame) -> DataFrame:
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """Write the documents as one folder per shard, in the order of the curve, and return
-    :func:`shard_bounds`.
-
-    ``docs`` has to be read from files, since rows are numbered by their place in the scan.
-    """
-    placed = settle(place(docs, shards, bits).select("row", "shard", "slot", "size", *DIMENSIONS[:2]))
-    rows = with_rows(docs).join(side(placed.select("row", "shard", "slot")), "row")
+    :func:`shard_bounds`."""
+    whole = with_rows(docs)
+    plain = whole.select("row", *(f"doc.{c}" for c in ("doc_id", "source", "lang", "text")))
+    placed = place(plain, shards, bits, F.col("row"))
+    placed = settle(placed.select("row", "shard", "slot", "size", *DIMENSIONS[:2]))
+    rows = whole.join(side(placed.select("row", "shard", "slot")), "row")
     rows = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
     rows.select("shard", "slot", "doc").write.partitionBy("shard").parquet(path)
     return shard_bounds(placed)

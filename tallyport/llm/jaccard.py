@@ -467,11 +467,8 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each group of linked documents, the first in the scan; rows without words
-    all stay.
-
-    Rows are numbered by their place in the scan, so ``docs`` has to be read from files.
-    """
+    """One row of each group of linked documents, the first by file and place; rows without
+    words all stay."""
     whole = with_rows(docs)
     plain = whole.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
     found = classes(plain, words, percent)

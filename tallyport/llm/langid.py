@@ -28,7 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyport.llm.order import side
+from tallyport.llm.order import side, with_rows
 from tallyport.llm.words import LOWER, pieces, text_bytes
 from tallyport.runtime import settle_table
 
@@ -98,11 +98,9 @@ def _count_rows(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Rec
 
 def examples(docs: DataFrame, most: int = EXAMPLES, bits: int = BITS) -> DataFrame:
     """``lang, buckets, counts`` of at most ``most`` different texts of each language of
-    ``docs`` (``lang``, ``text``), which has to be read from files."""
-    known = docs.where("lang is not null and text is not null").select(
-        F.monotonically_increasing_id().alias("row"),
-        F.col("lang").cast("string").alias("lang"),
-        F.col("text").cast("string").alias("text"),
+    ``docs`` (``lang``, ``text``)."""
+    known = with_rows(docs).where("doc.lang is not null and doc.text is not null").select(
+        "row", F.col("doc.lang").cast("string").alias("lang"), F.col("doc.text").cast("string").alias("text")
     )
     # Copies are one text: they count once and are drawn once.
     different = known.select("row", "lang", F.xxhash64("text").alias("hash")).groupBy("lang", "hash")

@@ -2,7 +2,7 @@
 
 Lines are compared word by word.  Two lines are alike if they hold the same words, or if
 both have at least ``least`` words and one edit (a word replaced, added or left out) makes one
-the other.  A line that is like an earlier line, in the order of the scan, is dropped; the
+the other.  A line that is like an earlier line, in the order of files and places, is dropped; the
 earliest stays.
 
 Every line emits its whole and, if it is long enough, each variant with one word deleted, as
@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyport.llm.order import FILE_BITS, with_rows
 from tallyport.llm.words import BLANK_WORDS, find_words, mixed, pieces, powers, text_bytes
 from tallyport.runtime import default_partitions
 
@@ -101,8 +102,18 @@ def _unseven(raw: memoryview, count: int) -> tuple[np.ndarray, int]:
     return np.cumsum(steps), 16 + count * wide
 
 
+def _by_file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut batches where the file changes, so that each holds neighbouring rows."""
+    for batch in batches:
+        file = batch.column("row").to_numpy() >> FILE_BITS
+        cuts = [0, *(np.flatnonzero(np.diff(file)) + 1).tolist(), batch.num_rows]
+        for at, end in zip(cuts, cuts[1:], strict=False):
+            if end > at:
+                yield batch.slice(at, end - at)
+
+
 def _post(batches: Iterator[pa.RecordBatch], least: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "text", 4_000_000):
+    for batch in pieces(_by_file(batches), "text", 4_000_000):
         rows = batch.column("row").to_numpy()
         hashes, first, of, number, count = line_words(batch.column("text"))
         keys, place, line = variants(hashes, first, least)
@@ -211,9 +222,9 @@ def _gather(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def repeated_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """Per row: ``row`` (its place in the scan), ``n_lines`` and ``dropped``, the numbers
-    from 0 of the lines like an earlier one."""
-    narrow = docs.select(F.monotonically_increasing_id().alias("row"), F.col("text").cast("string").alias("text"))
+    """Per row: ``row`` (its number by :func:`~tallyport.llm.order.with_rows`), ``n_lines`` and
+    ``dropped``, the numbers from 0 of the lines like an earlier one."""
+    narrow = with_rows(docs).select("row", F.col("doc.text").cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(default_partitions(docs.sparkSession), math.ceil(size / BUCKET_TEXT))
     posted = narrow.mapInArrow(

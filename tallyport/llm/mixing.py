@@ -39,10 +39,10 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=[*names, "size"])
 
 
-def sizes(docs: DataFrame) -> DataFrame:
+def sizes(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """``row`` (a number of the row), ``doc_id``, ``source`` and ``size`` in words."""
     narrow = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
         F.col("doc_id"),
         F.col("source").cast("string").alias("source"),
         F.col("text").cast("string").alias("text"),
@@ -147,9 +147,11 @@ def systematic(df: DataFrame, expected: Column, seed: int = 0, offsets: int = 32
     return chosen.select(*df.columns, crossed(F.col("draw")).alias("copies"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: int = 0) -> DataFrame:
+def mix(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: int = 0, row: Column | None = None
+) -> DataFrame:
     """One row per document: ``row, doc_id, source, size, source_size, target, copies``."""
-    measured = settle_table(sizes(docs), "sizes")
+    measured = settle_table(sizes(docs, row), "sizes")
     wanted = targets(measured, weights, most)
     goal = wanted.select(F.col("source").alias("t_source"), "source_size", "target")
     rows = measured.join(goal, measured["source"].eqNullSafe(goal["t_source"])).drop("t_source")
@@ -158,11 +160,10 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed: int = 0) -> DataFrame:
-    """The documents of the mix with all columns of the input, each once per copy.
-
-    Rows are numbered by their place in the scan, so ``docs`` has to be read from files.
-    """
-    chosen = mix(docs, weights, most, seed).where("copies > 0")
+    """The documents of the mix with all columns of the input, each once per copy."""
+    whole = with_rows(docs)
+    plain = whole.select("row", "doc.doc_id", "doc.source", "doc.text")
+    chosen = mix(plain, weights, most, seed, F.col("row")).where("copies > 0")
     copies = chosen.select("row", F.sequence(F.lit(1), F.col("copies").cast("int")).alias("copies"))
-    rows = with_rows(docs).join(side(copies), "row")
+    rows = whole.join(side(copies), "row")
     return rows.select("doc", F.explode("copies").alias("copy")).select("doc.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyport.operators.chunks import has_row_positions, is_file_scan
 from tallyport.runtime import default_partitions, settle_table
 
 _INDEX = (1 << 33) - 1
@@ -42,6 +43,23 @@ def side(df: DataFrame) -> DataFrame:
     return F.broadcast(held) if held.count() <= SENT else held
 
 
+#: Rows of one file have numbers from a multiple of ``1 << FILE_BITS`` on.
+FILE_BITS = 33
+
+
 def with_rows(docs: DataFrame) -> DataFrame:
-    """``row``, the place in the scan, and ``doc``, a struct of all columns."""
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*(docs[c] for c in docs.columns)).alias("doc"))
+    """``row``, a number of each row, and ``doc``, a struct of all columns.
+
+    A row is known by its file, in the order of paths, and its place in the file, so all plans
+    over the same files give the same numbers, however the files are split.  Frames that are not
+    a plain scan of files are written to the shared folder first.
+    """
+    if not (is_file_scan(docs) and has_row_positions(docs)):
+        docs = settle_table(docs, "rows")
+    path, place = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    doc = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")
+    # One row per file; the driver lists the files anyway.
+    files = docs.select(path.alias("file")).distinct()
+    files = files.select("file", (F.row_number().over(Window.orderBy("file")) - 1).cast("long").alias("number"))
+    placed = docs.select(path.alias("file"), place.alias("place"), doc).join(side(files), "file")
+    return placed.select((F.shiftleft("number", FILE_BITS) + F.col("place")).alias("row"), "doc")

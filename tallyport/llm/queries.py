@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyport.llm import article, codes, decontam, hilbert, jaccard, langid, linededup, mixing, periodic, pii, quality, tokens, topk
+from tallyport.llm.order import with_rows
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -70,7 +71,7 @@ def op7_impact_search(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_line_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
-    ids = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id")
+    ids = with_rows(docs).select("row", "doc.doc_id")
     found = ids.join(linededup.repeated_lines(docs), "row")
     kept = (F.col("n_lines") - F.size("dropped")).alias("n_kept")
     lines = F.array_join(F.transform("dropped", lambda n: n.cast("string")), ",").alias("dropped_lines")

@@ -14,8 +14,8 @@ task returns ``k`` rows a query, whatever its number of segments.
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part,
 nor do rows without an id; components a vector does not have count as 0; equal scores are ordered by id, then by
-place in the table; with fewer than ``k`` candidates all are returned; values are held
-within 31 bits.
+file and place; with fewer than ``k`` candidates all are returned; vectors whose inner product
+cannot be a long raise ``OverflowError``.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyport.llm.order import with_rows
 from tallyport.runtime import settle_table
 
 SCALE = 1024
@@ -50,11 +51,18 @@ def whole_numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     bad[row[~np.isfinite(flat)]] = True
     out = np.zeros((len(kept), int(sizes.max(initial=0))), np.int64)
     usable = np.isfinite(flat)
-    top = float((1 << 31) - 1)
-    out[row[usable], place[usable]] = np.clip(np.floor(flat[usable] * SCALE), -top, top).astype(np.int64)
+    usable &= ~bad[row]
+    scaled = np.floor(flat[usable] * SCALE)
+    if np.abs(scaled).max(initial=0.0) >= float(1 << 62):
+        raise OverflowError("a component cannot be a long")
+    out[row[usable], place[usable]] = scaled.astype(np.int64)
     return kept[~bad], out[~bad]
 
 
+def _largest(values: np.ndarray) -> int:
+    return max(int(values.max(initial=0)), -int(values.min(initial=0)))
+
+
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, SEGMENT):
@@ -69,19 +77,22 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for n in ("row", "vec_id")
                 ]
                 + [
-                    pa.array([values.astype(np.int32).tobytes()], pa.binary()),
+                    pa.array([values.astype(np.int32 if _largest(values) < 1 << 31 else np.int64).tobytes()], pa.binary()),
                     pa.array([np.ascontiguousarray(order.T).tobytes()], pa.binary()),
                 ],
                 names=["rows", "ids", "values", "postings"],
             )
 
 
+def _numbered(vectors: DataFrame) -> DataFrame:
+    """Rows with an id; the index and the queries know a row by the same number."""
+    return with_rows(vectors).where("doc.vec_id is not null")
+
+
 def build_index(vectors: DataFrame) -> DataFrame:
     """One row per segment: ``rows, ids``, the ``values`` by vector and the ``postings`` by
     component (places of vectors in the order of their value)."""
-    narrow = vectors.where("vec_id is not null").select(
-        F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long"), "embedding"
-    )
+    narrow = _numbered(vectors).select("row", F.col("doc.vec_id").cast("long").alias("vec_id"), "doc.embedding")
     kind = "rows array<long>, ids array<long>, values binary, postings binary"
     return settle_table(narrow.mapInArrow(_index, kind), "impacts")
 
@@ -91,8 +102,11 @@ class Segment:
 
     def __init__(self, rows: np.ndarray, ids: np.ndarray, values: bytes, postings: bytes):
         self.rows, self.ids = rows, ids
-        self.values = np.frombuffer(values, np.int32).reshape(len(ids), -1).astype(np.int64)
-        self.dims = self.values.shape[1]
+        self.dims = len(postings) // 4 // len(ids)
+        wide = len(values) > 4 * len(ids) * self.dims
+        flat = np.frombuffer(values, np.int64 if wide else np.int32)
+        self.values = flat.reshape(len(ids), self.dims).astype(np.int64)
+        self.largest = _largest(self.values)
         self.postings = np.frombuffer(postings, np.int32).reshape(self.dims, len(ids))
         ordered = np.take_along_axis(self.values.T, self.postings.astype(np.int64), axis=1)
         self.ordered = ordered
@@ -108,11 +122,15 @@ class Segment:
         """
         count, dims = len(self.ids), min(self.dims, len(query))
         q = query[:dims]
+        if self.largest * _largest(q) * dims >= 1 << 63:
+            raise OverflowError("an inner product of these vectors cannot be a long")
         other = self.rows != own
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         # The largest impact of each component.
         best = np.maximum(q * self.ordered[:dims, -1], q * self.ordered[:dims, 0])
         limit = int(best.max(initial=0))
+        # What sums of floating-point numbers may be off.
+        unsure = 1e-15 * dims * dims * float(self.largest) * float(_largest(q))
         total, seen = np.zeros(count), np.zeros(count, np.int64)
         done = np.where(q > 0, count, 0)
         possible = np.flatnonzero(other)
@@ -143,7 +161,7 @@ class Segment:
                 reached = int((self.values[some, :dims] @ q).min())
                 floor = reached if floor is None else max(floor, reached)
             if floor is not None:
-                slack = 1e-9 * (abs(floor) + np.abs(bound))
+                slack = unsure + 1e-9 * (abs(floor) + np.abs(bound))
                 possible = possible[(bound + slack)[possible] >= floor]
             if len(possible) * 4 <= count or len(possible) <= 4 * k:
                 break
@@ -173,10 +191,9 @@ def search(index: DataFrame, vectors: DataFrame, wanted: Column, k: int = 10, bl
     """``query_id, rank, vec_id, score``: the ``k`` best other rows of each row of
     ``vectors`` where ``wanted`` holds."""
     spark = index.sparkSession
-    rows = vectors.where("vec_id is not null").select(
-        F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), "embedding"
-    )
-    queries = settle_table(rows.where(wanted), "queries")
+    chosen = _numbered(vectors.withColumn("_wanted", wanted)).where("doc._wanted")
+    rows = chosen.select("row", F.col("doc.vec_id").cast("long").alias("vec_id"), "doc.embedding")
+    queries = settle_table(rows, "queries")
     blocks = max(1, -(-queries.count() // block))
     part = F.pmod(F.xxhash64("row"), F.lit(blocks))
     passes = []
