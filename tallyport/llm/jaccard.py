@@ -129,7 +129,7 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for batch in pieces(batches, "text", 2_000_000):
+    for batch in pieces(batches, "text", 1_000_000):
         grams, first = shingle_sets(batch.column("text"), words)
         size = np.diff(first)
         one = _sums(mixed(grams), first)
@@ -231,7 +231,7 @@ def _by_key(keys: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, ...]:
 def _post(batches: Iterator[pa.RecordBatch], rule: Rule, buckets: int) -> Iterator[pa.RecordBatch]:
     """Per batch and bucket of the key space, the keys with one mark each, packed; and the
     candidate edges within the batch, spread over the buckets."""
-    for batch in pieces(batches, "elements", 4_000_000):
+    for batch in pieces(batches, "elements", 2_000_000):
         grams, first = _flat(batch.column("elements"))
         marks = batch.column("mark").to_numpy()
         keys, owners = list_keys(grams, first, rule)
@@ -275,10 +275,10 @@ def _scan(frame: pd.DataFrame) -> pd.DataFrame:
 
 def candidate_edges(sets: DataFrame, rule: Rule) -> DataFrame:
     """``a``, ``b``: marks that stand in one list."""
-    # About two keys in each class per element that may differ; some 2 million keys a bucket.
+    # About two keys in each class per element that may differ; some million keys a bucket.
     total = sets.agg(F.sum("n")).first()[0] or 0
     keys = total * 2 * (rule.ranges(1000) / 1000 + 0.02) * 1.1
-    buckets = max(default_partitions(sets.sparkSession), math.ceil(keys / 2_000_000))
+    buckets = max(default_partitions(sets.sparkSession), math.ceil(keys / 1_000_000))
     posted = sets.where("n > 0").select("mark", "elements").mapInArrow(
         lambda it: _post(it, rule, buckets), "bucket long, packed binary, a long, b long"
     )
@@ -287,7 +287,7 @@ def candidate_edges(sets: DataFrame, rule: Rule) -> DataFrame:
 
 def _send_elements(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Per batch and bucket the elements with their sets, packed; and the rows of the batch."""
-    for batch in pieces(batches, "elements", 4_000_000):
+    for batch in pieces(batches, "elements", 2_000_000):
         grams, first = _flat(batch.column("elements"))
         row = batch.column("row").to_numpy()
         group = batch.column("group").to_numpy().view(np.uint64)
@@ -343,7 +343,7 @@ def _add_up(frame: pd.DataFrame) -> pd.DataFrame:
 
 def shared_elements(held: DataFrame, elements: int) -> DataFrame:
     """``row`` and ``shared``: how many elements of each set another set of its ``group`` holds."""
-    buckets = max(default_partitions(held.sparkSession), math.ceil(elements / 2_000_000))
+    buckets = max(default_partitions(held.sparkSession), math.ceil(elements / 1_000_000))
     sent = held.mapInArrow(
         lambda it: _send_elements(it, buckets), "bucket long, base long, packed binary, rows binary"
     )
