@@ -28,7 +28,7 @@ from tallyport.functions.convert import convert_values, exact_integer
 from tallyport.functions.names import rename_reserved
 from tallyport.functions.text import VENDOR_SQL_PATTERNS, collapsed
 from tallyport.functions.types import choose_type
-from tallyport.operators import chunks, compare, keys, ledger, quality
+from tallyport.operators import baseline, chunks, compare, keys, ledger, quality
 from tallyport.operators.copy import CopyPaths, chunked_rows, copy_table
 from tallyport.operators.quality import RequiredColumn
 from tallyport.plans import migrate, report, validate
@@ -267,17 +267,42 @@ def checksum_by_chunk(spark, folder):
 
 
 def fingerprint_drift(spark, folder):
-    """A baseline is stored, read back and compared with the altered table."""
-    orders = read(spark, folder, "orders")
-    low = orders.agg(F.min("o_orderkey")).scalar()
-    baseline = work_path(spark, "baseline")
-    compare.save_baseline(
-        compare.chunk_digests(orders, "orders", "o_orderkey", 50, scales=ORDERS.scales), baseline
+    """A baseline is stored, read back and compared with the altered table, range by range."""
+    path = work_path(spark, "baseline")
+    _save_orders(spark, folder, path, 50)
+    return baseline.drift_against_baseline(
+        altered_orders(spark, folder), path, "orders", "o_orderkey", 50, scales=ORDERS.scales, with_same=True
     )
-    current = compare.chunk_digests(
-        altered_orders(spark, folder), "orders", "o_orderkey", 50, scales=ORDERS.scales, low=low
+
+
+def _save_orders(spark, folder, path, size, fanout=baseline.FANOUT):
+    orders = read(spark, folder, "orders")
+    wanted = baseline.describe(orders, "orders", "o_orderkey", size, scales=ORDERS.scales, fanout=fanout)
+    baseline.save(baseline.digest_tree(orders, wanted), path)
+
+
+def fingerprint_tree(spark, folder):
+    """All levels of a stored tree of digests, as they are read back."""
+    path = work_path(spark, "baseline")
+    _save_orders(spark, folder, path, 20, 8)
+    nodes = baseline.load(spark, path).nodes
+    return nodes.select("level", "node", "row_count", "hash_xor", "hash_sum", "digest")
+
+
+def baseline_drift(spark, folder):
+    """Ranges that differ from a stored baseline: the first order is gone, others stand below
+    the baseline's first key or have lost theirs, and a range's prices are changed."""
+    path = work_path(spark, "baseline")
+    _save_orders(spark, folder, path, 20, 8)
+    key = F.col("o_orderkey")
+    orders = read(spark, folder, "orders")
+    first = orders.agg(F.min(key)).scalar()
+    moved = F.when(key % 1009 == 7, -key).when(key % 1009 == 8, None).otherwise(key)
+    price = F.col("o_totalprice") + F.when(key.between(200, 210), 1).otherwise(0)
+    current = orders.where(key != first).withColumn("o_totalprice", price).withColumn("o_orderkey", moved)
+    return baseline.drift_against_baseline(
+        current, path, "orders", "o_orderkey", 20, scales=ORDERS.scales, fanout=8
     )
-    return compare.drift_against_baseline(current, baseline)
 
 
 def sample_rows(spark, folder):
@@ -687,6 +712,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "checksum_native": checksum_native,
     "checksum_by_chunk": checksum_by_chunk,
     "fingerprint_drift": fingerprint_drift,
+    "fingerprint_tree": fingerprint_tree,
+    "baseline_drift": baseline_drift,
     "sample_rows": sample_rows,
     "sample_diff": sample_diff,
     "row_diff_keyed": row_diff_keyed,

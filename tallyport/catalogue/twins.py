@@ -94,6 +94,27 @@ def _order_chunk(rows: str, size: int) -> str:
     return f"((o_orderkey - (select min(o_orderkey) from {rows})) // {size} + 1)"
 
 
+def _digest_tree(name: str, rows: str, size: int, fanout: int, most: int = 8) -> str:
+    """Digests of ranges and of ``fanout`` nodes below each, up to the first level of one node,
+    under the name ``<name>_tree``."""
+    whole = "row_count || ':' || hash_xor || ':' || hash_sum"
+    found = [f"""{name}0 as (
+  select *, sha256({whole}) as digest
+  from (select {_order_chunk(rows, size)} as node, {_digest(_ORDER_COLUMNS)} from {rows} group by 1))"""]
+    for level in range(1, most):
+        found.append(f"""{name}{level} as (
+  select node // {fanout} as node, cast(sum(row_count) as bigint) as row_count, bit_xor(hash_xor) as hash_xor,
+         cast(sum(cast(hash_sum as decimal(38,0))) as varchar) as hash_sum,
+         sha256(string_agg(node || '=' || digest, ',' order by node)) as digest
+  from {name}{level - 1} group by 1)""")
+    levels = " union all ".join(f"select {i} as level, * from {name}{i}" for i in range(most))
+    found.append(f"""{name}_all as ({levels}),
+{name}_tree as (
+  select * from {name}_all
+  where level <= (select min(level) from (select level from {name}_all group by level having max(node) = 0)))""")
+    return ",\n".join(found)
+
+
 def _hits(text: str) -> dict[str, str]:
     plain = f"regexp_replace(lower({text}), '\\s+', ' ', 'g')"
     return {
@@ -449,6 +470,25 @@ select 'orders' as table_name, {_chunk_id("orders", "chunk_no")} as chunk_id,
             when s.row_count = t.row_count and s.hash_xor = t.hash_xor and s.hash_sum = t.hash_sum
             then 'SAME' else 'CHANGED' end as drift
 from s full join t using (chunk_no)""",
+        "fingerprint_tree": f"""
+with {_digest_tree("leaf", "orders", 20, 8)}
+select level, node, row_count, hash_xor, hash_sum, digest from leaf_tree""",
+        "baseline_drift": f"""
+with changed as (
+  select * replace (
+           case when o_orderkey % 1009 = 7 then -o_orderkey when o_orderkey % 1009 = 8 then null
+                else o_orderkey end as o_orderkey,
+           o_totalprice + case when o_orderkey between 200 and 210 then 1 else 0 end as o_totalprice)
+  from orders where o_orderkey <> (select min(o_orderkey) from orders)),
+s as (select {_order_chunk("orders", 20)} as chunk_no, {_digest(_ORDER_COLUMNS)} from orders group by 1),
+t as (select case when o_orderkey >= (select min(o_orderkey) from orders)
+                  then (o_orderkey - (select min(o_orderkey) from orders)) // 20 + 1 else 0 end as chunk_no,
+             {_digest(_ORDER_COLUMNS)} from changed group by 1)
+select 'orders' as table_name, {_chunk_id("orders", "chunk_no")} as chunk_id,
+       s.row_count as baseline_rows, t.row_count as current_rows,
+       case when s.row_count is null then 'NEW' when t.row_count is null then 'MISSING' else 'CHANGED' end as drift
+from s full join t using (chunk_no)
+where (s.row_count, s.hash_xor, s.hash_sum) is distinct from (t.row_count, t.hash_xor, t.hash_sum)""",
         "sample_rows": """
 select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 from orders order by o_orderkey limit 100""",

@@ -25,7 +25,6 @@ from tallyport.functions.canon import (
 )
 from tallyport.operators.chunks import BROADCAST_CHUNKS, chunk_id, is_whole_number, range_number
 from tallyport.runtime import settle
-from tallyport.sources.tables import path_exists
 
 # States, names and message texts of check results.
 PASS, WARNING, FAIL = "PASS", "WARNING", "FAIL"
@@ -346,35 +345,6 @@ def _sides_agree() -> Column:
 # --- stored fingerprints -----------------------------------------------------------
 
 
-def save_baseline(digests: DataFrame, path: str) -> None:
-    """Store chunk digests for a later drift check."""
-    stamped = digests.withColumn("fingerprint_version", F.lit(FINGERPRINT_VERSION))
-    stamped.write.mode("overwrite").parquet(path)
-
-
-def load_baseline(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored digests, or None where there are none.  Digests of another version of
-    the fingerprint definition are always an error."""
-    if not path_exists(spark, path):
-        return None
-    stored = spark.read.parquet(path)
-    other = stored.where(F.col("fingerprint_version") != FINGERPRINT_VERSION).limit(1)
-    if not other.isEmpty():
-        raise ValueError(f"baseline {path} was made by another fingerprint version")
-    return stored.drop("fingerprint_version")
-
-
-def drift_against_baseline(current: DataFrame, path: str, fail_if_missing: bool = True) -> DataFrame:
-    """Compare with the stored baseline; a missing one is an error, or is stored anew."""
-    baseline = load_baseline(current.sparkSession, path)
-    if baseline is None:
-        if fail_if_missing:
-            raise ValueError(f"no baseline at {path}")
-        save_baseline(current, path)
-        baseline = load_baseline(current.sparkSession, path)
-    return fingerprint_drift(baseline, current)
-
-
 def fingerprint_drift(baseline: DataFrame, current: DataFrame) -> DataFrame:
     """SAME, CHANGED, MISSING or NEW per chunk (one row per chunk on either side)."""
     keys = ["table_name", "chunk_id"]

@@ -108,26 +108,6 @@ def test_chunk_checksums_of_an_empty_source(spark, rows):
     assert got == [(0, 2, "FAIL")]
 
 
-def test_drift(spark, rows, tmp_path):
-    left = accounts(spark, *[(i, "x") for i in range(30)])
-    right = accounts(spark, *[(i, "y" if i == 3 else "x") for i in range(20)], (45, "x"))
-    digests = [
-        compare.chunk_digests(df, "T", "ID", 10, low=F.lit(0).cast("decimal(19,0)")) for df in (left, right)
-    ]
-    path = str(tmp_path / "baseline")
-    with pytest.raises(ValueError, match="no baseline"):
-        compare.drift_against_baseline(digests[0], path)
-    fresh = compare.drift_against_baseline(digests[0], path, fail_if_missing=False)
-    assert {r["drift"] for r in fresh.collect()} == {"SAME"}
-    got = rows(compare.drift_against_baseline(digests[1], path), "chunk_id", "drift")
-    assert got == [
-        ("T-000001", "CHANGED"), ("T-000002", "SAME"), ("T-000003", "MISSING"), ("T-000005", "NEW"),
-    ]
-    spark.read.parquet(path).withColumn("fingerprint_version", F.lit("0")).write.parquet(path + "-old")
-    with pytest.raises(ValueError, match="version"):
-        compare.load_baseline(spark, path + "-old")
-
-
 def test_samples(spark):
     many = accounts(spark, *[(i, "x") for i in range(1, 151)])
     late = many.where("ID <> 120")
