@@ -29,7 +29,7 @@ from tallyport.functions.names import rename_reserved
 from tallyport.functions.text import VENDOR_SQL_PATTERNS, collapsed
 from tallyport.functions.types import choose_type
 from tallyport.operators import baseline, chunks, compare, keys, ledger, quality
-from tallyport.operators.copy import CopyPaths, chunked_rows, copy_table
+from tallyport.operators.copy import CopyFailed, CopyPaths, chunked_rows, copy_table
 from tallyport.operators.quality import RequiredColumn
 from tallyport.plans import migrate, report, validate
 from tallyport.runtime import work_path
@@ -160,6 +160,32 @@ def copy_counts(spark, folder):
     return written.select("table_name", "chunk_id", "chunk_range", "rows_read", "rows_written", "status")
 
 
+def copy_restart(spark, folder):
+    """A copy in three waves that one broken row stops, and its restart: the records of each
+    chunk, and the chunk that the error names."""
+    target = work_path(spark, "copy-restart")
+    paths = CopyPaths(f"{target}/data", f"{target}/ledger", f"{target}/errors")
+    orders = read(spark, folder, "orders")
+    broken = orders.where("o_orderkey % 7 = 3").agg(F.max("o_orderkey")).first()[0]
+    fault = F.when(F.col("o_orderkey") == broken, F.raise_error(F.lit("broken row")))
+    bad = orders.withColumn("o_orderstatus", fault.otherwise(F.col("o_orderstatus")))
+    try:
+        copy_table(bad, ORDERS, paths, "run-1", 500, waves=3)
+    except CopyFailed:
+        pass
+    written = copy_table(orders, ORDERS, paths, "run-1", 500, waves=3)
+    errors = spark.read.parquet(paths.errors).select("error_id", F.col("chunk_id").alias("error_chunk"))
+    named = written.join(errors, F.col("last_error_id") == F.col("error_id"), "left")
+    return named.groupBy("table_name", "chunk_id").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("status") == ledger.SUCCESS).alias("copies"),
+        F.count_if(F.col("status") == ledger.FAILED).alias("failures"),
+        F.sum("rows_read").alias("rows_read"),
+        F.sum("rows_written").alias("rows_written"),
+        F.max("error_chunk").alias("error_chunk"),
+    )
+
+
 def _order_chunks(df: DataFrame, size: int) -> DataFrame:
     return chunked_rows(df, ORDERS, size)
 
@@ -701,6 +727,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_plan_auto": chunk_plan_auto,
     "chunk_balance": chunk_balance,
     "copy_counts": copy_counts,
+    "copy_restart": copy_restart,
     "chunk_ledger": chunk_ledger,
     "row_capped_chunks": row_capped_chunks,
     "latest_chunk_state": latest_chunk_state,

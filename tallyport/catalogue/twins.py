@@ -384,6 +384,15 @@ union all {_numbered_plan("lineitem", "ROWID", "ROWID", 5000, line_order)}""",
 select table_name, chunk_id, where_clause as chunk_range, row_count as rows_read,
        row_count as rows_written, 'SUCCESS' as status
 from ({_range_plan("orders", "o_orderkey", 1000)})""",
+        "copy_restart": f"""
+with plan as ({_range_plan("orders", "o_orderkey", 500)}),
+broken as (select {_chunk_id("orders", "n")} as error_chunk
+           from (select max(o_orderkey - low) // 500 + 1 as n
+                 from orders, (select min(o_orderkey) as low from orders) where o_orderkey % 7 = 3))
+select table_name, chunk_id, cast(1 + if(chunk_id = error_chunk, 1, 0) as bigint) as records,
+       cast(1 as bigint) as copies, cast(if(chunk_id = error_chunk, 1, 0) as bigint) as failures,
+       row_count as rows_read, row_count as rows_written, if(chunk_id = error_chunk, error_chunk, null) as error_chunk
+from plan, broken""",
         "chunk_ledger": f"with {_chunk_ledger(100)} select * from ledger",
         "row_capped_chunks": f"""
 with plan as (

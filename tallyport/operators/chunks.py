@@ -15,7 +15,8 @@ from pyspark.sql.utils import AnalysisException
 from pyspark.sql.window import Window
 
 from tallyport.functions.canon import split_columns
-from tallyport.runtime import default_partitions, settle_table
+from tallyport.runtime import default_partitions, work_path
+from tallyport.sources.tables import remove_rows
 
 # Strategy names as they appear in chunk reports.
 KEY_RANGE = "NUMERIC_PRIMARY_KEY"
@@ -196,44 +197,87 @@ def number_rows(
     as a file scan with filters and projections does; other inputs are written first.  If not
     given, it is taken from whether ``df`` is such a scan.
     """
-    return _numbered(df, order_by, partitions, stable_input).drop("_total")
+    return Numbering(df, order_by, partitions, stable_input).rows().drop("_total")
 
 
-def _numbered(
-    df: DataFrame, order_by: Sequence[str], partitions: int | None, stable_input: bool | None
-) -> DataFrame:
-    """Rows with ``row_no`` and the number of all rows, ``_total``."""
-    if stable_input is None:
-        stable_input = is_file_scan(df)
-    source = df if stable_input else settle_table(df, "input")
-    partitions = partitions or default_partitions(df.sparkSession)
-    order = [F.col(c).asc_nulls_first() for c in order_by]
-    placed = (
-        source.withColumn("_spot", F.monotonically_increasing_id())
-        .repartitionByRange(partitions, *order, F.col("_spot"))
-        .sortWithinPartitions(*order, F.col("_spot"))
-        .withColumn("_spot", F.monotonically_increasing_id())
-    )
-    placed = settle_table(placed, "numbered")
-    part = F.shiftright(F.col("_spot"), _POSITION_BITS)
-    inside = F.col("_spot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    # At most one row per partition, so one task and a broadcast are bounded.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(
+class Numbering:
+    """A table in order, written once to the shared folder, with a number for each row.
+
+    Parts of the order are folders, and a small table holds the rows before each part.
+    Plans, copies and restarts of one run read the same numbering; some rows are read from
+    the parts that hold them.  :meth:`delete` removes it when nothing needs it any more.
+    """
+
+    def __init__(
+        self,
+        df: DataFrame,
+        order_by: Sequence[str],
+        partitions: int | None = None,
+        stable_input: bool | None = None,
+    ):
+        self.spark = df.sparkSession
+        self.folder = work_path(self.spark, "numbered")
+        stable_input = is_file_scan(df) if stable_input is None else stable_input
+        source = df
+        if not stable_input:
+            df.write.parquet(f"{self.folder}/input")
+            source = self.spark.read.schema(df.schema).parquet(f"{self.folder}/input")
+        partitions = partitions or default_partitions(self.spark)
+        order = [F.col(c).asc_nulls_first() for c in order_by]
+        placed = (
+            source.withColumn("_spot", F.monotonically_increasing_id())
+            .repartitionByRange(partitions, *order, F.col("_spot"))
+            .sortWithinPartitions(*order, F.col("_spot"))
+            .withColumn("_spot", F.monotonically_increasing_id())
+            .withColumn("_part", F.shiftright("_spot", _POSITION_BITS))
+        )
+        placed.write.partitionBy("_part").parquet(f"{self.folder}/rows")
+        if not stable_input:
+            remove_rows(self.spark, f"{self.folder}/input")
+        self.stored = self.spark.read.schema(placed.schema).parquet(f"{self.folder}/rows")
+        self.starts = self._starts()
+
+    def _starts(self) -> DataFrame:
+        """Rows, and rows before, of each part: at most one row per partition of the order, so one
+        task and a broadcast are bounded."""
+        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        counts = self.stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+        return counts.select(
             "_part",
+            "_rows",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
             F.sum("_rows").over(Window.partitionBy()).alias("_total"),
         )
-    )
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
-        .withColumn("row_no", F.col("_start") + inside + 1)
-        .drop("_part", "_start", "_spot")
-    )
+
+    def settle(self) -> Numbering:
+        """Write the rows before each part as well, for more than one reader."""
+        self.starts.write.parquet(f"{self.folder}/starts")
+        self.starts = self.spark.read.schema(self.starts.schema).parquet(f"{self.folder}/starts")
+        return self
+
+    def rows(self, first: int | None = None, last: int | None = None) -> DataFrame:
+        """Rows with ``row_no`` and the number of all rows, ``_total``; with bounds only those
+        between them, from the parts that hold some."""
+        held, wanted = self.stored, F.lit(True)
+        if first is not None:
+            meets = (F.col("_start") < last) & (F.col("_start") + F.col("_rows") >= first)
+            parts = [r["_part"] for r in self.starts.where(meets).select("_part").collect()]
+            held, wanted = held.where(F.col("_part").isin(parts)), F.col("row_no").between(first, last)
+        inside = F.col("_spot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+        return (
+            held.join(F.broadcast(self.starts), "_part")
+            .withColumn("row_no", F.col("_start") + inside + 1)
+            .drop("_part", "_rows", "_start", "_spot")
+            .where(wanted)
+        )
+
+    def chunks(self, first: int, last: int, size: int) -> DataFrame:
+        """Rows of the chunks ``first`` to ``last`` with their ``chunk_no``."""
+        rows = self.rows((first - 1) * size + 1, last * size)
+        return rows.withColumn("chunk_no", whole_div(F.col("row_no") - 1, size) + 1).drop("row_no", "_total")
+
+    def delete(self) -> None:
+        remove_rows(self.spark, self.folder)
 
 
 def plan_row_numbers(
@@ -251,8 +295,13 @@ def plan_row_numbers(
     numbering the table anew.
     """
     check_size(size)
+    return plan_numbering(Numbering(df.select(*keys), keys, partitions, stable_input), table, keys, size)
+
+
+def plan_numbering(numbering: Numbering, table: str, keys: Sequence[str], size: int) -> DataFrame:
+    """The chunks of a numbering that is in the order of ``keys``."""
     row, total = F.col("row_no"), F.col("_total")
-    edges = _numbered(df.select(*keys), keys, partitions, stable_input).where(
+    edges = numbering.rows().where(
         (row % size == 1) | (row % size == 0) | (row == total) | F.lit(size == 1)
     )
     key = F.struct(*keys)
@@ -412,13 +461,16 @@ def assign_chunks(
         return placed.withColumn("chunk_no", whole_div(row_no, size) + 1).drop(
             "_file", "_place", "_rows", "_start"
         )
-    # Rows that agree in the key are ordered by their other columns, so a later run cuts
-    # the chunks at the same rows.
-    order = [*keys, *[c for c in split_columns(df.schema)[0] if c not in keys]]
-    numbered = number_rows(df, order, partitions, stable_input)
+    numbered = number_rows(df, whole_order(df, keys), partitions, stable_input)
     return numbered.withColumn("chunk_no", whole_div(F.col("row_no") - 1, size) + 1).drop("row_no")
 
 
+def whole_order(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    """Rows that agree in the key are ordered by their other columns, so a later run cuts
+    the chunks at the same rows."""
+    return [*keys, *[c for c in split_columns(df.schema)[0] if c not in keys]]
+
+
 def plan_chunks(
     df: DataFrame,
     table: str,
@@ -439,6 +491,16 @@ def plan_chunks(
         order = list(keys) or split_columns(df.schema)[0]
         plan = plan_row_numbers(df, table, order, size, partitions, stable_input)
         where = _row_range()
+    return _plan_columns(plan, where, strategy)
+
+
+def plan_numbered_chunks(numbering: Numbering, df: DataFrame, table: str, keys: Sequence[str], size: int) -> DataFrame:
+    """As :func:`plan_chunks`, from a numbering of ``df`` in its :func:`whole_order`."""
+    order = list(keys) or split_columns(df.schema)[0]
+    return _plan_columns(plan_numbering(numbering, table, order, size), _row_range(), choose_strategy(df.schema, keys))
+
+
+def _plan_columns(plan: DataFrame, where: Column, strategy: str) -> DataFrame:
     return plan.select(
         "table_name",
         "chunk_no",

@@ -16,11 +16,20 @@ from tallyport.operators import ledger as L
 from tallyport.operators.chunks import (
     BROADCAST_CHUNKS,
     KEY_RANGE,
+    ROW_NUMBER,
+    ROW_POSITION,
+    Numbering,
     assign_chunks,
+    check_size,
     choose_strategy,
     chunk_id,
+    has_row_positions,
     plan_chunks,
+    plan_numbered_chunks,
     range_number,
+    running_total,
+    whole_div,
+    whole_order,
 )
 from tallyport.runtime import settle
 from tallyport.sources.tables import path_exists, replace_partitions
@@ -43,11 +52,11 @@ class CopyPaths:
 
 
 class CopyFailed(RuntimeError):
-    """A table copy failed; its chunks and the error are on record."""
+    """A chunk of a table copy failed; it is on record with its error."""
 
-    def __init__(self, error_id: str, table: str):
-        super().__init__(f"copy of {table} failed, see error {error_id}")
-        self.error_id = error_id
+    def __init__(self, error_id: str, table: str, chunk: str | None = None):
+        super().__init__(f"copy of {table} failed in chunk {chunk}, see error {error_id}")
+        self.error_id, self.chunk = error_id, chunk
 
 
 def prepare_rows(
@@ -77,19 +86,32 @@ def copy_table(
     waves: int = 1,
     policy: str = "RENAME",
     converters: Mapping[type, Converter] = DEFAULT_CONVERTERS,
+    most_failures: int = 1,
 ) -> DataFrame:
     """Copy the chunks that the run's ledger does not have as SUCCESS; returns the ledger.
 
     The target is partitioned by chunk, and a rerun overwrites whole partitions, so
     neither a restart nor a lost executor doubles rows.  ``waves`` splits the copy into
-    that many jobs, each recorded when it is done; a failure loses only its own wave and
-    stops the table.
+    that many jobs of about equal rows, each recorded when it is done.
+
+    A wave that fails is halved, by rows, again and again: good halves are copied and
+    recorded, until the chunk that fails is alone.  It is recorded as FAILED with its error, and
+    after ``most_failures`` such chunks the copy stops; chunks it has not come to have no
+    record.
     """
     if CHUNK_COLUMN in [c.lower() for c in source.columns]:
         raise ValueError(f"table {table.name} already has a column {CHUNK_COLUMN}")
-    spark = source.sparkSession
-    keys = table.primary_key
-    plan = plan_chunks(source, table.name, keys, chunk_size)
+    placed = _Placed(source, table, chunk_size)
+    try:
+        return _copy_placed(
+            placed, table, paths, run_id, row_cap, waves, lambda df: prepare_rows(df, policy, converters), most_failures
+        )
+    finally:
+        placed.close()
+
+
+def _copy_placed(placed, table, paths, run_id, row_cap, waves, prepare, most_failures) -> DataFrame:
+    spark, plan = placed.source.sparkSession, placed.plan
     if row_cap is None:
         plan = plan.withColumn("status", F.lit(L.PENDING))
     else:
@@ -97,29 +119,59 @@ def copy_table(
     if path_exists(spark, paths.ledger):
         plan = _without_done(plan, L.read_ledger(spark, paths.ledger, run_id), table)
     plan = settle(plan)
-    pending, skipped = F.col("status") == L.PENDING, F.col("status") == L.SKIPPED
-    number = F.when(pending, F.col(CHUNK_COLUMN))
-    low, high, left_out = plan.agg(F.min(number), F.max(number), F.count_if(skipped)).first()
-    if left_out:
-        records = _records(plan.where(skipped), table, run_id, L.SKIPPED, datetime.now(UTC))
-        L.append_ledger(records, paths.ledger)
-    if low is not None:
-        rows, window = _placed_rows(source, keys, chunk_size)
-        step = -(-(high - low + 1) // max(1, waves))
-        for start in range(low, high + 1, step):
-            end = min(start + step - 1, high)
-            around = plan.where(F.col(CHUNK_COLUMN).between(start, end))
-            wanted, planned = around.agg(F.count_if(pending), F.count(F.lit(1))).first()
-            if wanted:
-                part, wave = rows.where(window(start, end)), around.where(pending)
-                if wanted < planned:
-                    part = _rows_of(part, wave.select(CHUNK_COLUMN), wanted)
-                _copy_wave(prepare_rows(part, policy, converters), wave, table, paths, run_id)
+    skipped = plan.where(F.col("status") == L.SKIPPED)
+    if not skipped.limit(1).isEmpty():
+        L.append_ledger(_records(skipped, table, run_id, L.SKIPPED, datetime.now(UTC)), paths.ledger)
+    todo = _in_waves(plan.where(F.col("status") == L.PENDING), max(1, waves))
+    failures: list[CopyFailed] = []
+    # One row per wave reaches the driver.
+    for wave in todo.groupBy("_wave").agg(*_bounds()).orderBy("_wave").collect():
+        parts = [(wave["low"], wave["high"], wave["chunks"])]
+        while parts:
+            low, high, many = parts.pop(0)
+            part = todo.where(F.col(CHUNK_COLUMN).between(low, high))
+            rows = placed.rows(low, high)
+            if many < plan.where(F.col(CHUNK_COLUMN).between(low, high)).count():
+                rows = _rows_of(rows, part.select(CHUNK_COLUMN), many)
+            started = datetime.now(UTC)
+            try:
+                _copy_part(prepare(rows), part, (low, high), table, paths, run_id, started)
+            except Exception as problem:
+                if many > 1:
+                    parts = [*_halves(part, low, high), *parts]
+                    continue
+                failures.append(_record_failure(spark, problem, part, table, paths, run_id, started))
+                if len(failures) >= most_failures:
+                    raise failures[0] from problem
+    if failures:
+        raise failures[0]
     if not path_exists(spark, paths.ledger):  # an empty table has no chunk to record
         L.append_ledger(spark.createDataFrame([], L.LEDGER_SCHEMA), paths.ledger)
     return L.read_ledger(spark, paths.ledger, run_id)
 
 
+def _bounds() -> list[Column]:
+    number = F.col(CHUNK_COLUMN)
+    return [F.min(number).alias("low"), F.max(number).alias("high"), F.count(F.lit(1)).alias("chunks")]
+
+
+def _in_waves(todo: DataFrame, waves: int) -> DataFrame:
+    """Chunks with ``_rows_before``, the rows of the chunks before them, and the ``_wave`` they go in."""
+    total = todo.agg(F.sum("row_count")).first()[0] or 0
+    counted = running_total(todo, "row_count", CHUNK_COLUMN, ["table_name"], "_rows_before")
+    number = F.least(whole_div(F.col("_rows_before") * waves, max(1, total)), F.lit(waves - 1))
+    return settle(counted.withColumn("_wave", number))
+
+
+def _halves(part: DataFrame, low: int, high: int) -> list[tuple[int, int, int]]:
+    """Bounds and numbers of chunks of two runs of about equal rows."""
+    first, total = part.agg(F.min("_rows_before"), F.sum("row_count")).first()
+    behind = (F.col(CHUNK_COLUMN) > low) & (2 * (F.col("_rows_before") - first) >= total)
+    cut = part.agg(F.min(F.when(behind, F.col(CHUNK_COLUMN)))).first()[0] or high
+    sides = part.groupBy((F.col(CHUNK_COLUMN) >= cut).alias("right")).agg(*_bounds()).orderBy("right").collect()
+    return [(r["low"], r["high"], r["chunks"]) for r in sides]
+
+
 def _without_done(plan: DataFrame, ledger: DataFrame, table: Table) -> DataFrame:
     """The plan with copied chunks marked SUCCESS; their ranges must be those of the plan."""
     state = L.latest_state(ledger.where(F.col("table_name") == table.name))
@@ -138,55 +190,74 @@ def _rows_of(rows: DataFrame, chunks: DataFrame, how_many: int) -> DataFrame:
     return rows.join(chunks, CHUNK_COLUMN, "left_semi")
 
 
-def _placed_rows(source: DataFrame, keys, chunk_size: int):
-    """Rows with their chunk, and a filter for a run of chunks.
+class _Placed:
+    """The chunk plan of a table, and its rows by chunk.
 
-    For key ranges the filter also bounds the key itself, which goes down to the files.
+    A key range goes down to the files as a filter.  Row numbers come from one numbering, which
+    the plan and all waves read; its parts without rows of a wave are not read.
     """
 
-    def by_number(start: int, end: int) -> Column:
-        return F.col(CHUNK_COLUMN).between(start, end)
-
-    if choose_strategy(source.schema, keys) != KEY_RANGE:
-        return assign_chunks(source, keys, chunk_size), by_number
-    key = keys[0]
-    base = source.agg(F.min(key)).first()[0]
-    number = range_number(source, key, chunk_size, F.lit(base).cast(source.schema[key].dataType))
-
-    def by_key(start: int, end: int) -> Column:
-        if base is None or start == 0:
-            return by_number(start, end)
-        first = int(base) + (start - 1) * chunk_size
-        last = int(base) + end * chunk_size - 1
-        # The last range may end beyond the key's type.
-        held = F.col(key) <= F.lit(last) if last < 1 << 63 else F.lit(True)
-        return (F.col(key) >= F.lit(first)) & held & by_number(start, end)
-
-    return source.withColumn(CHUNK_COLUMN, number), by_key
-
-
-def _copy_wave(rows: DataFrame, wave: DataFrame, table: Table, paths: CopyPaths, run_id: str) -> None:
-    spark = rows.sparkSession
-    started = datetime.now(UTC)
-    try:
-        replace_partitions(rows, paths.target, CHUNK_COLUMN)
-    except Exception as problem:
-        error_id = f"err-{uuid.uuid4()}"
-        _record_error(spark, problem, error_id, table, paths, run_id)
-        failed = _records(wave, table, run_id, L.FAILED, started, error_id, retries=1)
-        L.append_ledger(failed, paths.ledger)
-        raise CopyFailed(error_id, table.name) from problem
-    written = (
-        spark.read.schema(rows.schema)
-        .parquet(paths.target)
-        .groupBy(CHUNK_COLUMN)
-        .agg(F.count(F.lit(1)).alias("_written"))
-    )
-    counted = wave.join(written, CHUNK_COLUMN, "left").fillna(0, "_written")
+    def __init__(self, source: DataFrame, table: Table, size: int):
+        self.source, self.size, self.keys = source, size, table.primary_key
+        strategy = choose_strategy(source.schema, self.keys)
+        self.numbering, self.base = None, None
+        if strategy == ROW_NUMBER or strategy == ROW_POSITION and not has_row_positions(source):
+            check_size(size)
+            self.numbering = Numbering(source, whole_order(source, self.keys)).settle()
+            self.plan = plan_numbered_chunks(self.numbering, source, table.name, self.keys, size)
+            return
+        self.plan = plan_chunks(source, table.name, self.keys, size)
+        if strategy == KEY_RANGE:
+            key = self.keys[0]
+            self.base = source.agg(F.min(key)).first()[0]
+            start = F.lit(self.base).cast(source.schema[key].dataType)
+            self.numbered = source.withColumn(CHUNK_COLUMN, range_number(source, key, size, start))
+        else:
+            self.numbered = assign_chunks(source, self.keys, size)
+
+    def rows(self, first: int, last: int) -> DataFrame:
+        """Rows of the chunks ``first`` to ``last`` with their number."""
+        if self.numbering:
+            return self.numbering.chunks(first, last, self.size)
+        wanted = F.col(CHUNK_COLUMN).between(first, last)
+        if self.base is not None and first > 0:
+            key = F.col(self.keys[0])
+            low, high = int(self.base) + (first - 1) * self.size, int(self.base) + last * self.size - 1
+            # The last range may end beyond the key's type.
+            wanted = (key >= F.lit(low)) & (key <= F.lit(high) if high < 1 << 63 else F.lit(True)) & wanted
+        return self.numbered.where(wanted)
+
+    def close(self) -> None:
+        if self.numbering:
+            self.numbering.delete()
+
+
+def _copy_part(rows, part: DataFrame, bounds: tuple[int, int], table: Table, paths: CopyPaths, run_id: str, started) -> None:
+    """Copy some chunks in one job and record them.
+
+    The rows of a chunk are counted where they now are; their sum must be what the write has
+    seen.
+    """
+    seen = replace_partitions(rows, paths.target, CHUNK_COLUMN)
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(paths.target)
+    written = stored.where(F.col(CHUNK_COLUMN).between(*bounds)).groupBy(CHUNK_COLUMN).agg(F.count(F.lit(1)).alias("_written"))
+    counted = settle(part.join(written, CHUNK_COLUMN, "left").fillna(0, "_written"))
+    found = counted.agg(F.sum("_written")).first()[0]
+    if found != seen:
+        raise RuntimeError(f"the write of {table.name} has seen {seen} rows, the target holds {found} of them")
     status = F.when(F.col("row_count") == F.col("_written"), L.SUCCESS).otherwise(L.FAILED)
     L.append_ledger(_records(counted, table, run_id, status, started), paths.ledger)
 
 
+def _record_failure(spark, problem, part, table, paths, run_id, started) -> CopyFailed:
+    """Put a chunk that failed alone on record, with its error."""
+    error_id, failing = f"err-{uuid.uuid4()}", part.select("chunk_id").first()[0]
+    _record_error(spark, problem, error_id, table, failing, paths, run_id)
+    failed = _records(part, table, run_id, L.FAILED, started, error_id, retries=1)
+    L.append_ledger(failed, paths.ledger)
+    return CopyFailed(error_id, table.name, failing)
+
+
 def _records(chunks, table, run_id, status, started, error_id=None, retries=0) -> DataFrame:
     """Ledger records; only chunks with a written count have read and written rows."""
     none = F.lit(0).cast("bigint")
@@ -207,14 +278,14 @@ def _records(chunks, table, run_id, status, started, error_id=None, retries=0) -
     )
 
 
-def _record_error(spark, problem, error_id, table, paths, run_id) -> None:
+def _record_error(spark, problem, error_id, table, chunk, paths, run_id) -> None:
     row = {
         "error_id": error_id,
         "run_id": run_id,
         "phase": LOAD_PHASE,
         "object_type": "TABLE",
         "object_name": table.name,
-        "chunk_id": None,
+        "chunk_id": chunk,
         "sql_text": None,
         "database_code": None,
         "message": f"{type(problem).__name__}: {problem}",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,20 +32,25 @@ def replace_rows(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str) -> None:
+def replace_partitions(df: DataFrame, path: str, partition: str) -> int:
     """Overwrite only the partitions that ``df`` holds, so that a rerun of some chunks
     leaves the others alone and never doubles rows.
 
     The rebalance hint brings the rows of a partition together without a small file per
     task, and lets AQE split a partition that holds far more rows than the rest.
+
+    Returns the rows that the write itself has seen, counted behind the last shuffle.
     """
+    seen = Observation()
     (
         df.hint("rebalance", F.col(partition))
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+    return seen.get["rows"]
 
 
 def _file_system(spark: SparkSession, path: str):

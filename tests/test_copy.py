@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,10 +109,11 @@ def test_failure_is_recorded_and_raised(spark, paths):
     with pytest.raises(CopyFailed):
         copy_table(bad, ACCOUNT, paths, "run-1", 10, waves=5)
     got = states(L.read_ledger(spark, paths.ledger, "run-1"))
-    assert [s for *_, s in got] == ["SUCCESS"] * 6 + ["FAILED"] * 2
+    assert [s for *_, s in got] == ["SUCCESS"] * 7 + ["FAILED"]
     assert got[-1][1:3] == (0, 0)
     error = spark.read.parquet(paths.errors).first()
-    assert (error["phase"], error["object_name"]) == ("data-load", "ACCOUNT")
+    assert (error["phase"], error["object_name"], error["chunk_id"]) == ("data-load", "ACCOUNT", "ACCOUNT-000008")
+    assert "broken row" in error["message"]
     assert error["action_category"] == "RETRY_OR_MANUAL_REVIEW"
     failed = L.read_ledger(spark, paths.ledger, "run-1").where("status = 'FAILED'").first()
     assert failed["last_error_id"] == error["error_id"] and failed["retry_count"] == 1
@@ -119,6 +121,67 @@ def test_failure_is_recorded_and_raised(spark, paths):
     assert spark.read.parquet(paths.target).count() == 100
 
 
+@pytest.mark.parametrize("bad", [[1], [55, 71, 93]])
+def test_bad_rows_cost_their_own_chunks_only(spark, paths, bad):
+    """One wave; the copy goes on behind bad chunks as long as it may."""
+    broken = F.when(F.col("ID").isin(bad), F.raise_error(F.lit("broken row")))
+    source = accounts(spark).withColumn("LIMIT", F.coalesce(broken.cast("string"), "LIMIT"))
+    with pytest.raises(CopyFailed, match=f"chunk ACCOUNT-{(bad[0] - 1) // 10 + 1:06d}"):
+        copy_table(source, ACCOUNT, paths, "run-1", 10, most_failures=9)
+    ledger = L.read_ledger(spark, paths.ledger, "run-1")
+    failed = [f"ACCOUNT-{(b - 1) // 10 + 1:06d}" for b in bad]
+    assert [c for c, *_, s in states(ledger) if s == "FAILED"] == failed and ledger.count() == 10
+    assert sorted(r["chunk_id"] for r in spark.read.parquet(paths.errors).collect()) == failed
+    copy_table(accounts(spark), ACCOUNT, paths, "run-1", 10)
+    records = L.read_ledger(spark, paths.ledger, "run-1").where("status = 'SUCCESS'")
+    assert records.count() == 10 and spark.read.parquet(paths.target).count() == 100
+
+
+def test_waves_hold_equal_rows_of_a_sparse_key(spark, paths):
+    """Nearly all keys lie at the end of their span; three waves take a third of the rows each."""
+    keys = [1, *range(1_000_000, 1_000_090)]
+    df = spark.createDataFrame([(k,) for k in keys], "ID long")
+    ledger = copy_table(df, ACCOUNT, paths, "run-1", 10, waves=3)
+    waves = [r["n"] for r in ledger.groupBy("started_at").agg(F.sum("rows_written").alias("n")).collect()]
+    assert len(waves) == 3 and sum(waves) == 91 and max(waves) - min(waves) <= 10
+
+
+def test_counts_of_the_write_and_of_the_target_must_agree(spark, paths, monkeypatch):
+    write = copying.replace_partitions
+    monkeypatch.setattr(copying, "replace_partitions", lambda *a: write(*a) + 1)
+    with pytest.raises(CopyFailed):
+        copy_table(accounts(spark, 20), ACCOUNT, paths, "run-1", 10)
+    error = spark.read.parquet(paths.errors).first()
+    assert "has seen 11 rows, the target holds 10" in error["message"]
+
+
+def test_plan_and_waves_read_one_numbering(spark, paths, tmp_path, monkeypatch):
+    made, read = [], []
+    path = f"{tmp_path}/source"
+    spark.range(200).select(F.format_string("K%03d", F.col("id") * 7 % 200).alias("NAME"), "id").write.parquet(path)
+    init, rows = copying.Numbering.__init__, copying.Numbering.rows
+    monkeypatch.setattr(copying.Numbering, "__init__", lambda self, *a, **k: made.append(self) or init(self, *a, **k))
+
+    def counted(self, first=None, last=None):
+        found = rows(self, first, last)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        pruned = re.search(r"PartitionFilters: \[[^]]*_part#\d+L (?:= \d+|IN \(([\d,]*)\))", plan)
+        read.append((first, last, len((pruned[1] or "0").split(",")) if pruned else None))
+        return found
+
+    monkeypatch.setattr(copying.Numbering, "rows", counted)
+    table = Table("T", keys=(Key("pk", ("NAME",)),))
+    ledger = copy_table(spark.read.parquet(path), table, paths, "run-1", 25, waves=4)
+    assert {s for *_, s in states(ledger)} == {"SUCCESS"} and spark.read.parquet(paths.target).count() == 200
+    copied = spark.read.parquet(paths.target).groupBy("chunk_no").agg(F.min("name"), F.max("name")).orderBy("chunk_no").collect()
+    assert [tuple(r) for r in copied] == [(i + 1, f"K{25 * i:03d}", f"K{25 * i + 24:03d}") for i in range(8)]
+    assert len(made) == 1
+    assert [r[:2] for r in read] == [(None, None), (1, 50), (51, 100), (101, 150), (151, 200)]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(n is not None and n < parts for *_, n in read[1:]), "a wave reads the parts that hold its rows"
+    assert not path_exists(spark, made[0].folder)
+
+
 def test_composite_and_missing_keys(spark, rows, paths, tmp_path):
     df = spark.range(50).select((F.col("id") % 7).cast("string").alias("TENANT"), "id")
     composite = Table("EDGE", keys=(Key("pk", ("TENANT", "id")),))
