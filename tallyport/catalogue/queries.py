@@ -106,6 +106,25 @@ def chunk_plan_dense(spark, folder):
     return chunks.plan_key_ranges(read(spark, folder, "documents"), "documents", "n_chars", 1000, dense=True)
 
 
+def _quantile_plans(spark, folder):
+    """A key of many values, one with gaps, and one whose values are all frequent."""
+    wanted = (("orders", "o_custkey", 500), ("documents", "n_chars", 100), ("lineitem", "l_linenumber", 2000))
+    for name, key, size in wanted:
+        yield chunks.plan_quantiles(read(spark, folder, name), name, key, size, accuracy=10_000_000)
+
+
+def chunk_plan_quantile(spark, folder):
+    """Ranges of equal depth, whatever the spread of the keys."""
+    plans = [p.withColumn("low_key", F.col("low_key").cast("bigint")).withColumn(
+        "high_key", F.col("high_key").cast("bigint")) for p in _quantile_plans(spark, folder)]
+    return validate.union_all(plans)
+
+
+def quantile_balance(spark, folder):
+    """How even those ranges are."""
+    return validate.union_all([chunks.plan_balance(p) for p in _quantile_plans(spark, folder)])
+
+
 def chunk_plan_rownum(spark, folder):
     plan = chunks.plan_row_numbers(
         read(spark, folder, "conversations"), "conversations", ["conv_id", "turn"], 50
@@ -722,6 +741,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_bounds": key_bounds,
     "chunk_plan_range": chunk_plan_range,
     "chunk_plan_dense": chunk_plan_dense,
+    "chunk_plan_quantile": chunk_plan_quantile,
+    "quantile_balance": quantile_balance,
     "chunk_plan_rownum": chunk_plan_rownum,
     "chunk_plan_keyless": chunk_plan_keyless,
     "chunk_plan_auto": chunk_plan_auto,

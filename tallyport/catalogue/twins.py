@@ -115,6 +115,31 @@ def _digest_tree(name: str, rows: str, size: int, fanout: int, most: int = 8) ->
     return ",\n".join(found)
 
 
+def _quantile_plan(table: str, key: str, size: int) -> str:
+    """Cuts at every ``size``-th row in key order; a key at two cuts is cut off on both sides."""
+    return f"""
+select '{table}' as table_name, chunk_no, {_chunk_id(table, "chunk_no")} as chunk_id, '{key}' as column_name,
+       low_key, high_key,
+       if(chunk_no > 0, '{key} >= ' || low_key || ' and {key} <= ' || high_key, '{key} is null') as where_clause,
+       'QUANTILE' as strategy, row_count
+from (
+  with ranked as (
+    select {key} as k, row_number() over (order by {key}) as place, count(*) over () as total
+    from {table} where {key} is not null),
+  cuts as (select k, count(*) as often from ranked where place % {size} = 0 and place < total group by k),
+  ends as (select k, 0 as side from cuts union all select k, -1 from cuts where often > 1)
+  select if(t.{key} is null, 0, 1 + (select count(*) from ends e where (e.k, e.side) < (t.{key}, 0))) as chunk_no,
+         cast(min(t.{key}) as bigint) as low_key, cast(max(t.{key}) as bigint) as high_key, count(*) as row_count
+  from {table} t group by 1)"""
+
+
+def _quantile_plans() -> str:
+    return " union all ".join(
+        [_quantile_plan("orders", "o_custkey", 500), _quantile_plan("documents", "n_chars", 100),
+         _quantile_plan("lineitem", "l_linenumber", 2000)]
+    )
+
+
 def _hits(text: str) -> dict[str, str]:
     plain = f"regexp_replace(lower({text}), '\\s+', ' ', 'g')"
     return {
@@ -353,6 +378,12 @@ select 'documents' as table_name, chunk_no, printf('%s-%06d', 'documents', chunk
        (select count(*) from documents
         where n_chars between low + (chunk_no - 1) * 1000 and low + chunk_no * 1000 - 1) as row_count
 from ranges""",
+        "chunk_plan_quantile": _quantile_plans(),
+        "quantile_balance": f"""
+select table_name, column_name, count(*) as chunks, cast(sum(row_count) as bigint) as row_count,
+       max(row_count) as largest_chunk, max(if(low_key <> high_key, row_count, 0)) as largest_of_several_keys,
+       cast(max(row_count) * 100 * count(*) // sum(row_count) as bigint) as skew_percent
+from ({_quantile_plans()}) where chunk_no > 0 group by 1, 2""",
         "chunk_plan_rownum": f"""
 select chunk_no, {_chunk_id("conversations", "chunk_no")} as chunk_id,
        min(rn) as first_row, max(rn) as last_row,

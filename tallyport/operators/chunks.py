@@ -1,6 +1,6 @@
 """Splitting a table into bounded, restartable pieces.
 
-Three strategies: value ranges of a single whole-number key, row numbers in key order,
+Value ranges of a single key, of equal width or of equal depth; row numbers in key order;
 and physical row positions for tables without a key.
 """
 
@@ -22,6 +22,10 @@ from tallyport.sources.tables import remove_rows
 KEY_RANGE = "NUMERIC_PRIMARY_KEY"
 ROW_NUMBER = "ROW_NUMBER"
 ROW_POSITION = "ROWID"
+QUANTILE = "QUANTILE"
+
+# Cuts of a plan of equal depth that one pass looks for.
+MOST_CUTS = 10_000
 
 # Rows (or chunks) that one task handles at a time where a sequence is split into blocks.
 BLOCK = 10_000
@@ -179,6 +183,110 @@ def _all_ranges(df: DataFrame, key: str, size: int) -> DataFrame:
     return ranges.union(nulls)
 
 
+# --- ranges of equal depth ---------------------------------------------------------
+
+
+def quantile_cuts(df: DataFrame, key: str, size: int, accuracy: int | None = None) -> list[tuple[str, bool]]:
+    """Where ranges of about ``size`` rows end in key order: ``(key as text, whether the key
+    itself belongs to the range)``.
+
+    Keys at the ranks ``size``, ``2 * size`` and so on come from one pass with Spark's mergeable
+    quantile summary.  A rank is wrong by rows / ``accuracy`` at most, by default a
+    twentieth of ``size``; a table of fewer rows than ``accuracy`` is cut exactly.  A key
+    that reaches over two cuts has a range of its own.  The driver receives the cuts, at
+    most ``MOST_CUTS``.
+    """
+    check_size(size)
+    rows = df.agg(F.count(key)).first()[0]
+    cuts = -(-rows // size) - 1
+    if cuts > MOST_CUTS:
+        raise ValueError(f"{rows} rows in chunks of {size} are too many chunks; choose {suggest_size(rows)} or more")
+    if cuts < 1:
+        return []
+    # Half a rank below, so that rounding never reaches the next one.
+    shares = ", ".join(f"{(i * size - 0.5) / rows!r}D" for i in range(1, cuts + 1))
+    name = "`" + key.replace("`", "``") + "`"
+    found = F.expr(f"percentile_approx({name}, array({shares}), {accuracy or max(10_000, 20 * cuts)})")
+    keys = df.agg(F.transform(found, lambda k: k.cast("string"))).first()[0]
+    ends = []
+    for i, k in enumerate(keys):
+        if i and keys[i - 1] == k:
+            continue
+        if i + 1 < cuts and keys[i + 1] == k:
+            ends.append((k, False))
+        ends.append((k, True))
+    return ends
+
+
+def quantile_number(df: DataFrame, key: str, cuts: Sequence[tuple[str, bool]]) -> Column:
+    """Chunk number of a row by the cuts before its key; 0 for a null key.
+
+    A binary search over a constant array, some ten steps a row, without a join.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    # One text each, which Spark folds to an array once.
+    ends = F.split(F.lit(",".join(k for k, _ in cuts)), ",").cast(f"array<{kind}>")
+    whole = F.split(F.lit(",".join(str(int(w)) for _, w in cuts)), ",").cast("array<int>")
+    value = F.col(key)
+
+    def step(at: Column, width: Column) -> Column:
+        spot = at + width
+        end = F.get(ends, spot - 1)
+        behind = (value > end) | ((value == end) & (F.get(whole, spot - 1) == 0))
+        return F.when((spot <= len(cuts)) & behind, spot).otherwise(at)
+
+    widths = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    passed = F.aggregate(F.array(*map(F.lit, widths)), F.lit(0), step) if cuts else F.lit(0)
+    return F.when(value.isNull(), F.lit(0)).otherwise(passed + 1).cast("bigint")
+
+
+def plan_quantiles(
+    df: DataFrame, table: str, key: str, size: int, accuracy: int | None = None, quote: str = ""
+) -> DataFrame:
+    """Chunks of about ``size`` rows each, as ranges of a key of any spread.
+
+    The key is a number, a date or a timestamp.  Bounds are the smallest and largest key that
+    a range holds, so a chunk is read again by its predicate.  Chunk 0 holds null keys.
+    """
+    number = quantile_number(df, key, quantile_cuts(df, key, size, accuracy))
+    name = f"{quote}{key.replace(quote, quote * 2)}{quote}" if quote else key
+    mark = {"date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp"}.get(df.schema[key].dataType.simpleString())
+
+    def said(value: str) -> Column:
+        text = F.col(value).cast("string")
+        return F.concat(F.lit(f"{mark} '"), text, F.lit("'")) if mark else text
+
+    counts = df.groupBy(number.alias("chunk_no")).agg(
+        F.min(key).alias("low_key"), F.max(key).alias("high_key"), F.count(F.lit(1)).alias("row_count")
+    )
+    test = F.concat(F.lit(f"{name} >= "), said("low_key"), F.lit(f" and {name} <= "), said("high_key"))
+    return counts.select(
+        F.lit(table).alias("table_name"),
+        "chunk_no",
+        chunk_id(table, F.col("chunk_no")).alias("chunk_id"),
+        F.lit(key).alias("column_name"),
+        "low_key",
+        "high_key",
+        F.when(F.col("chunk_no") > 0, test).otherwise(F.lit(f"{name} is null")).alias("where_clause"),
+        F.lit(QUANTILE).alias("strategy"),
+        "row_count",
+    )
+
+
+def plan_balance(plan: DataFrame) -> DataFrame:
+    """Per table of a plan: its chunks and rows, the largest chunk, the largest of more than one
+    key, and the largest in percent of the mean."""
+    several = F.when(~F.col("low_key").eqNullSafe(F.col("high_key")), F.col("row_count")).otherwise(0)
+    found = plan.where("chunk_no > 0").groupBy("table_name", "column_name").agg(
+        F.count(F.lit(1)).alias("chunks"),
+        F.sum("row_count").alias("row_count"),
+        F.max("row_count").alias("largest_chunk"),
+        F.max(several).cast("bigint").alias("largest_of_several_keys"),
+    )
+    skew = whole_div(F.col("largest_chunk") * 100 * F.col("chunks"), F.col("row_count"))
+    return found.withColumn("skew_percent", skew)
+
+
 # --- row numbers -------------------------------------------------------------------
 
 

@@ -239,3 +239,64 @@ def test_quoted_key_names(spark):
     df = spark.range(10).withColumnRenamed("id", "order by")
     plan = chunks.plan_key_ranges(df, "T", "order by", 4, quote="`").collect()
     assert [df.where(r["where_clause"]).count() for r in sorted(plan, key=lambda r: r["chunk_no"])] == [4, 4, 2]
+
+
+# --- ranges of equal depth -------------------------------------------------------------
+
+
+def plain_quantiles(keys, size):
+    """Rows by chunk: cuts at every ``size``-th key; a key at two cuts is a chunk of its own."""
+    known = sorted(k for k in keys if k is not None)
+    cuts = [known[i - 1] for i in range(size, len(known), size)]
+    ends = sorted({(c, 0) for c in cuts} | {(c, -1) for c in cuts if cuts.count(c) > 1})
+    found = {}
+    for k in keys:
+        found.setdefault(0 if k is None else 1 + sum(e < (k, 0) for e in ends), []).append(k)
+    return {no: (min(v), max(v), len(v)) if no else (None, None, len(v)) for no, v in found.items()}
+
+
+@pytest.mark.parametrize("size", [1, 7, 50, 1000])
+def test_quantiles_equal_brute_force(spark, size):
+    """Far apart, negative, null and very frequent keys."""
+    keys = [None] * 9 + [-(10**15), 10**15, *range(1000, 1100), *range(40), *[5] * 120, *[7] * 60, -3, -3]
+    plan = chunks.plan_quantiles(keyed(spark, keys).repartition(4), "t", "k", size)
+    got = {r["chunk_no"]: (r["low_key"], r["high_key"], r["row_count"]) for r in plan.collect()}
+    assert got == plain_quantiles(keys, size)
+    df = keyed(spark, keys)
+    for r in plan.limit(12).collect():
+        assert df.where(r["where_clause"]).count() == r["row_count"]
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,3)", "date", "timestamp_ntz", "smallint"])
+def test_quantiles_of_other_keys(spark, kind):
+    value = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")) if kind in ("date", "timestamp_ntz") else F.col("id") / 4 if kind in ("double", "decimal(12,3)") else F.col("id")
+    df = spark.range(200).select(value.cast(kind).alias("k"))
+    plan = chunks.plan_quantiles(df, "t", "k", 30, quote="`").orderBy("chunk_no").collect()
+    assert [r["row_count"] for r in plan] == [30] * 6 + [20]
+    assert [df.where(r["where_clause"]).count() for r in plan] == [30] * 6 + [20]
+
+
+def test_quantile_plans_of_little_or_too_much(spark):
+    df = keyed(spark, [])
+    assert chunks.plan_quantiles(df, "t", "k", 10).count() == 0
+    nulls = chunks.plan_quantiles(keyed(spark, [None, None]), "t", "k", 10).collect()
+    assert [(r["chunk_no"], r["where_clause"], r["row_count"]) for r in nulls] == [(0, "k is null", 2)]
+    assert chunks.plan_quantiles(keyed(spark, [4, 4, 4]), "t", "k", 1).count() == 1
+    with pytest.raises(ValueError, match="too many chunks"):
+        chunks.quantile_cuts(spark.range(100_000).withColumnRenamed("id", "k"), "k", 2)
+    with pytest.raises(ValueError):
+        chunks.plan_quantiles(df, "t", "k", 0)
+
+
+def test_a_summary_is_nearly_even_and_frequent_keys_stand_alone(spark):
+    """Cubes of numbers, a third of them one key, and a summary much smaller than the table."""
+    key = F.when(F.col("id") % 3 == 0, 10**6).otherwise(F.col("id") * F.col("id") * F.col("id"))
+    df = spark.range(300_000).select(key.alias("k"))
+    plan = chunks.plan_quantiles(df, "t", "k", 3000, accuracy=2000)
+    alone = plan.where("low_key = high_key").collect()
+    assert [(r["low_key"], r["row_count"]) for r in alone if r["row_count"] > 1] == [(10**6, 100_001)]
+    even = chunks.plan_balance(plan).first()
+    assert even["row_count"] == 300_000 and even["largest_chunk"] == 100_001
+    assert 2700 <= even["largest_of_several_keys"] <= 3300 and 66 <= even["chunks"] <= 72
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in text and "Join" not in text and "Window" not in text and text.count("Exchange") == 1
