@@ -34,7 +34,7 @@ from tallyport.operators.quality import RequiredColumn
 from tallyport.plans import migrate, report, validate
 from tallyport.runtime import work_path
 from tallyport.sources.tables import scan, scan_key_range, table_row_counts
-from tallyport.specs import ForeignKey
+from tallyport.specs import ForeignKey, Table
 
 TEXT_PATTERNS = {
     **VENDOR_SQL_PATTERNS,
@@ -688,6 +688,52 @@ def full_load(spark, folder):
     return migrate.full_load(sources, {"orders": ORDERS, "customer": CUSTOMER}, root, run_id, 5000).validations
 
 
+def load_existing(spark, folder):
+    """Line items into a table that holds rows: refused first, with a report, then truncated and
+    loaded anew; their composite reference is checked as MATCH FULL."""
+    root = work_path(spark, "load-existing")
+    columns = ["l_orderkey", "l_linenumber", "l_partkey"]
+    whole = read(spark, folder, "lineitem").select(*columns)
+    key = ForeignKey("fk_line", "lineitem", LINE_KEY, "lines", LINE_KEY, match="full")
+    tables = {"lineitem": Table("lineitem", foreign_keys=(key,))}
+    parents = {"lines": whole}
+    migrate.load_existing({"lineitem": whole}, tables, root, "first", 20_000, outside_parents=parents)
+    sources = {"lineitem": broken_line_numbers(spark, folder).select(*columns)}
+    try:
+        migrate.load_existing(sources, tables, root, "refused", 20_000, outside_parents=parents)
+    except migrate.TargetNotEmpty:
+        pass
+    report_rows = spark.read.json(f"{root}/report/refused-report-json")
+    refused = report_rows.select("name", "status", F.col("object").alias("object_name"), "message")
+    again = migrate.load_existing(
+        sources, tables, root, "again", 20_000, migrate.TRUNCATE, outside_parents=parents
+    )
+    return refused.unionByName(again.validations)
+
+
+def report_files(spark, folder):
+    """The files of a report, read back: all records from JSON and from CSV, and the exclusions."""
+    path = work_path(spark, "report")
+    decisions = excluded_dependents(spark, folder).select(
+        F.lit("ROW").alias("object_type"), F.col("item").alias("object_name"), "status", "reason"
+    )
+    findings = required_column_nulls(spark, folder)
+    report.write_report(path, "run", validation_suite(spark, folder), findings=findings, decisions=decisions)
+    kinds = ", ".join(f"{c} string" for c in report.REPORT_COLUMNS)
+    records = [
+        spark.read.schema(kinds).json(f"{path}/run-report-json"),
+        report.read_csv(spark, f"{path}/run-report-csv", kinds),
+    ]
+    listed = report.read_csv(spark, f"{path}/run-exclusions-csv", ", ".join(f"{c} string" for c in report.EXCLUSION_COLUMNS))
+    files = [df.select(F.lit(kind).alias("file"), "record_type", "name", "status", "object", "message")
+             for kind, df in zip(("json", "csv"), records, strict=True)]
+    excluded = listed.select(
+        F.lit("exclusions").alias("file"), F.lit("").alias("record_type"), F.col("object_name").alias("name"), "status",
+        F.col("object_type").alias("object"), F.col("reason").alias("message"),
+    )
+    return validate.union_all([*files, excluded])
+
+
 # --- functions ---------------------------------------------------------------------
 
 
@@ -795,6 +841,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "status_rollup": status_rollup,
     "report_rows": report_rows,
     "full_load": full_load,
+    "load_existing": load_existing,
+    "report_files": report_files,
     "canonical_text": canonical_text,
     "text_digests": text_digests,
     "bytes_text": bytes_text,

@@ -16,6 +16,7 @@ _ORDER_COLUMNS = {
     "o_orderdate": "time",
     "o_orderpriority": "text",
 }
+_LINE_KEY_COLUMNS = {"l_orderkey": "number", "l_linenumber": "number", "l_partkey": "number"}
 _EVENT_COLUMNS = {
     "event_id": "number", "ts": "time", "user_id": "number",
     "event_type": "text", "value": "cents", "props": "text",
@@ -756,6 +757,35 @@ from (select 'orders' as t, least(100, (select count(*) from orders)) as n
 union all select 'duplicate-key', 'PASS', 'orders.pk_orders', 'duplicateGroups=0'
 union all select 'duplicate-key', 'PASS', 'customer.pk_customer', 'duplicateGroups=0'
 union all select 'foreign-key-orphans', 'PASS', 'orders.fk_customer', 'orphans=0'""",
+        "load_existing": f"""
+with {_BROKEN_LINES},
+marked as (
+  select l_orderkey is not null and l_linenumber is not null and not exists (
+           select 1 from lineitem p where p.l_orderkey = c.l_orderkey and p.l_linenumber = c.l_linenumber)
+         or (l_orderkey is null) <> (l_linenumber is null) as bad
+  from broken_lines c),
+n as (select count(*) as n from lineitem)
+select 'run' as name, 'FAIL' as status, 'refused' as object_name,
+       'TargetNotEmpty: target lineitem contains ' || n || ' rows' as message from n
+union all select 'row-count', 'PASS', 'lineitem', 'source=' || n || ' target=' || n from n
+union all select 'checksum', 'PASS', 'lineitem', 'source=' || d || ' target=' || d
+from (select {_digest_text("broken_lines", _LINE_KEY_COLUMNS)} as d)
+union all select 'sample-row', 'PASS', 'lineitem',
+       'Compared up to 100 rows. sourceRows=' || least(100, n) || ' targetRows=' || least(100, n) from n
+union all select 'target-foreign-key-orphans', case when count(*) = 0 then 'PASS' else 'FAIL' end, 'lineitem.fk_line',
+       'orphans=' || count(*) from marked where bad""",
+        "report_files": f"""
+with {_ORDER_SAMPLES}, {_BROKEN_ORDERS},
+suite as ({_validation_suite()}),
+findings as ({_required_nulls()}),
+decisions as ({_EXCLUDED_DEPENDENTS}),
+records as (
+  select 'VALIDATION' as record_type, name, status, object_name as object, message from suite
+  union all select 'READINESS', code, severity, object_name,
+         description || ' | Column: ' || column_name || ' | Rows: ' || cast(bad_rows as varchar) from findings
+  union all select 'EXCLUSION', item, status, 'ROW', reason from decisions)
+select file, records.* from records, (values ('json'), ('csv')) as f(file)
+union all select 'exclusions', '', item, status, 'ROW', reason from decisions""",
         "canonical_text": f"select event_id, {_row_text(_EVENT_COLUMNS)} as row_text from events",
         "text_digests": "select doc_id, md5(text) as md5_hex, sha256(text) as sha256_hex from documents",
         "bytes_text": """

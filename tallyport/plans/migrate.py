@@ -20,10 +20,12 @@ from tallyport.operators.quality import EXCLUDED_PARENT, excluded_parent_finding
 from tallyport.plans.report import FINDING_SCHEMA, STRATEGY_COLUMNS, findings_frame, write_report
 from tallyport.plans.validate import final_status, stop_flag, union_all, validate_table
 from tallyport.runtime import settle
-from tallyport.sources.tables import path_exists, remove_rows, require_empty
+from tallyport.sources.tables import path_exists, remove_rows
 from tallyport.specs import Table
 
 REQUIRE_EMPTY, TRUNCATE = "REQUIRE_EMPTY", "TRUNCATE_EXISTING"
+#: Rows of another run are leftovers of this library's own and go.
+REPLACE = TRUNCATE
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,10 @@ class StopBeforeCopy(RuntimeError):
     """A finding asks to stop; nothing was copied."""
 
 
+class TargetNotEmpty(ValueError):
+    """Target tables that must be empty hold rows; nothing was copied."""
+
+
 def paths_for(root: str, name: str) -> CopyPaths:
     """Target folder of a table below ``root``; all tables share ledger and errors."""
     return CopyPaths(f"{root}/data/{name}", f"{root}/ledger", f"{root}/errors")
@@ -69,6 +75,7 @@ def full_load(
     converters: Mapping[type, Converter] = DEFAULT_CONVERTERS,
     chunk_sizes: Mapping[str, int] | None = None,
     decisions: DataFrame | None = None,
+    target_policy: str = REPLACE,
 ) -> Outcome:
     """Copy parents before children, validate each table, and write the report.
 
@@ -76,24 +83,23 @@ def full_load(
     copied but referred to.  Before any row is copied, a finding that asks to stop does so, as does a
     foreign key whose parent is excluded or not given.  The report is written whatever
     the result, with the findings, exclusions, errors and chunk strategies there are.
-    Rows that another run left in a table's folder are removed first; a restart keeps its own.
-    ``chunk_sizes`` gives single tables a size of their own, ``waves`` and ``converters``
+    By ``target_policy``, rows that another run left in a table's folder are removed first or
+    forbid the run; a restart keeps its own.  ``chunk_sizes`` gives single tables a size of their own, ``waves`` and ``converters``
     go to each copy.
     """
     spark = next(iter(sources.values())).sparkSession
     included = _included(tables)
     decisions = _table_decisions(spark, tables) if decisions is None else decisions
-    findings = _with_parent_findings(spark, included, sources, tables, outside_parents or {}, findings)
     ledger = paths_for(root, "").ledger
     validations = None
     try:
+        findings = _with_parent_findings(spark, included, sources, tables, outside_parents or {}, findings)
         if findings is not None and stop_flag(findings).first()["should_stop"]:
             raise StopBeforeCopy("a finding asks to stop; see the findings")
         edges = [key for table in included.values() for key in table.foreign_keys]
         order = parent_first(list(included), edges)
         if not _is_restart(spark, ledger, run_id):
-            for name in included:
-                remove_rows(spark, paths_for(root, name).target)
+            _clear_targets(spark, root, included, target_policy)
         for name in order:
             size = (chunk_sizes or {}).get(name, chunk_size)
             copy_table(
@@ -126,6 +132,18 @@ def full_load(
     return Outcome(status, validations, read_ledger(spark, ledger, run_id))
 
 
+def _clear_targets(spark: SparkSession, root: str, included: Mapping[str, Table], policy: str) -> None:
+    """Remove the rows of all targets, or refuse the run if any has some: all of them are named
+    before anything is removed."""
+    if policy == REQUIRE_EMPTY:
+        held = {n: spark.read.parquet(p) for n in included if path_exists(spark, p := paths_for(root, n).target)}
+        filled = [(n, df.count()) for n, df in held.items() if not df.limit(1).isEmpty()]
+        if filled:
+            raise TargetNotEmpty("; ".join(f"target {n} contains {rows} rows" for n, rows in filled))
+    for name in included:
+        remove_rows(spark, paths_for(root, name).target)
+
+
 _RESULT = "name string, status string, object_name string, message string"
 
 
@@ -195,21 +213,14 @@ def load_existing(
 ) -> Outcome:
     """Load into tables that exist: they must be empty, or are truncated first.
 
-    A run that its ledger already knows is a restart and keeps what it has copied.
-    Foreign keys are checked by the target's own rules, MATCH FULL included.
+    A run that is refused leaves its report.  A run that its ledger already knows is a restart and
+    keeps what it has copied.  Foreign keys are checked by the target's own rules, MATCH FULL
+    included.
     """
     if target_policy not in (REQUIRE_EMPTY, TRUNCATE):
         raise ValueError(f"unknown target policy {target_policy}")
-    spark = next(iter(sources.values())).sparkSession
-    if not _is_restart(spark, paths_for(root, "").ledger, run_id):
-        for name in _included(tables):
-            path = paths_for(root, name).target
-            if target_policy == REQUIRE_EMPTY:
-                require_empty(spark, path)
-            else:
-                remove_rows(spark, path)
     return full_load(
-        sources, tables, root, run_id, chunk_size, orphan_check=TARGET_ORPHANS, **options
+        sources, tables, root, run_id, chunk_size, orphan_check=TARGET_ORPHANS, target_policy=target_policy, **options
     )
 
 

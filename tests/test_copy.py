@@ -327,8 +327,14 @@ def test_load_into_existing_tables(spark, tmp_path):
     assert outcome.status == "FAIL"
     orphans = outcome.validations.where("name = 'target-foreign-key-orphans'").first()
     assert (orphans["status"], orphans["message"]) == ("FAIL", "orphans=2")
-    with pytest.raises(ValueError, match="contains"):
+    before = spark.read.parquet(f"{root}/data/ACCOUNT").count()
+    with pytest.raises(migrate.TargetNotEmpty, match="target CUSTOMER contains .*target ACCOUNT contains|target ACCOUNT contains .*target CUSTOMER contains"):
         migrate.load_existing(sources, tables, root, "run-2", 20)
+    # the refusal is on record, and nothing was touched
+    refused = spark.read.json(f"{root}/report/run-2-report-json").collect()
+    assert [(r["name"], r["status"], r["object"]) for r in refused] == [("run", "FAIL", "run-2")]
+    assert "contains" in refused[0]["message"] and "TargetNotEmpty" in refused[0]["message"]
+    assert spark.read.parquet(f"{root}/data/ACCOUNT").count() == before
     # a run that the ledger knows goes on instead
     assert migrate.load_existing(full, tables, root, "run-1", 20).status == "FAIL"
     again = migrate.load_existing(sources, tables, root, "run-3", 20, migrate.TRUNCATE)
@@ -339,6 +345,19 @@ def test_load_into_existing_tables(spark, tmp_path):
         migrate.load_existing(sources, tables, root, "run-4", 20, "OTHER")
 
 
+def test_a_parent_that_cannot_be_read_leaves_a_report(spark, tmp_path):
+    from dataclasses import replace
+
+    sources, tables = shop(spark)
+    tables["CUSTOMER"] = replace(tables["CUSTOMER"], excluded=True)
+    broken = sources["CUSTOMER"].columns[0]
+    sources["CUSTOMER"] = sources["CUSTOMER"].withColumn(broken, F.raise_error(F.lit("lost")).cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        migrate.full_load(sources, tables, f"{tmp_path}/a", "r", 50)
+    report = spark.read.json(f"{tmp_path}/a/report/r-report-json").collect()
+    assert ("run", "FAIL") in [(r["name"], r["status"]) for r in report]
+
+
 def test_excluded_tables_and_outside_parents(spark, tmp_path):
     from dataclasses import replace
 
