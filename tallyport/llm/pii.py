@@ -3,9 +3,10 @@
 ``scan`` reads every text once.  It finds the base spans (mail addresses, IPv4 addresses,
 card and phone numbers with their checks) and the candidate tokens: words with a digit or
 an ``@``, where neighbouring words that blanks alone part and that are parts of one number, as
-cards and phones are written, make one token.  A token is an instance; its patterns are the
-word before it and the two words before it, each with the classes of signs its (first) word is
-made of.  Tokens that overlap base spans are the seeds.
+cards and phones are written, make one token, up to the digits that such a number has.  A
+token is an instance; its patterns are the word before it, the two words before it, the word
+after it, and the words on both sides, each with the classes of signs its (first) word is made
+of.  Tokens that overlap base spans are the seeds.
 
 ``good_patterns`` scores the graph of patterns and instances in rounds of Spark
 aggregations: a pattern's confidence in a kind is the share of its occurrences whose instances
@@ -100,21 +101,38 @@ _FIGURE = re.compile(rb"[0-9]")
 _LETTER = re.compile(rb"[A-Za-z@\x80-\xff]")
 
 
+#: The most digits of a number: of one with a plus sign before it, and of any other.
+_MOST_PHONE, _MOST_DIGITS = 15, 19
+
+
 def _goes_on(word: bytes) -> bool:
-    """Whether a word ends in a part of a number, by itself or after a sign such as a colon."""
+    """Whether a word ends in a part of a number, by itself or after a sign such as a colon.
+    Parts hold one dot at most: an address is whole."""
     before = word.rstrip(_PARTS)
-    return bool(_FIGURE.search(word, len(before))) and not _LETTER.match(before[-1:]) and b"@" not in before
+    part = word[len(before) :]
+    whole = not _FIGURE.search(part) or part.strip(b".").count(b".") > 1
+    return not whole and not _LETTER.match(before[-1:]) and b"@" not in before
 
 
 def _joins(word: bytes) -> bool:
     """Whether a word is a part of a number, but for signs after it."""
     after = word.lstrip(_PARTS)
-    return bool(_FIGURE.search(word[: len(word) - len(after)])) and not after.strip(_EDGE)
+    part = word[: len(word) - len(after)]
+    return bool(_FIGURE.search(part)) and part.strip(b".").count(b".") < 2 and not after.strip(_EDGE)
+
+
+def _digits(word: bytes) -> int:
+    return len(_FIGURE.findall(word))
 
 
 def _last_part(raw: bytes, starts: np.ndarray, ends: np.ndarray, i: int) -> int:
-    """The last word of the number that begins in word ``i``."""
+    """The last word of the number that begins in word ``i``: parts are taken as long as the number
+    has no more digits than its kind."""
     last = i
+    first = raw[starts[i] : ends[i]]
+    part = first[len(first.rstrip(_PARTS)) :]
+    plus = first[: len(first) - len(part)].endswith(b"+")
+    held, most = _digits(part), _MOST_PHONE if plus else _MOST_DIGITS
     while _goes_on(raw[starts[last] : ends[last]]):
         k, at = last + 1, ends[last]
         # Signs between blanks belong to the number if another part follows.
@@ -122,6 +140,9 @@ def _last_part(raw: bytes, starts: np.ndarray, ends: np.ndarray, i: int) -> int:
             k, at = k + 1, ends[k]
         if k == len(starts) or raw[at : starts[k]].strip(b" ") or not _joins(raw[starts[k] : ends[k]]):
             break
+        held += _digits(raw[starts[k] : ends[k]])
+        if held > most:
+            break
         last = k
     return last
 
@@ -134,6 +155,8 @@ def _candidates(text: str, raw: bytes, spans: list[tuple[int, int, int]]) -> lis
     marked = np.concatenate([[0], np.cumsum(_MARKED[data])])
     point = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     out, last = [], -1
+    # Spans in the order of their start; those that may still meet a token are open.
+    waiting, open_ = sorted(spans, key=lambda s: s[1], reverse=True), []
     for i in np.flatnonzero(marked[words.ends] > marked[words.starts]).tolist():
         if i <= last:
             continue
@@ -146,8 +169,9 @@ def _candidates(text: str, raw: bytes, spans: list[tuple[int, int, int]]) -> lis
         if start == end:
             continue
         signs = int(np.bitwise_or.reduce(_SIGNS[data[start:end]]))
-        near = [int(words.hashes[j]) if j >= 0 else 0 for j in (i - 1, i - 2)]
-        one, two = mixed(np.array([near[0] ^ signs, (near[0] * 3 + near[1] * 5 + signs + 1) & ((1 << 64) - 1)], np.uint64))
+        left, further, right = (int(words.hashes[j]) if 0 <= j < len(words.hashes) else 0 for j in (i - 1, i - 2, last + 1))
+        places = [left ^ signs, left * 3 + further * 5 + signs + 1, right * 7 + signs + 2, left * 11 + right * 13 + signs + 3]
+        patterns = mixed(np.array([p & ((1 << 64) - 1) for p in places], np.uint64)).view(np.int64)
         instance = words.hashes[i : i + 1]
         if last > i:
             end = int(words.ends[last])
@@ -156,10 +180,13 @@ def _candidates(text: str, raw: bytes, spans: list[tuple[int, int, int]]) -> lis
             for j in range(i + 1, last + 1):
                 instance = mixed(instance * np.uint64(0x9E3779B97F4A7C15)) ^ words.hashes[j]
         first, final = int(point[start]), int(point[end])
-        kind = next((k for k, s, e in spans if s < final and first < e), -1)
+        while waiting and waiting[-1][1] < final:
+            open_.append(waiting.pop())
+        open_ = [s for s in open_ if s[2] > first]
+        kind = min((k for k, s, e in open_ if s < final), default=-1)
         out.append(
             {"kind": kind, "start": first, "end": final, "instance": int(instance.view(np.int64)[0]),
-             "patterns": [int(one.view(np.int64)), int(two.view(np.int64))]}
+             "patterns": patterns.tolist()}
         )
     return out
 

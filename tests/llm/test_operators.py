@@ -245,6 +245,80 @@ def test_patterns_find_unseen_numbers(documents):
     assert pii.find(docs.limit(0)).count() == 0
 
 
+def test_numbers_end_at_the_digits_of_their_kind():
+    def tokens(text):
+        return [(t["start"], t["end"]) for t in pii._candidates(text, text.encode(), sorted(pii.base_spans(text)))]
+
+    assert tokens("+1 212 555 0100 12 30 45 2024 11") == [(0, 21), (22, 32)]
+    assert tokens("1234 5678 9012 3456 7890 1") == [(0, 19), (20, 26)]
+    assert tokens("10.0.0.1 10.0.0.2 7 8") == [(0, 8), (9, 17), (18, 21)]
+    many = " ".join(f"10.{i // 250}.{i % 250}.1" for i in range(8000))
+    assert len(tokens(many)) == 8000
+
+
+def plain_good_patterns(tokens, support, confidence, rounds):
+    """The pattern-instance graph in plain dictionaries."""
+    n = {}
+    for t in tokens:
+        for p in t["patterns"]:
+            n[p, t["instance"], t["kind"]] = n.get((p, t["instance"], t["kind"]), 0) + 1
+    total = {}
+    for (p, _, _), c in n.items():
+        total[p] = total.get(p, 0) + c
+    known, good = {}, {}
+    for _ in range(rounds):
+        mass, different = {}, {}
+        for (p, i, k), c in n.items():
+            for kind, score in [(k, 1.0)] if k >= 0 else known.get(i, []):
+                mass[p, kind] = mass.get((p, kind), 0) + c * score
+                different[p, kind] = different.get((p, kind), 0) + 1
+        good = {pk: m / total[pk[0]] for pk, m in mass.items() if different[pk] >= support and m / total[pk[0]] >= confidence}
+        missed = {}
+        for p, i, k in n:
+            for (q, kind), sure in good.items() if k < 0 else ():
+                if q == p:
+                    missed[i, kind] = missed.get((i, kind), 1.0) * max(1 - sure, 1e-6)
+        known = {}
+        for (i, kind), m in missed.items():
+            if 1 - m >= confidence:
+                known.setdefault(i, []).append((kind, 1 - m))
+    return sorted(good)
+
+
+def planted(draw, count):
+    """Card numbers between words that tell of them, unseen ones (they fail Luhn) too, and decoys:
+    numbers of 16 digits elsewhere."""
+    def number(good):
+        while True:
+            digits = "".join(draw.choices("0123456789", k=16))
+            if pii.luhn(digits) == good:
+                return digits
+
+    words = ["ala", "bel", "cor", "dun", "eth", "fim", "gor", "hul"]
+    rows = []
+    for i in range(count):
+        kind = draw.choice(["seed"] * 20 + ["unseen"] + ["decoy"] * 5)
+        said = number(kind == "seed")
+        before, after = " ".join(draw.choices(words, k=4)), " ".join(draw.choices(words, k=4))
+        left, right = draw.choice([("card:", ""), ("", "expires"), ("paid with", "expires")]) if kind != "decoy" else ("", "")
+        rows.append((i, f"{before} {left} {said} {right} {after}", kind, said))
+    return rows
+
+
+def test_unseen_numbers_are_found_and_decoys_left_alone(documents):
+    rows = planted(random.Random(6), 1200)
+    docs = documents([(d, t) for d, t, _, _ in rows])
+    scanned = pii.scan(docs)
+    tokens = [t for r in scanned.collect() for t in r["tokens"]]
+    good = pii.good_patterns(scanned).collect()
+    assert sorted((r["pattern"], r["kind"]) for r in good) == plain_good_patterns(tokens, pii.SUPPORT, pii.CONFIDENCE, pii.ROUNDS)
+    spans = {r["doc_id"]: [(s["start"], s["end"]) for s in r["spans"]] for r in pii.find(docs).collect()}
+    found = {k: [spans[d] == [(t.index(n), t.index(n) + 16)] for d, t, kind, n in rows if kind == k] for k in ("seed", "unseen")}
+    wrong = [spans[d] for d, _, kind, _ in rows if kind == "decoy" and spans[d]]
+    assert all(found["seed"]) and not wrong
+    assert len(found["unseen"]) > 30 and np.mean(found["unseen"]) >= 0.95
+
+
 def test_patterns_find_whole_numbers_with_blanks(documents):
     def card(i):
         body = f"4000 00{i:02d} 1234 {i * 7 % 1000:03d}"
