@@ -35,7 +35,8 @@ from tallyport.llm.order import FILE_BITS, with_rows
 from tallyport.llm.words import BLANK_WORDS, find_words, mixed, pieces, powers, text_bytes
 from tallyport.runtime import default_partitions
 
-LEAST = 8
+#: One edit among fewer words leaves less than four fifths of them alike.
+LEAST = 5
 #: Bytes of text for each bucket of keys: some two million keys.
 BUCKET_TEXT = 16_000_000
 _LENGTH = np.uint64(0xD6E8FEB86659FD93)
