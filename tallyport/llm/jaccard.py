@@ -54,6 +54,8 @@ from tallyport.runtime import default_partitions, settle_table
 SCAN_COST = 8
 #: Elements in one cell of a large component.
 CELL = 1 << 17
+#: Sets that a task compares with all others before it scans lists.
+HUBS = 32
 #: Sets of large components list their keys again if less than this share of them is left.
 LEFT = 0.9
 
@@ -360,46 +362,52 @@ def _find(roots: list[int], i: int) -> int:
     return i
 
 
-def linked_groups(sets: list[np.ndarray], sides: np.ndarray, rule: Rule) -> list[int]:
+def linked_groups(sets: list[np.ndarray], rule: Rule) -> list[int]:
     """For each set of a task the number of another, the same for all sets joined by links.
 
-    Each set scans the inverted lists of its elements for overlaps with the sets before it;
-    pairs that are joined already are not counted again, and of two different cells only pairs
-    across matter.
+    First some hubs are compared with all sets at once: near copies of one text are joined by
+    their first.  Then each set outside the largest group scans the inverted lists of its
+    elements for overlaps with all others, so every pair of sets that are not yet joined is looked at.
     """
     size = np.array([len(s) for s in sets])
     flat = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(sets)), size)
-    order = np.argsort(flat, kind="stable")
-    ranked, posts = flat[order], owner[order]
-    begin = np.searchsorted(ranked, flat)
-    place = np.empty(len(flat), np.int64)
-    place[order] = np.arange(len(flat))
-    first = np.concatenate([[0], np.cumsum(size)])
     roots = list(range(len(sets)))
-    across = sides.min() != sides.max()
-    for i in range(1, len(sets)):
-        low = begin[first[i] : first[i + 1]]
-        count = place[first[i] : first[i + 1]] - low  # members of the lists before this set
-        total = int(count.sum())
-        if not total:
-            continue
-        at = np.arange(total) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
-        both = np.bincount(posts[at], minlength=i)[:i]
-        union = size[:i] + size[i] - both
-        hits = np.flatnonzero(100 * both >= rule.percent * union)
-        for j in hits.tolist():
-            if across and sides[i] == sides[j]:
-                continue
+    joined = np.zeros(len(sets), bool)
+
+    def join(i: int, both: np.ndarray) -> np.ndarray:
+        linked = 100 * both >= rule.percent * (size + size[i] - both)
+        linked[i] = True
+        for j in np.flatnonzero(linked).tolist():
             x, y = _find(roots, i), _find(roots, j)
             roots[x] = y
+        return linked
+
+    for _ in range(HUBS):
+        loose = np.flatnonzero(~joined)
+        if not len(loose):
+            break
+        hub = sets[loose[0]]
+        at = np.minimum(np.searchsorted(hub, flat), len(hub) - 1)
+        joined |= join(int(loose[0]), np.bincount(owner[hub[at] == flat], minlength=len(sets)))
+    groups = np.array([_find(roots, i) for i in range(len(sets))])
+    outside = np.flatnonzero(groups != np.bincount(groups).argmax()) if len(sets) else groups
+    if not len(outside):
+        return groups.tolist()
+    order = np.argsort(flat, kind="stable")
+    ranked, posts = flat[order], owner[order]
+    for i in outside.tolist():
+        begin = np.searchsorted(ranked, sets[i])
+        count = np.searchsorted(ranked, sets[i], "right") - begin
+        at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
+        join(i, np.bincount(posts[at], minlength=len(sets)))
     return [_find(roots, i) for i in range(len(sets))]
 
 
 def _check(frame: pd.DataFrame, rule: Rule) -> pd.DataFrame:
     """Edges from the smallest vertex of each group of a task to its others."""
     sets = [np.frombuffer(e, np.uint64) for e in frame["elements"]]
-    held = pd.DataFrame({"b": frame["vertex"], "group": linked_groups(sets, frame["cell"].to_numpy(), rule)})
+    held = pd.DataFrame({"b": frame["vertex"], "group": linked_groups(sets, rule)})
     held["a"] = held.groupby("group")["b"].transform("min")
     return held.loc[held["a"] != held["b"], ["a", "b"]]
 
@@ -441,7 +449,7 @@ def links(sets: DataFrame, rule: Rule) -> DataFrame:
     others = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other")
     held = sets.select("row", "vertex", "elements").join(dealt, "row").select("*", others)
     pairs = held.select(
-        "group", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"), "cell", "vertex", "elements"
+        "group", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"), "vertex", "elements"
     )
     return pairs.groupBy("group", "i", "j").applyInPandas(_checker(rule), "a binary, b binary")
 
