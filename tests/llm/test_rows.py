@@ -90,3 +90,15 @@ def test_operators_that_give_rows_back_agree(spark, many_files, split):
         ])
     assert found[0] == found[1]
     assert len(found[0][1]) < 1000
+
+
+def test_large_components_keep_their_order(spark, tmp_path):
+    """Whole numbers beyond 31 bits; a product that no long holds raises."""
+    path = f"{tmp_path}/vectors"
+    rows = [(0, [1.0, 0.0]), (1, [3e6, 0.0]), (2, [4e6, 0.0]), (3, [2e6, 5.0])]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(path)
+    vectors = spark.read.parquet(path)
+    got = topk.search(topk.build_index(vectors), vectors, F.col("vec_id") == 0, k=3).collect()
+    assert [(r["vec_id"], r["score"]) for r in got] == [(2, 4096000000 * 1024), (1, 3072000000 * 1024), (3, 2048000000 * 1024)]
+    with pytest.raises(Exception, match="cannot be a long"):
+        topk.search(topk.build_index(vectors), vectors, F.col("vec_id") == 2, k=3).collect()
