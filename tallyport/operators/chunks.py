@@ -15,7 +15,7 @@ from pyspark.sql.utils import AnalysisException
 from pyspark.sql.window import Window
 
 from tallyport.functions.canon import split_columns
-from tallyport.runtime import default_partitions, work_path
+from tallyport.runtime import default_partitions, settle_table, work_path
 from tallyport.sources.tables import remove_rows
 
 # Strategy names as they appear in chunk reports.
@@ -24,8 +24,10 @@ ROW_NUMBER = "ROW_NUMBER"
 ROW_POSITION = "ROWID"
 QUANTILE = "QUANTILE"
 
-# Cuts of a plan of equal depth that one pass looks for.
+# Cuts of a plan of equal depth that one pass with a summary looks for, and the entries that such
+# a summary may hold in one task.  Plans that need more count every key instead.
 MOST_CUTS = 10_000
+MOST_ENTRIES = 20 * MOST_CUTS
 
 # Rows (or chunks) that one task handles at a time where a sequence is split into blocks.
 BLOCK = 10_000
@@ -247,8 +249,20 @@ def plan_quantiles(
 
     The key is a number, a date or a timestamp.  Bounds are the smallest and largest key that
     a range holds, so a chunk is read again by its predicate.  Chunk 0 holds null keys.
+
+    Up to ``MOST_CUTS`` cuts and an ``accuracy`` of ``MOST_ENTRIES``, the cuts are those of
+    :func:`quantile_cuts`.  Beyond, keys are counted and cut at their exact ranks, by as many
+    tasks as there are; the driver receives two counts.
     """
-    number = quantile_number(df, key, quantile_cuts(df, key, size, accuracy))
+    check_size(size)
+    rows, known = df.agg(F.count(F.lit(1)), F.count(key)).first()
+    if -(-known // size) - 1 > MOST_CUTS or (accuracy or 0) > MOST_ENTRIES:
+        counts = _exact_ranges(df, key, size, known, rows - known)
+    else:
+        number = quantile_number(df, key, quantile_cuts(df, key, size, accuracy))
+        counts = df.groupBy(number.alias("chunk_no")).agg(
+            F.min(key).alias("low_key"), F.max(key).alias("high_key"), F.count(F.lit(1)).alias("row_count")
+        )
     name = f"{quote}{key.replace(quote, quote * 2)}{quote}" if quote else key
     mark = {"date": "date", "timestamp": "timestamp", "timestamp_ntz": "timestamp"}.get(df.schema[key].dataType.simpleString())
 
@@ -256,9 +270,6 @@ def plan_quantiles(
         text = F.col(value).cast("string")
         return F.concat(F.lit(f"{mark} '"), text, F.lit("'")) if mark else text
 
-    counts = df.groupBy(number.alias("chunk_no")).agg(
-        F.min(key).alias("low_key"), F.max(key).alias("high_key"), F.count(F.lit(1)).alias("row_count")
-    )
     test = F.concat(F.lit(f"{name} >= "), said("low_key"), F.lit(f" and {name} <= "), said("high_key"))
     return counts.select(
         F.lit(table).alias("table_name"),
@@ -273,6 +284,43 @@ def plan_quantiles(
     )
 
 
+def _exact_ranges(df: DataFrame, key: str, size: int, known: int, nulls: int) -> DataFrame:
+    """``chunk_no, low_key, high_key, row_count`` of ranges cut at the exact ranks.
+
+    Rows are counted by key, the counts are range partitioned and written in order once, and a
+    running total over blocks of them gives each key the rows before it.  The cuts before a key
+    follow from that; a key that holds several is a range of its own, behind the keys since the
+    cut before.  The ranges are numbered by a running total of the cuts they end at, so a range
+    without keys keeps its number.
+    """
+    spark, value = df.sparkSession, F.col("`" + key.replace("`", "``") + "`")
+    counts = df.where(value.isNotNull()).groupBy(value.alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    ordered = counts.repartitionByRange(default_partitions(spark), "_key").sortWithinPartitions("_key")
+    stored = settle_table(ordered.withColumn("_spot", F.monotonically_increasing_id()), "keys")
+    placed = running_total(stored, "_rows", "_spot", [], "_ahead")
+    passed = whole_div(F.col("_ahead"), size)
+    # The last row ends the table, not a range before another.
+    cuts = whole_div(F.least(F.col("_ahead") + F.col("_rows"), F.lit(known - 1)), size) - passed
+    marked = placed.select("_key", "_rows", cuts.alias("_cuts"), (passed * 2 + (cuts > 1).cast("int")).alias("_range"))
+    ranges = marked.groupBy("_range").agg(
+        F.min("_key").alias("low_key"),
+        F.max("_key").alias("high_key"),
+        F.sum("_rows").alias("row_count"),
+        F.sum(F.least("_cuts", F.lit(2))).alias("_ends"),
+    )
+    numbered = running_total(settle_table(ranges, "ranges"), "_ends", "_range", [], "_passed")
+    found = numbered.select(
+        (F.col("_passed") + F.col("_range") % 2 + 1).alias("chunk_no"), "low_key", "high_key", "row_count"
+    )
+    if not nulls:
+        return found
+    none = F.lit(None).cast(df.schema[key].dataType)
+    zero = spark.range(1).select(
+        F.col("id").alias("chunk_no"), none.alias("low_key"), none.alias("high_key"), F.lit(nulls).cast("bigint").alias("row_count")
+    )
+    return found.unionByName(zero)
+
+
 def plan_balance(plan: DataFrame) -> DataFrame:
     """Per table of a plan: its chunks and rows, the largest chunk, the largest of more than one
     key, and the largest in percent of the mean."""

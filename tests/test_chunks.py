@@ -267,6 +267,23 @@ def test_quantiles_equal_brute_force(spark, size):
         assert df.where(r["where_clause"]).count() == r["row_count"]
 
 
+@pytest.mark.parametrize("size", [1, 7, 50, 60, 1000])
+def test_more_cuts_than_a_summary_holds_are_exact(spark, monkeypatch, size):
+    """The same keys and two whole blocks, by counts; blocks of the running total are small."""
+    monkeypatch.setattr(chunks, "MOST_CUTS", 0)
+    monkeypatch.setattr(chunks.running_total, "__defaults__", (3,))
+    keys = [None] * 9 + [-(10**15), 10**15, *range(1000, 1100), *range(40), *[5] * 120, *[6] * 60, *[7] * 60, -3, -3]
+    for some in (keys, keys[9:], [4] * 8, [4] * 8 + [5] * 8):
+        plan = chunks.plan_quantiles(keyed(spark, some).repartition(4), "t", "k", size)
+        got = {r["chunk_no"]: (r["low_key"], r["high_key"], r["row_count"]) for r in plan.collect()}
+        assert got == plain_quantiles(some, size)
+
+
+def test_more_chunks_than_cuts_of_one_pass(spark):
+    plan = chunks.plan_quantiles(spark.range(25_000).withColumnRenamed("id", "k"), "t", "k", 2)
+    assert plan.agg(F.count("*"), F.min("row_count"), F.max("chunk_no")).first() == (12_500, 2, 12_500)
+
+
 @pytest.mark.parametrize("kind", ["double", "decimal(12,3)", "date", "timestamp_ntz", "smallint"])
 def test_quantiles_of_other_keys(spark, kind):
     value = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")) if kind in ("date", "timestamp_ntz") else F.col("id") / 4 if kind in ("double", "decimal(12,3)") else F.col("id")
