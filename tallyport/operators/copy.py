@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_left
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -32,7 +33,7 @@ from tallyport.operators.chunks import (
     whole_order,
 )
 from tallyport.runtime import settle
-from tallyport.sources.tables import path_exists, replace_partitions
+from tallyport.sources.tables import path_exists, read_partitions, replace_partitions
 from tallyport.specs import Table
 
 CHUNK_COLUMN = "chunk_no"
@@ -94,8 +95,10 @@ def copy_table(
     neither a restart nor a lost executor doubles rows.  ``waves`` splits the copy into
     that many jobs of about equal rows, each recorded when it is done.
 
-    A wave that fails is halved, by rows, again and again: good halves are copied and
-    recorded, until the chunk that fails is alone.  It is recorded as FAILED with its error, and
+    If a wave fails because rows cannot be made, its first broken chunk is searched by halves, by
+    rows, that are only read; the chunks before and behind it are copied in one job each.  A
+    wave that fails otherwise is halved in the same way, and the halves are copied, until the chunk
+    that fails is alone.  That chunk is recorded as FAILED with its error, and
     after ``most_failures`` such chunks the copy stops; chunks it has not come to have no
     record.
     """
@@ -129,16 +132,16 @@ def _copy_placed(placed, table, paths, run_id, row_cap, waves, prepare, most_fai
         parts = [(wave["low"], wave["high"], wave["chunks"])]
         while parts:
             low, high, many = parts.pop(0)
-            part = todo.where(F.col(CHUNK_COLUMN).between(low, high))
-            rows = placed.rows(low, high)
-            if many < plan.where(F.col(CHUNK_COLUMN).between(low, high)).count():
-                rows = _rows_of(rows, part.select(CHUNK_COLUMN), many)
+            part, rows = _part_of(placed, plan, todo, low, high, many)
             started = datetime.now(UTC)
             try:
                 _copy_part(prepare(rows), part, (low, high), table, paths, run_id, started)
             except Exception as problem:
                 if many > 1:
-                    parts = [*_halves(part, low, high), *parts]
+                    alone = _around_broken(
+                        part, lambda *run: prepare(_part_of(placed, plan, todo, *run)[1]), low, high
+                    )
+                    parts = [*(alone or _halves(part, low, high)), *parts]
                     continue
                 failures.append(_record_failure(spark, problem, part, table, paths, run_id, started))
                 if len(failures) >= most_failures:
@@ -163,6 +166,43 @@ def _in_waves(todo: DataFrame, waves: int) -> DataFrame:
     return settle(counted.withColumn("_wave", number))
 
 
+def _part_of(placed, plan: DataFrame, todo: DataFrame, low: int, high: int, many: int) -> tuple[DataFrame, DataFrame]:
+    """The chunks to copy from ``low`` to ``high``, ``many`` of them, and their rows."""
+    span = F.col(CHUNK_COLUMN).between(low, high)
+    part, rows = todo.where(span), placed.rows(low, high)
+    if many < plan.where(span).count():
+        rows = _rows_of(rows, part.select(CHUNK_COLUMN), many)
+    return part, rows
+
+
+def _around_broken(part: DataFrame, rows_of, low: int, high: int) -> list[tuple[int, int, int]]:
+    """Runs before, of and behind the first chunk whose rows cannot be made; none if all can.
+
+    Rows are read and thrown away, twice those of the run in all; no folder is written.  The
+    driver holds the chunk numbers of the run.
+    """
+    chunks = [tuple(r) for r in part.select(CHUNK_COLUMN, "_rows_before").orderBy(CHUNK_COLUMN).collect()]
+
+    def run(first: int, end: int) -> tuple[int, int, int]:
+        return (low if first == 0 else chunks[first][0], high if end == len(chunks) else chunks[end - 1][0], end - first)
+
+    def broken(first: int, end: int) -> bool:
+        try:
+            rows_of(*run(first, end)).write.format("noop").mode("overwrite").save()
+        except Exception:
+            return True
+        return False
+
+    first, end = 0, len(chunks)
+    if not broken(first, end):
+        return []
+    while end - first > 1:
+        middle = (chunks[first][1] + chunks[end - 1][1]) / 2
+        cut = min(max(bisect_left(chunks, middle, first, end, key=lambda c: c[1]), first + 1), end - 1)
+        first, end = (first, cut) if broken(first, cut) else (cut, end)
+    return [run(a, b) for a, b in ((0, first), (first, end), (end, len(chunks))) if a < b]
+
+
 def _halves(part: DataFrame, low: int, high: int) -> list[tuple[int, int, int]]:
     """Bounds and numbers of chunks of two runs of about equal rows."""
     first, total = part.agg(F.min("_rows_before"), F.sum("row_count")).first()
@@ -235,11 +275,12 @@ class _Placed:
 def _copy_part(rows, part: DataFrame, bounds: tuple[int, int], table: Table, paths: CopyPaths, run_id: str, started) -> None:
     """Copy some chunks in one job and record them.
 
-    The rows of a chunk are counted where they now are; their sum must be what the write has
-    seen.
+    The rows of a chunk are counted where they now are, in the folders of these chunks only; their
+    sum must be what the write has seen.
     """
     seen = replace_partitions(rows, paths.target, CHUNK_COLUMN)
-    stored = rows.sparkSession.read.schema(rows.schema).parquet(paths.target)
+    numbers = [r[0] for r in part.select(CHUNK_COLUMN).collect()]
+    stored = read_partitions(rows.sparkSession, paths.target, rows.schema, CHUNK_COLUMN, numbers)
     written = stored.where(F.col(CHUNK_COLUMN).between(*bounds)).groupBy(CHUNK_COLUMN).agg(F.count(F.lit(1)).alias("_written"))
     counted = settle(part.join(written, CHUNK_COLUMN, "left").fillna(0, "_written"))
     found = counted.agg(F.sum("_written")).first()[0]

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
+
+from tallyport.runtime import default_partitions
+
+_LISTERS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def scan(
@@ -53,6 +60,34 @@ def replace_partitions(df: DataFrame, path: str, partition: str) -> int:
     return seen.get["rows"]
 
 
+@contextmanager
+def few_listers(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by a few tasks for each shuffle partition, not by one task for each
+    folder; the listing belongs to the making of a frame."""
+    before = spark.conf.get(_LISTERS)
+    spark.conf.set(_LISTERS, str(min(int(before), 4 * default_partitions(spark))))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTERS, before)
+
+
+def read_partitions(
+    spark: SparkSession, path: str, schema: T.StructType, partition: str, values: Sequence[int]
+) -> DataFrame:
+    """The rows of some partitions; the folders of others are not listed.
+
+    The driver names each folder once, as the listing does.  If one is not there, all
+    are listed and other partitions than ``values`` are filtered out by the caller.
+    """
+    folders = [f"{path}/{partition}={value}" for value in values]
+    with few_listers(spark):
+        try:
+            return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+        except AnalysisException:
+            return spark.read.schema(schema).parquet(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target

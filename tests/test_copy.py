@@ -13,7 +13,15 @@ from tallyport.operators import ledger as L
 from tallyport.operators.copy import CopyFailed, CopyPaths, copy_table, prepare_rows
 from tallyport.plans import migrate
 from tallyport.sources import jdbc
-from tallyport.sources.tables import append_rows, path_exists, replace_rows, require_empty, table_row_counts
+from tallyport.sources.tables import (
+    append_rows,
+    path_exists,
+    read_partitions,
+    replace_partitions,
+    replace_rows,
+    require_empty,
+    table_row_counts,
+)
 from tallyport.specs import ForeignKey, Key, Table
 
 ACCOUNT = Table("ACCOUNT", "SALES", (Key("PK_ACCOUNT", ("ID",)),))
@@ -137,6 +145,52 @@ def test_bad_rows_cost_their_own_chunks_only(spark, paths, bad):
     assert records.count() == 10 and spark.read.parquet(paths.target).count() == 100
 
 
+def test_a_broken_chunk_is_found_without_writing(spark, paths, monkeypatch):
+    """One wave of 20 chunks: it, the chunks before, the broken one and those behind are written, and
+    each reads back its own folders only."""
+    written, listed = [], []
+    write, read = copying.replace_partitions, copying.read_partitions
+
+    def seen(spark, path, schema, partition, values):
+        found = read(spark, path, schema, partition, values)
+        listed.append((len(values), len(found.inputFiles())))
+        return found
+
+    monkeypatch.setattr(copying, "replace_partitions", lambda *a: written.append(1) or write(*a))
+    monkeypatch.setattr(copying, "read_partitions", seen)
+    broken = F.when(F.col("ID") == 77, F.raise_error(F.lit("broken row")))
+    with pytest.raises(CopyFailed):
+        copy_table(accounts(spark).withColumn("LIMIT", broken), ACCOUNT, paths, "run-1", 5, most_failures=2)
+    got = states(L.read_ledger(spark, paths.ledger, "run-1"))
+    assert [s for *_, s in got] == ["SUCCESS"] * 15 + ["FAILED"] + ["SUCCESS"] * 4
+    assert len(written) == 4 and [n for n, _ in listed] == [15, 4]
+    assert all(files == folders for folders, files in listed)
+
+
+def test_a_failing_write_is_halved(spark, paths, monkeypatch):
+    """All rows can be made, but the write of one chunk fails."""
+    write = copying.replace_partitions
+
+    def refuse(rows, *a):
+        if not rows.where("ID = 77").isEmpty():
+            raise OSError("disk is full")
+        return write(rows, *a)
+
+    monkeypatch.setattr(copying, "replace_partitions", refuse)
+    with pytest.raises(CopyFailed):
+        copy_table(accounts(spark), ACCOUNT, paths, "run-1", 5, most_failures=2)
+    got = states(L.read_ledger(spark, paths.ledger, "run-1"))
+    assert [s for *_, s in got] == ["SUCCESS"] * 15 + ["FAILED"] + ["SUCCESS"] * 4
+
+
+def test_a_missing_folder_has_no_rows(spark, tmp_path):
+    path = f"{tmp_path}/parts"
+    df = spark.range(6).withColumn("p", F.col("id") % 3)
+    replace_partitions(df, path, "p")
+    found = read_partitions(spark, path, df.schema, "p", [1, 7]).where(F.col("p").isin(1, 7))
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1), (4, 1)]
+
+
 def test_waves_hold_equal_rows_of_a_sparse_key(spark, paths):
     """Nearly all keys lie at the end of their span; three waves take a third of the rows each."""
     keys = [1, *range(1_000_000, 1_000_090)]
