@@ -1,7 +1,7 @@
 """Key checks: duplicates, orphans, excluded parents and consistent subsets.
 
-Child rows are counted per key value before any join.  A key value that a third of the
-rows share is thus one row per map task when it is shuffled.
+Child rows are counted per key value before any join, or together with the parent's keys.  A key
+value that a third of the rows share is thus one row per map task when it is shuffled.
 """
 
 from __future__ import annotations
@@ -112,6 +112,26 @@ def _as_key(parent: DataFrame, parent_columns: Sequence[str], columns: Sequence[
     return parent.where(all_set(parent_columns)).select(*named).distinct()
 
 
+def _matched(
+    child: DataFrame, parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str], joined: bool
+) -> DataFrame:
+    """Key values of the child with ``child_rows``, and whether the parent has them, ``_known``.
+
+    Keys of the same types are one aggregation over both tables: a task holds each key value once,
+    and nothing is sorted.  Keys whose types differ are compared as a join compares them.
+    """
+    if joined or any(child.schema[c].dataType != parent.schema[p].dataType for c, p in zip(columns, parent_columns, strict=True)):
+        known = _as_key(parent, parent_columns, columns).withColumn("_known", F.lit(True))
+        joined = _counted(child, columns).join(known, columns, "left").withColumnRenamed("_rows", "child_rows")
+        return joined.withColumn("_known", F.coalesce("_known", F.lit(False)))
+    named = [F.col(p).alias(c) for p, c in zip(parent_columns, columns, strict=True)]
+    one, none = F.lit(1).cast("bigint").alias("_rows"), F.lit(0).cast("bigint").alias("_rows")
+    held = parent.where(all_set(parent_columns)).select(*named, none, F.lit(True).alias("_known"))
+    united = child.select(*columns, one, F.lit(False).alias("_known")).unionByName(held)
+    found = united.groupBy(*columns).agg(F.sum("_rows").alias("child_rows"), F.max("_known").alias("_known"))
+    return found.where("child_rows > 0")
+
+
 def orphan_keys(
     child: DataFrame, parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str]
 ) -> DataFrame:
@@ -133,19 +153,21 @@ def fk_orphans(
 
 
 def fk_orphans_full(
-    child: DataFrame, parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str]
+    child: DataFrame,
+    parent: DataFrame,
+    columns: Sequence[str],
+    parent_columns: Sequence[str],
+    joined: bool = False,
 ) -> DataFrame:
     """Orphans under MATCH SIMPLE and MATCH FULL in one row, from one scan of the child.
 
     FULL also counts composite keys that are partly null; for a single column both rules
-    agree.
+    agree.  ``joined`` counts each table's keys apart and joins them, with several times the memory.
     """
     columns, parent_columns = _aligned(columns, parent_columns)
-    known = _as_key(parent, parent_columns, columns).withColumn("_found", F.lit(True))
-    counted = _counted(child, columns).where(all_set(columns) | partly_set(columns))
-    rows = counted.join(known, columns, "left")
-    missing = F.when(all_set(columns) & F.col("_found").isNull(), F.col("_rows"))
-    partial = F.when(partly_set(columns), F.col("_rows"))
+    rows = _matched(child.where(all_set(columns) | partly_set(columns)), parent, columns, parent_columns, joined)
+    missing = F.when(all_set(columns) & ~F.col("_known"), F.col("child_rows"))
+    partial = F.when(partly_set(columns), F.col("child_rows"))
     return rows.agg(
         F.coalesce(F.sum(missing), F.lit(0)).alias("simple_orphans"),
         F.coalesce(F.sum(F.coalesce(missing, partial)), F.lit(0)).alias("full_orphans"),
@@ -155,7 +177,7 @@ def fk_orphans_full(
 def orphans_by_rule(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
     """The ``orphans`` of a foreign key under its own match rule."""
     if key.match == "full" and len(key.columns) > 1:
-        both = fk_orphans_full(child, parent, key.columns, key.parent_columns)
+        both = fk_orphans_full(child, parent, key.columns, key.parent_columns, joined=True)
         return both.select(F.col("full_orphans").alias("orphans"))
     return fk_orphans(child, parent, key.columns, key.parent_columns)
 

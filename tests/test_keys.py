@@ -139,3 +139,18 @@ def test_closed_subset_of_a_table_that_refers_to_itself(spark):
     key = ForeignKey("fk", "staff", ("boss",), "staff", ("id",))
     kept = keys.fk_closed_subset({"staff": staff}, [key])["staff"]
     assert sorted(r["id"] for r in kept.collect()) == [3, 5, 7]
+
+
+def test_child_and_parent_keys_meet_in_one_aggregation(spark):
+    """Each key value is held once; there is no join and no sort. Other types are joined."""
+    child = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (2, None), (None, None), (9, 9), (9, 9)], "a long, b int")
+    parent = spark.createDataFrame([(1, 1), (1, 1), (2, None), (5, 5)], "x long, y int")
+    pair = (["a", "b"], ["x", "y"])
+    full = keys.fk_orphans_full(child, parent, *pair)
+    plan = full._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Sort" not in plan
+    for other in (parent, parent.select(F.col("x").cast("int"), F.col("y").cast("long"))):
+        assert tuple(keys.fk_orphans_full(child, other, *pair).first()) == (3, 4)
+    assert tuple(keys.fk_orphans_full(child, parent, *pair, joined=True).first()) == (3, 4)
+    texts = spark.createDataFrame([("01",), ("2",), ("3",)], "a string")
+    assert tuple(keys.fk_orphans_full(texts, spark.range(1, 3).withColumnRenamed("id", "x"), ["a"], ["x"]).first()) == (1, 1)
