@@ -174,10 +174,10 @@ def fk_orphans_full(
     )
 
 
-def orphans_by_rule(child: DataFrame, parent: DataFrame, key: ForeignKey) -> DataFrame:
-    """The ``orphans`` of a foreign key under its own match rule."""
+def orphans_by_rule(child: DataFrame, parent: DataFrame, key: ForeignKey, joined: bool = True) -> DataFrame:
+    """The ``orphans`` of a foreign key under its own match rule; ``joined`` as for :func:`fk_orphans_full`."""
     if key.match == "full" and len(key.columns) > 1:
-        both = fk_orphans_full(child, parent, key.columns, key.parent_columns, joined=True)
+        both = fk_orphans_full(child, parent, key.columns, key.parent_columns, joined=joined)
         return both.select(F.col("full_orphans").alias("orphans"))
     return fk_orphans(child, parent, key.columns, key.parent_columns)
 

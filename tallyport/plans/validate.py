@@ -44,7 +44,7 @@ def duplicate_result(target: DataFrame, table: Table) -> list[DataFrame]:
 
 def orphan_result(child: DataFrame, parent: DataFrame, key: ForeignKey, name: str = ORPHANS) -> DataFrame:
     message = F.format_string(ORPHAN_TEXT, "orphans")
-    return keys.orphans_by_rule(child, parent, key).select(
+    return keys.orphans_by_rule(child, parent, key, joined=False).select(
         *result_row(name, verdict(F.col("orphans") == 0), f"{key.child}.{key.name}", message)
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyport.catalogue.inputs import ORDERS, altered_orders, read
 from tallyport.catalogue.queries import QUERIES
 from tallyport.operators import chunks, compare, keys, ledger
+from tallyport.plans import validate
 from tallyport.specs import ForeignKey
 
 from .conftest import SMALL
@@ -122,3 +123,14 @@ def test_orphans_on_a_composite_key_share_the_aggregation_shuffle(spark, no_broa
     lines = read(spark, SMALL, "lineitem")
     key = ForeignKey("fk", "l", ("l_orderkey", "l_linenumber"), "l", ("l_orderkey", "l_linenumber"), "full")
     assert shuffles(plan_of(keys.orphans_by_rule(lines, lines, key))) == 2
+
+
+def test_orphans_of_a_load_are_one_aggregation_without_a_join(spark, no_broadcast):
+    lines = read(spark, SMALL, "lineitem")
+    some = lines.where("l_orderkey % 3 != 0")
+    key = ForeignKey("fk", "l", ("l_orderkey", "l_linenumber"), "l", ("l_orderkey", "l_linenumber"), "full")
+    found = validate.orphan_result(lines, some, key)
+    plan = plan_of(found)
+    assert shuffles(plan) == 1 and "Join" not in plan
+    missing = lines.where("l_orderkey % 3 = 0").count()
+    assert missing and found.first()["message"] == f"orphans={missing}"
