@@ -8,8 +8,9 @@ of a sparse dot product.
 Training takes at most ``EXAMPLES`` labelled rows, those with the smallest hash of their id; a text of
 any length counts whole.  The rows are dealt to ``SHARDS`` tasks.  In each round every task
 runs follow-the-regularised-leader updates over its rows, starting from the shared state,
-and the states are averaged (parameter mixing); rows of the rarer label weigh more.  Weights, 2**18 numbers, travel to the scoring tasks
-as a broadcast of fixed size.
+and the states are averaged (parameter mixing), slice by slice in tasks of their own, so that the
+driver gets one state a round however many shards there are; rows of the rarer label weigh more.
+Weights, 2**18 numbers, travel to the scoring tasks as a broadcast of fixed size.
 
 Defined cases: a null or empty text has no features and gets the score of the bias alone; null labels
 and ids teach nothing; several labels of an id are several examples, an id that is on several
@@ -34,6 +35,8 @@ from tallyport.runtime import settle_table
 BITS = 18
 EXAMPLES = 32_000
 SHARDS = 4
+#: Slices that the states of a round are averaged in.
+SLICES = 64
 ROUNDS = 4
 #: Times a task goes over its rows in a round.
 PASSES = 4
@@ -128,7 +131,15 @@ def _round(frame: pd.DataFrame, state: Broadcast, bits: int) -> pd.DataFrame:
             at = np.append(np.frombuffer(row.buckets, np.int32), 1 << bits)
             x = np.append(np.frombuffer(row.values_, np.float32), 1.0).astype(np.float64)
             model.learn(at, x, float(row.label), weight[int(row.label > 0)])
-    return pd.DataFrame({"z": [model.z.tobytes()], "n": [model.n.tobytes()]})
+    z, n = ([x.tobytes() for x in np.array_split(whole, SLICES)] for whole in (model.z, model.n))
+    return pd.DataFrame({"slice": range(SLICES), "shard": frame["shard"].iloc[0], "z": z, "n": n})
+
+
+def _mean(frame: pd.DataFrame) -> pd.DataFrame:
+    """One slice of the state, averaged over the shards in their order."""
+    frame = frame.sort_values("shard")
+    z, n = (np.mean([np.frombuffer(x) for x in frame[c]], axis=0).tobytes() for c in ("z", "n"))
+    return pd.DataFrame({"slice": frame["slice"].iloc[:1], "z": [z], "n": [n]})
 
 
 def _learner(state: Broadcast, bits: int):
@@ -145,13 +156,13 @@ def train(rows: DataFrame, rounds: int = ROUNDS, shards: int = SHARDS, bits: int
     weight = (float(np.clip(1 / odds, 1, MOST_WEIGHT)), float(np.clip(odds, 1, MOST_WEIGHT)))
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((z, n, weight))
-        parts = dealt.groupBy("shard").applyInPandas(_learner(state, bits), "z binary, n binary")
-        # One state of fixed size from each shard.
-        found = parts.collect()
+        parts = dealt.groupBy("shard").applyInPandas(_learner(state, bits), "slice int, shard int, z binary, n binary")
+        # One state of fixed size, in slices.
+        found = sorted(parts.groupBy("slice").applyInPandas(_mean, "slice int, z binary, n binary").collect())
         if found:
-            z = np.mean([np.frombuffer(r["z"]) for r in found], axis=0)
-            n = np.mean([np.frombuffer(r["n"]) for r in found], axis=0)
-        state.unpersist()
+            z = np.concatenate([np.frombuffer(r["z"]) for r in found])
+            n = np.concatenate([np.frombuffer(r["n"]) for r in found])
+        state.destroy()
     return Ftrl(z, n).weights()
 
 

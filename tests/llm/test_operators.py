@@ -45,6 +45,38 @@ def test_quality_of_odd_rows(spark, documents):
     assert quality.score(docs.limit(0), np.zeros((1 << quality.BITS) + 1), F.col("doc_id")).count() == 0
 
 
+def test_driver_gets_one_state_a_round(spark, documents, monkeypatch):
+    draw, bits = random.Random(2), 10
+    docs = documents([(i, " ".join(draw.choice("abcdefgh") * (1 + i % 2) for _ in range(9))) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, label int")
+    rows = quality.examples(docs, labels, bits=bits)
+    held = rows.withColumn("shard", F.expr("pmod(draw, 3)")).withColumnRenamed("values", "values_").toPandas()
+    z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
+    for _ in range(2):
+        models = []
+        for _, part in sorted(held.groupby("shard")):
+            models.append(quality.Ftrl(z.copy(), n.copy()))
+            for _ in range(quality.PASSES):
+                for row in part.sort_values("draw").itertuples():
+                    at = np.append(np.frombuffer(row.buckets, np.int32), 1 << bits)
+                    x = np.append(np.frombuffer(row.values_, np.float32), 1.0).astype(np.float64)
+                    models[-1].learn(at, x, row.label, 1.0)
+        z, n = np.mean([m.z for m in models], axis=0), np.mean([m.n for m in models], axis=0)
+
+    sent, collect = [], type(rows).collect
+
+    def counted(df):
+        found = collect(df)
+        sent.append([sum(len(v) for v in r if isinstance(v, (bytes, bytearray))) for r in found])
+        return found
+
+    monkeypatch.setattr(type(rows), "collect", counted)
+    weights = quality.train(rows, rounds=2, shards=3, bits=bits)
+    assert np.array_equal(weights, quality.Ftrl(z, n).weights())
+    assert [sum(s) for s in sent if sum(s)] == [16 * ((1 << bits) + 1)] * 2
+    assert max(map(max, filter(None, sent))) <= 16 * ((1 << bits) // quality.SLICES + 1)
+
+
 # --- decontamination -------------------------------------------------------------------
 
 
