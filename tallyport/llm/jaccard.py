@@ -26,7 +26,9 @@ then checked exactly: sets come together by component, a large component in pair
 of bounded size, and each task scans the inverted lists of the single elements.  A task
 returns one edge for each set it could join.  No step emits the pairs of a group.
 
-Elements are 64-bit hashes of shingles, a set is known by 128 bits of hash.
+Elements are 64-bit hashes of shingles, a set is known by 128 bits of hash.  Elements take more
+room than the texts and cannot be compressed, so they are never stored: each step that needs
+them makes them anew from the texts.
 
 Defined cases: a text of fewer words is one shingle of all its words; no words, an empty or
 a null text give the empty set, linked with nothing, not even its like; repeated rows and
@@ -43,7 +45,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyport.llm.graph import components
@@ -130,41 +132,51 @@ def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def _marks(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return _sums(mixed(grams), first)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches, "text", 1_000_000):
         grams, first = shingle_sets(batch.column("text"), words)
         size = np.diff(first)
-        one = _sums(mixed(grams), first)
+        one = _marks(grams, first)
         two = mixed(_sums(mixed(grams ^ np.uint64(0x5851F42D4C957F2D)), first) + size.astype(np.uint64))
         both = np.stack([one, two], axis=1).tobytes()
         bounds = np.arange(len(size) + 1, dtype=np.int32) * 16
         vertex = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(bounds), pa.py_buffer(both)])
-        where = pa.py_buffer((first * 8).astype(np.int32))
-        sets = pa.Array.from_buffers(pa.binary(), len(size), [None, where, pa.py_buffer(grams.tobytes())])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("doc_id"), pa.array(size), vertex, pa.array(one.view(np.int64)), sets],
-            names=["row", "doc_id", "n", "vertex", "mark", "elements"],
+            [batch.column("row"), batch.column("doc_id"), pa.array(size), vertex, pa.array(one.view(np.int64))],
+            names=["row", "doc_id", "n", "vertex", "mark"],
         )
 
 
-def document_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Per row ``row, doc_id, n, vertex`` (128 bits), ``mark`` (its first half) and the
-    sorted ``elements``, written to the shared folder."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    narrow = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.col("text").cast("string").alias("text")
-    )
+def document_sets(texts: DataFrame, rule: Rule) -> DataFrame:
+    """Per row of ``texts`` (``row, doc_id, text``) ``row, doc_id, n, vertex`` (128 bits) and ``mark``
+    (its first half), written to the shared folder."""
+    kind = texts.schema["doc_id"].dataType.simpleString()
     words = rule.words
-    rows = narrow.mapInArrow(
-        lambda it: _sets(it, words),
-        f"row long, doc_id {kind}, n long, vertex binary, mark long, elements binary",
+    rows = texts.select("row", "doc_id", "text").mapInArrow(
+        lambda it: _sets(it, words), f"row long, doc_id {kind}, n long, vertex binary, mark long"
     )
     return settle_table(rows, "sets")
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    data, offsets = text_bytes(column)
-    return np.frombuffer(data.tobytes(), np.uint64), offsets // 8
+def _elements(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """``text`` replaced by the sorted ``elements``."""
+    for batch in pieces(batches, "text", 1_000_000):
+        grams, first = shingle_sets(batch.column("text"), words)
+        where = pa.py_buffer((first * 8).astype(np.int32))
+        sets = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, where, pa.py_buffer(grams.tobytes())])
+        names = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), sets], names=[*names, "elements"])
+
+
+def with_elements(texts: DataFrame, rule: Rule) -> DataFrame:
+    """All columns of ``texts`` with ``elements`` instead of ``text``."""
+    words = rule.words
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema if f.name != "text"]
+    return texts.mapInArrow(lambda it: _elements(it, words), ", ".join([*kinds, "elements binary"]))
 
 
 def list_keys(grams: np.ndarray, first: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
@@ -233,9 +245,9 @@ def _by_key(keys: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, ...]:
 def _post(batches: Iterator[pa.RecordBatch], rule: Rule, buckets: int) -> Iterator[pa.RecordBatch]:
     """Per batch and bucket of the key space, the keys with one mark each, packed; and the
     candidate edges within the batch, spread over the buckets."""
-    for batch in pieces(batches, "elements", 2_000_000):
-        grams, first = _flat(batch.column("elements"))
-        marks = batch.column("mark").to_numpy()
+    for batch in pieces(batches, "text", 1_500_000):
+        grams, first = shingle_sets(batch.column("text"), rule.words)
+        marks = _marks(grams, first).view(np.int64)
         keys, owners = list_keys(grams, first, rule)
         keys, lows, a, b = _by_key(keys, marks[owners])
         names, codes = np.unique(lows, return_inverse=True)
@@ -275,22 +287,21 @@ def _scan(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.concat([pd.DataFrame({"a": a, "b": b}), frame.loc[~lists, ["a", "b"]]])
 
 
-def candidate_edges(sets: DataFrame, rule: Rule) -> DataFrame:
-    """``a``, ``b``: marks that stand in one list."""
+def candidate_edges(texts: DataFrame, total: int, rule: Rule) -> DataFrame:
+    """``a``, ``b``: marks of ``texts``, which have about ``total`` elements, that stand in one list."""
     # About two keys in each class per element that may differ; some million keys a bucket.
-    total = sets.agg(F.sum("n")).first()[0] or 0
     keys = total * 2 * (rule.ranges(1000) / 1000 + 0.02) * 1.1
-    buckets = max(default_partitions(sets.sparkSession), math.ceil(keys / 1_000_000))
-    posted = sets.where("n > 0").select("mark", "elements").mapInArrow(
+    buckets = max(default_partitions(texts.sparkSession), math.ceil(keys / 1_000_000))
+    posted = texts.select("text").mapInArrow(
         lambda it: _post(it, rule, buckets), "bucket long, packed binary, a long, b long"
     )
     return posted.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_scan, "a long, b long").distinct()
 
 
-def _send_elements(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _send_elements(batches: Iterator[pa.RecordBatch], words: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """Per batch and bucket the elements with their sets, packed; and the rows of the batch."""
-    for batch in pieces(batches, "elements", 2_000_000):
-        grams, first = _flat(batch.column("elements"))
+    for batch in pieces(batches, "text", 1_500_000):
+        grams, first = shingle_sets(batch.column("text"), words)
         row = batch.column("row").to_numpy()
         group = batch.column("group").to_numpy().view(np.uint64)
         code = np.repeat(np.arange(len(row), dtype=np.uint32), np.diff(first))
@@ -343,11 +354,12 @@ def _add_up(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"row": row, "shared": total})
 
 
-def shared_elements(held: DataFrame, elements: int) -> DataFrame:
-    """``row`` and ``shared``: how many elements of each set another set of its ``group`` holds."""
+def shared_elements(held: DataFrame, elements: int, words: int) -> DataFrame:
+    """``row`` and ``shared``: how many elements of each set another set of its ``group`` holds.
+    ``held``: ``row, group, text``."""
     buckets = max(default_partitions(held.sparkSession), math.ceil(elements / 1_000_000))
     sent = held.mapInArrow(
-        lambda it: _send_elements(it, buckets), "bucket long, base long, packed binary, rows binary"
+        lambda it: _send_elements(it, words, buckets), "bucket long, base long, packed binary, rows binary"
     )
     counted = sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(
         _shared, "base long, packed binary, rows binary"
@@ -412,21 +424,23 @@ def _check(frame: pd.DataFrame, rule: Rule) -> pd.DataFrame:
     return held.loc[held["a"] != held["b"], ["a", "b"]]
 
 
-def candidate_groups(sets: DataFrame, vertices: DataFrame, rule: Rule) -> DataFrame:
+def candidate_groups(texts: DataFrame, sets: DataFrame, vertices: DataFrame, rule: Rule) -> DataFrame:
     """``vertex``, ``row``, ``n``, ``group`` and ``cells``, the cells of the group, of all
     vertices that may have a link."""
     found, left = None, None
     while True:
-        some = sets if left is None else sets.join(left, "row", "left_semi")
-        groups = components(candidate_edges(some, rule)).select(F.col("node").alias("mark"), F.col("root").alias("group"))
+        some = texts if left is None else texts.join(left, "row", "left_semi")
+        counted = sets if left is None else sets.join(left, "row", "left_semi")
+        total = counted.agg(F.sum("n")).first()[0] or 0
+        groups = components(candidate_edges(some, total, rule)).select(F.col("node").alias("mark"), F.col("root").alias("group"))
         chosen = settle_table(vertices.join(groups, "mark").select("mark", "vertex", "row", "n", "group"), "chosen")
         weight = chosen.groupBy("group").agg(F.ceil(F.sum("n") / CELL).cast("int").alias("cells"))
         chosen = settle_table(chosen.join(side(weight), "group"), "weighed")
         large = chosen.where("cells > 1")
         before, elements = large.agg(F.count("*"), F.sum("n")).first()
         if before:
-            held = sets.select("row", "elements").join(side(large.select("row", "n", "group")), "row")
-            shared = shared_elements(held.select("row", "group", "elements"), elements)
+            held = texts.select("row", "text").join(side(large.select("row", "group")), "row")
+            shared = shared_elements(held.select("row", "group", "text"), elements, rule.words)
             kept = shared.join(large.select("row", "n"), "row").where(100 * F.col("shared") >= rule.percent * F.col("n"))
             left = side(kept.select("row"))
             before = before if left.count() < LEFT * before else 0
@@ -436,22 +450,36 @@ def candidate_groups(sets: DataFrame, vertices: DataFrame, rule: Rule) -> DataFr
             return found
 
 
-def links(sets: DataFrame, rule: Rule) -> DataFrame:
+def links(texts: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """``a``, ``b``: vertices that are linked, enough to connect every group."""
-    # One row for each vertex: equal sets are counted out on narrow rows, elements stay where they are.
+    # One row for each vertex: equal sets are counted out on narrow rows, texts stay where they are.
     vertices = sets.where("n > 0").groupBy("vertex").agg(
         F.min("row").alias("row"), F.first("n").alias("n"), F.first("mark").alias("mark")
     )
-    chosen = candidate_groups(sets, vertices, rule)
+    chosen = candidate_groups(texts, sets, vertices, rule)
     cell = F.pmod(F.xxhash64("vertex"), F.col("cells")).cast("int")
-    dealt = side(chosen.select("row", "group", "cells", cell.alias("cell")))
-    # A set of cell c meets every other cell once, as (smaller, larger).
-    others = F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("other")
-    held = sets.select("row", "vertex", "elements").join(dealt, "row").select("*", others)
-    pairs = held.select(
-        "group", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"), "vertex", "elements"
-    )
-    return pairs.groupBy("group", "i", "j").applyInPandas(_checker(rule), "a binary, b binary")
+    dealt = settle_table(chosen.select("row", "vertex", "n", "group", "cells", cell.alias("cell")), "dealt")
+    copies = dealt.agg(F.sum(F.col("n") * F.col("cells"))).first()[0] or 0
+    whole = sets.agg(F.sum("n")).first()[0] or 0
+    # A round sends about as many elements as all sets have, however many cells there are.
+    rounds = max(1, math.ceil(copies / max(1, whole)))
+    found = None
+    for turn in range(rounds):
+        # A set of cell c meets every other cell once, as (smaller, larger), both in the same round.
+        met = F.filter(F.sequence(F.lit(0), F.col("cells") - 1), _of_round(turn, rounds))
+        some = side(dealt.select("row", "vertex", "group", "cell", met.alias("others")).where(F.size("others") > 0))
+        held = with_elements(texts.select("row", "text").join(some, "row"), rule)
+        held = held.select("*", F.explode("others").alias("other"))
+        pairs = held.select(
+            "group", F.least("cell", "other").alias("i"), F.greatest("cell", "other").alias("j"), "vertex", "elements"
+        )
+        edges = settle_table(pairs.groupBy("group", "i", "j").applyInPandas(_checker(rule), "a binary, b binary"), "links")
+        found = edges if found is None else found.union(edges)
+    return found
+
+
+def _of_round(turn: int, rounds: int):
+    return lambda other: F.pmod(other + F.col("cell"), F.lit(rounds)) == turn
 
 
 def _checker(rule: Rule):
@@ -461,9 +489,14 @@ def _checker(rule: Rule):
 def classes(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """Per row: ``row``, ``doc_id``, ``n`` and ``component_id``, the smallest id that can be reached
     by links."""
+    return _classes(with_rows(docs), F.col("doc.doc_id"), words, percent)
+
+
+def _classes(whole: DataFrame, name: Column, words: int, percent: int) -> DataFrame:
     rule = Rule(words, percent)
-    sets = document_sets(docs, rule)
-    roots = components(links(sets, rule))
+    texts = whole.select("row", name.alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
+    sets = document_sets(texts, rule)
+    roots = components(links(texts, sets, rule))
     rows = sets.select("row", "doc_id", "n", "vertex")
     first = rows.where("n > 0").groupBy("vertex").agg(F.min("doc_id").alias("low"))
     known = first.join(roots.withColumnRenamed("node", "vertex"), "vertex", "left")
@@ -478,7 +511,6 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     """One row of each group of linked documents, the first by file and place; rows without
     words all stay."""
     whole = with_rows(docs)
-    plain = whole.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
-    found = classes(plain, words, percent)
+    found = _classes(whole, F.col("row"), words, percent)
     gone = found.where("n > 0 and doc_id != component_id").select(F.col("doc_id").alias("row"))
     return whole.join(side(gone), "row", "left_anti").select("doc.*")

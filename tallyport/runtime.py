@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,14 +45,33 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def settle_table(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def settings(spark: SparkSession, **held: str) -> Iterator[None]:
+    """Session settings (``__`` for a dot) for what is run inside; then they are as they were."""
+    names = {name.replace("__", "."): value for name, value in held.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def settle_table(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it from there.
 
     For results as large as a table: unlike a checkpoint they are compressed, and later
-    passes read only the columns they need.
+    passes read only the columns they need.  What the write has shuffled is deleted when it is
+    done, not when the driver happens to collect its garbage.  ``options`` go to the writer.
     """
     path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with settings(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

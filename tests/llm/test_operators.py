@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
+import os
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyport.llm import decontam, graph, hilbert, jaccard, langid, linededup, mixing, pii, quality, tokens, topk
 from tallyport.llm.order import with_rows
+from tallyport.runtime import settle_table, work_folder
 
 from ..conftest import SMALL
 from .conftest import BLANK, PLAIN, lower
@@ -553,6 +557,51 @@ def test_one_of_each_group_stays(documents):
     assert jaccard.classes(docs.limit(0)).count() == 0
 
 
+def _stored(spark):
+    return sum(os.path.getsize(f) for f in glob.glob(f"{work_folder(spark)}/**/*.parquet", recursive=True))
+
+
+def test_elements_of_sets_are_not_stored(spark, documents):
+    draw = random.Random(3)
+    docs = documents([(i, " ".join(draw.choice("abcdefghijklmnop") for _ in range(2000))) for i in range(150)])
+    before = _stored(spark)
+    elements = sum(r["n"] for r in jaccard.classes(docs, 5, 80).collect())
+    assert elements > 250_000 and _stored(spark) - before < 4 * elements
+
+
+def test_cells_meet_in_rounds(spark, documents, monkeypatch):
+    monkeypatch.setattr(jaccard, "CELL", 300)
+    seen, settle = [], jaccard.settle_table
+
+    def counted(df, label, **options):
+        seen.append(label)
+        return settle(df, label, **options)
+
+    monkeypatch.setattr(jaccard, "settle_table", counted)
+    text = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join([*text[:i], "x", *text[i + 1 :]])) for i in range(30)]
+    got = jaccard.classes(documents(rows), 1, 80).collect()
+    # About 30 sets in ten cells each: ten times the elements of all sets.
+    assert {r["component_id"] for r in got} == {0} and seen.count("links") >= 8
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return set(re.findall(r"shuffle_\d+_\d+_\d+\.\w+", files.mkString(" ")))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    held = settle_table(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+    for _ in range(25):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and held.count() == 10
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1100)] + [(7, 7)]
     found = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
