@@ -26,11 +26,13 @@ from pyspark.sql import functions as F
 
 from tallyport.llm.order import side, with_rows
 from tallyport.llm.words import PLAIN_WORDS, byte_class, find_words, pieces, text_bytes
-from tallyport.runtime import settle_table
+from tallyport.runtime import settings, settle_table
 
 SIZE = 13
 #: Windows of one pass over the index: each takes ``SIZE`` terms of 8 bytes.
 BLOCK = 50_000
+#: Bytes of segments that a writer or a reader of the index holds at once, and one segment besides.
+HELD = 8_000_000
 _LETTERS = PLAIN_WORDS | byte_class((65, 90))
 
 
@@ -82,7 +84,10 @@ def build_index(docs: DataFrame) -> DataFrame:
         _segments,
         f"doc_ids array<{kind}>, lengths array<int>, terms array<long>, counts array<int>, postings array<binary>",
     )
-    return settle_table(rows.select(F.monotonically_increasing_id().alias("segment"), "*"), "postings")
+    # A segment is a row of some megabytes; by default a writer keeps a hundred rows before it looks
+    # at their size, and a reader takes a row group at once.
+    options = {"parquet.block.size": str(HELD), "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+    return settle_table(rows.select(F.monotonically_increasing_id().alias("segment"), "*"), "postings", **options)
 
 
 def _windows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -111,14 +116,13 @@ def windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
 def ranked_windows(index: DataFrame, cut: DataFrame) -> DataFrame:
     """Add ``places`` to windows: the offsets of their terms, rarest term of the corpus first.
 
-    Equal terms of the index are counted before they are shuffled, and only terms of windows
-    remain after the join with them.
+    Only terms of windows are counted, and equal ones are counted before they are shuffled.
     """
     held = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x"))
     uses = cut.select("item_id", "window", F.posexplode("window").alias("place", "term"))
-    wanted = uses.select("term").distinct()
+    wanted = side(uses.select("term").distinct())
     counts = held.select(F.col("x.terms").alias("term"), F.col("x.counts").cast("long").alias("n"))
-    frequency = counts.groupBy("term").agg(F.sum("n").alias("n")).join(wanted, "term")
+    frequency = counts.join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("n").alias("n"))
     known = uses.join(frequency, "term", "left")
     keyed = known.groupBy("item_id", "window").agg(
         F.array_sort(F.collect_set(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "place"))).alias("ranks"),
@@ -238,8 +242,8 @@ def find_phrases(index: DataFrame, benchmark: DataFrame, size: int = SIZE, slack
     """One row per document: ``segment, place, doc_id, n_words, spans``.
 
     ``spans`` lists ``item`` (its id), ``first`` and ``end`` of the words that windows of the
-    item cover.  Each block of windows is one pass over the index; the results of several
-    passes are joined by segment and place.
+    item cover.  Each block of windows is one pass over the index, which hands a worker one
+    segment at a time; the results of several passes are joined by segment and place.
     """
     spark = index.sparkSession
     ready = settle_table(ranked_windows(index, windows(benchmark, size)), "windows")
@@ -266,7 +270,8 @@ def find_phrases(index: DataFrame, benchmark: DataFrame, size: int = SIZE, slack
         items = held.column("item_id").combine_chunks().dictionary_encode(null_encoding="encode")
         codes = items.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         sent = spark.sparkContext.broadcast((table, order, widths, codes, items.dictionary))
-        passes.append(index.mapInArrow(lambda it, sent=sent: _search(it, sent, slack), schema))
+        with settings(spark, spark__sql__execution__arrow__maxRecordsPerBatch="1"):
+            passes.append(settle_table(index.mapInArrow(lambda it, sent=sent: _search(it, sent, slack), schema), "found"))
     if len(passes) == 1:
         return passes[0]
     whole = passes[0]

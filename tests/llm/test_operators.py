@@ -11,6 +11,7 @@ import time
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,33 @@ def test_proximity_and_empty_sides(spark, documents):
     assert [r["doc_id"] for r in decontam.clean(docs, benchmark).orderBy("doc_id").collect()] == [1, 2]
 
 
+def test_index_is_held_one_segment_at_a_time(spark, documents, monkeypatch):
+    monkeypatch.setattr(decontam, "HELD", 1_000_000, raising=False)
+    cut = decontam.pieces
+    monkeypatch.setattr(decontam, "pieces", lambda batches, column, most=30_000: cut(batches, column, most))
+    draw = random.Random(4)
+    docs = documents([(i, " ".join(f"v{draw.randrange(10_000)}" for _ in range(5000))) for i in range(60)]).coalesce(1)
+    index = decontam.build_index(docs)
+    path = index.inputFiles()[0].removeprefix("file:")
+    stored = pq.ParquetFile(path).metadata
+    assert index.count() == 60 and len(index.inputFiles()) == 1
+    assert max(stored.row_group(i).total_byte_size for i in range(stored.num_row_groups)) < 2_000_000 < 2 * stored.num_row_groups * 1_000_000
+    item = " ".join(docs.where("doc_id = 7").first()["text"].split()[100:113])
+    found = decontam.find_phrases(index, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert [r["doc_id"] for r in found.where("size(spans) > 0").collect()] == [7]
+    assert found.count() == 60 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000"
+
+
+def test_only_terms_of_windows_are_shuffled(spark, documents):
+    docs = documents([(i, " ".join(f"v{i}x{j}" for j in range(200))) for i in range(50)])
+    index = decontam.build_index(docs)
+    cut = decontam.windows(spark.createDataFrame([(1, "v3x1 v3x2")], "item_id long, text string"))
+    ranked = decontam.ranked_windows(index, cut)
+    assert ranked.count() == 1
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan
+
+
 # --- sharding --------------------------------------------------------------------------
 
 
