@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyport.llm.words import pieces
-from tallyport.runtime import settle_table, work_path
+from tallyport.runtime import default_partitions, settle_table, work_path
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END = 50256
@@ -118,9 +118,9 @@ def count_tokens(paths: DataFrame, end: int = END, block: int = BLOCK) -> DataFr
     files = paths.select("path").distinct().mapInArrow(_sizes, "path string, tokens long").where("tokens > 0")
     begins = files.select("path", F.explode(F.expr(f"sequence(0L, tokens - 1, {block}L)")).alias("begin"))
     kinds = "path string, begin long, n long, ends long, head long, last long, inside array<long>"
-    scanned = settle_table(
-        begins.repartition("path", "begin").mapInArrow(lambda it: _scan(it, end, block), kinds), "blocks"
-    )
+    # By number, so that blocks, which are narrow rows here, are not put together into a few tasks.
+    dealt = begins.repartition(default_partitions(paths.sparkSession), "path", "begin")
+    scanned = settle_table(dealt.mapInArrow(lambda it: _scan(it, end, block), kinds), "blocks")
     # One row per block: how many documents ended before it, and where the open one began.
     earlier = Window.partitionBy("path").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
     place = F.coalesce(F.sum("ends").over(earlier), F.lit(0))
@@ -140,7 +140,11 @@ def count_tokens(paths: DataFrame, end: int = END, block: int = BLOCK) -> DataFr
 
 
 def document_tokens(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``doc_id`` and ``n_tokens`` of every document."""
+    """``doc_id`` and ``n_tokens`` of every document.
+
+    Both sides of the join have a row for each document, yet the counts come from blocks of a few
+    bytes a document, so their size as Spark estimates it would send them all to the driver.
+    """
     manifest = write_tokens(docs, vocabulary)
-    counted = count_tokens(manifest)
+    counted = count_tokens(manifest).hint("merge")
     return manifest.join(counted, ["path", "place"]).select("doc_id", "n_tokens")

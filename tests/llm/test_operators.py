@@ -211,6 +211,14 @@ def test_tokens_equal_the_encoder(spark, documents):
     assert tokens.document_tokens(docs.limit(0)).count() == 0
 
 
+def test_token_counts_are_never_sent_to_the_driver(spark, documents):
+    docs = documents([(i, "one two three " * (i % 7)) for i in range(300)])
+    found = tokens.document_tokens(docs)
+    assert found.count() == 300
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("block", [1, 3, 7, 1000])
 def test_documents_across_blocks(spark, tmp_path, block):
     ids = [5, 6, 0, 0, 7, 8, 9, 10, 11, 0, 1, 0, 2, 3]
